@@ -6,22 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import imatch, mixing
+from . import bpe, imatch, langid, mixing, tokencount, topk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _over(name: str, apply: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: apply(table(spark, sf_dir, name))
+def _over(apply: Callable[..., DataFrame], *names: str) -> Query:
+    return lambda spark, sf_dir: apply(*(table(spark, sf_dir, n) for n in names))
 
 
 def queries() -> dict[str, Query]:
     return {
-        "op3_imatch": _over("documents", imatch.op3_imatch),
-        "op10_mixing": _over("documents", mixing.op10_mixing),
+        "op1_topk": _over(topk.op1_topk, "embeddings"),
+        "op3_imatch": _over(imatch.op3_imatch, "documents"),
+        "op4_langid": _over(langid.op4_langid, "documents"),
+        "op5_toxicity": _over(toxicity.op5_toxicity, "documents", "labels"),
+        "op7_bpe": _over(bpe.op7_bpe, "documents"),
+        "op9_token_counts": _over(tokencount.op9_token_counts, "documents"),
+        "op10_mixing": _over(mixing.op10_mixing, "documents"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": mixing.OP10_SQL}
+    return {"op1_topk": topk.OP1_SQL, "op10_mixing": mixing.OP10_SQL}
