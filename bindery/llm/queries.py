@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, imatch, langid, mixing, tokencount, topk, toxicity
+from . import bpe, imatch, langid, mixing, pii, tokencount, topk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ def _over(apply: Callable[..., DataFrame], *names: str) -> Query:
 def queries() -> dict[str, Query]:
     return {
         "op1_topk": _over(topk.op1_topk, "embeddings"),
+        "op2_pii": _over(pii.op2_pii, "documents"),
         "op3_imatch": _over(imatch.op3_imatch, "documents"),
         "op4_langid": _over(langid.op4_langid, "documents"),
         "op5_toxicity": _over(toxicity.op5_toxicity, "documents", "labels"),
