@@ -109,10 +109,13 @@ def neighbour_fingerprints(docs: DataFrame, most_broadcast: int = 400_000) -> Da
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half))
     placed = placed.withColumn("edited", edited)
     coded = F.concat(F.array(F.lit(-1).cast("long")), F.transform(term_ids(F.col("text")), lambda t: F.shiftleft(t, 1)), F.transform(term_ids(F.col("edited")), lambda t: F.shiftleft(t, 1) + 1))
-    rows = placed.select(
+    meta = placed.select(
         "imatch_slice", "imatch_ghost", "doc_id", "at", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.xxhash64("text").alias("whole"), F.xxhash64("edited").alias("edited_whole"), F.explode(coded).alias("code"),
-    ).withColumn("term", F.when(F.col("code") == -1, F.lit(-1).cast("long")).otherwise(F.shiftrightunsigned("code", 1)))
+        F.xxhash64("text").alias("whole"), F.xxhash64("edited").alias("edited_whole"), coded.alias("codes"),
+    )
+    # a select of its own: what stands beside an explode is computed again for every row that it makes
+    rows = meta.select(*(c for c in meta.columns if c != "codes"), F.explode("codes").alias("code"))
+    rows = rows.withColumn("term", F.when(F.col("code") == -1, F.lit(-1).cast("long")).otherwise(F.shiftrightunsigned("code", 1)))
     found = rows.join(F.broadcast(lex) if lex_size <= most_broadcast else lex, "term")
     once, of = F.col("code") == -1, lambda part: F.array_sort(F.collect_set(F.when((F.col("code") != -1) & (F.col("code").bitwiseAND(F.lit(1)) == part), F.col("term"))))
     grouped = found.groupBy("imatch_slice", "at").agg(
