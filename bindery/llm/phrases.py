@@ -1,0 +1,114 @@
+"""Content-defined phrases: cuts of byte strings that depend on near bytes only.
+
+A place is a cut if the hash of the GRAM bytes from it is least in some window of
+WINDOW places. So every window holds a cut, and equal byte strings are cut alike
+but for WINDOW - 1 places at their start and WINDOW + GRAM - 2 at their end.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+
+from .vectext import filled, mixed, pieces, powers
+
+GRAM, WINDOW = 16, 64
+#: A phrase's index in a bucket's row that says: this row has it several times.
+SEVERAL = 0xFFFF
+
+
+def sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
+    """pick (np.minimum or np.maximum) over each run of `size` values, a power of two."""
+    step = 1
+    while step < size:
+        x = pick(x[:-step], x[step:])
+        step *= 2
+    return x
+
+
+def cut(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, start, size, name) of the phrases between cuts of each text; texts of less than a window have none."""
+    none = np.zeros(0, dtype=np.int64)
+    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    if len(data) < GRAM + WINDOW:
+        return none, none, none, none.astype(np.uint64)
+    up, down = powers(len(data) + 1)
+    upto = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=upto[1:])
+    n = len(data) - GRAM + 1
+    value = mixed((upto[GRAM:] - upto[:n]) * down[:n])
+    ends = np.cumsum([len(r) for r in raw])
+    crossing = (ends[:-1, None] - np.arange(1, GRAM)).ravel()
+    value[crossing[(crossing >= 0) & (crossing < n)]] = np.iinfo(np.uint64).max
+    low = sliding(value, WINDOW, np.minimum)
+    padded = np.concatenate([np.zeros(WINDOW - 1, dtype=np.uint64), low, np.zeros(WINDOW - 1, dtype=np.uint64)])
+    chosen = sliding(padded, WINDOW, np.maximum) == value
+    chosen &= value != np.iinfo(np.uint64).max
+    at = np.flatnonzero(chosen)
+    doc = np.searchsorted(ends, at, side="right")
+    inner = doc[1:] == doc[:-1]
+    start, size, doc = at[:-1][inner], np.diff(at)[inner], doc[:-1][inner]
+    name = mixed(((upto[start + size] - upto[start]) * down[start]) ^ size.astype(np.uint64))
+    return doc, start - (ends[doc] - np.array([len(r) for r in raw])[doc]), size, name
+
+
+def dealt(buckets: int, least: int):
+    """Texts (row, text) of `least` bytes or more to rows of buckets, by ranges of the phrases' names."""
+
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            texts, ids = filled(pdf["text"]), pdf["row"].to_numpy(dtype=np.int64)
+            for piece in pieces(texts, 4_000_000):
+                raw = [t.encode() for t in texts[piece]]
+                use = [i for i, r in enumerate(raw) if len(r) >= least]
+                parts = []
+                for sub in pieces([raw[i] for i in use]):
+                    doc, start, size, name = cut([raw[i] for i in use[sub]])
+                    parts.append((np.array(use[sub], dtype=np.int64)[doc], start, size, name))
+                if not parts:
+                    continue
+                doc, start, size, name = (np.concatenate(x) for x in zip(*parts))
+                order = np.argsort(name, kind="stable")
+                doc, start, size, name = doc[order], start[order], size[order], name[order]
+                same = name[1:] == name[:-1]
+                several = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(name) else np.zeros(0, dtype=bool)
+                bucket = ((name >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                long = (bucket << 32) | name.astype(np.uint32)
+                own = ids[piece]
+                # singles ask their bucket; of several equal ones, one tells the bucket and the others need no answer
+                ask = ~several
+                ask[1:] |= several[1:] & ~same
+                if len(ask):
+                    ask[0] = True
+                used, cuts = np.unique(bucket[ask], return_index=True)
+                fields = [x[ask] for x in (name.astype(np.uint32), doc.astype(np.uint16), start.astype(np.uint32), size.astype(np.uint8), several.astype(np.uint8))]
+                for b, i, j in zip(used.tolist(), cuts, np.append(cuts[1:], ask.sum())):
+                    yield pd.DataFrame({"bucket": [b], "kind": [0], "rows": [own.tobytes()], "fields": [b"".join(x[i:j].tobytes() for x in fields)]})
+                if several.any():
+                    known = (own[doc[several]], start[several], size[several], long[several])
+                    yield pd.DataFrame({"bucket": [int(bucket[several][0])], "kind": [1], "rows": [b""], "fields": [b"".join(x.astype(np.int64).tobytes() for x in known)]})
+
+    return run
+
+
+def answered(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One bucket: its phrases that occur at least twice, as (row, start, size, name)."""
+    out, asked = [], []
+    for kind, rows, fields in zip(pdf["kind"], pdf["rows"], pdf["fields"]):
+        if kind == 1:
+            out.append(np.frombuffer(fields, dtype=np.int64).reshape(4, -1))
+            continue
+        n = len(fields) // 12
+        at = np.cumsum([0, 4 * n, 2 * n, 4 * n, n, n])
+        name, doc, start, size, several = (np.frombuffer(fields[a:b], dtype=t) for a, b, t in zip(at[:-1], at[1:], (np.uint32, np.uint16, np.uint32, np.uint8, np.uint8)))
+        asked.append((name, np.frombuffer(rows, dtype=np.int64)[doc], start, size, several))
+    if asked:
+        name, row, start, size, several = (np.concatenate(x) for x in zip(*asked))
+        _, group, n = np.unique(name, return_inverse=True, return_counts=True)
+        use = ((n[group] > 1) | (np.bincount(group, weights=several)[group] > 0)) & (several == 0)
+        long = (int(pdf["bucket"].iloc[0]) << 32) | name[use].astype(np.int64)
+        out.append(np.stack([row[use], start[use].astype(np.int64), size[use].astype(np.int64), long]))
+    row, start, size, name = np.concatenate(out, axis=1)
+    return pd.DataFrame({"row": row, "start": start, "size": size, "name": name})

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, imatch, langid, mixing, ngram_join, pii, tokencount, topk, toxicity
+from . import bpe, imatch, langid, mixing, ngram_join, pii, suffix_dedup, tokencount, topk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ def queries() -> dict[str, Query]:
         "op3_imatch": _over(imatch.op3_imatch, "documents"),
         "op4_langid": _over(langid.op4_langid, "documents"),
         "op5_toxicity": _over(toxicity.op5_toxicity, "documents", "labels"),
+        "op6_suffix_dedup": _over(suffix_dedup.op6_suffix_dedup, "documents"),
         "op7_bpe": _over(bpe.op7_bpe, "documents"),
         "op8_ngram_join": _over(ngram_join.op8_ngram_join, "documents"),
         "op9_token_counts": _over(tokencount.op9_token_counts, "documents"),
