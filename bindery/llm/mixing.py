@@ -72,9 +72,9 @@ def with_copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = W
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, in the columns of docs."""
-    taken = with_copies(docs, **options).filter(F.col("mix_copies") > 0)
-    each = taken.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-    return each.select(*docs.columns)
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("mix_row"))
+    taken = with_copies(rows, **options).filter(F.col("mix_copies") > 0)
+    return taken.select("mix_row", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select("mix_row.*")
 
 
 def op10_mixing(docs: DataFrame) -> DataFrame:
