@@ -1,3 +1,67 @@
-STAGES = []
+"""The corpus pipeline: five stages, each written as Parquet and read again by the next.
+
+A stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All
+but the last return the columns of documents; null values pass through.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from bindery.llm import bpe, mixing, ngram_join, pii, toxicity
+from bindery.llm.common import table, written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of any toxic grade is below one half."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).filter(~F.col("toxic_rejected")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest doc_id; documents without doc_id stay."""
+    kept = ngram_join.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    chosen = docs.join(kept, "doc_id", "left_semi").withColumn("ngram_row", first).filter("ngram_row = 1").select(*docs.columns)
+    return chosen.union(docs.filter("doc_id is null"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind in brackets."""
+    done = pii.redacted(docs)
+    changed = {"text": F.col("pii_text"), "n_chars": F.length("pii_text").cast("long")}
+    return done.select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's token ids, checked by decoding them again, instead of its text."""
+    done = bpe.encoded(docs)
+    whole = F.col("bpe_text") == F.coalesce("text", F.lit(""))
+    return done.select("doc_id", "lang", "source", F.col("bpe_n_tokens").alias("n_tokens"), F.col("bpe_ids").alias("ids"), F.col("bpe_ids_sha256").alias("ids_sha256"), F.col("bpe_decoded_sha256").alias("decoded_sha256"), whole.alias("round_trip"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_duplicates),
+    ("pii", redact_personal_data),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
+
+#: A classifier, a learned sequence model and BPE merges are no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
