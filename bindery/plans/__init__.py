@@ -1,4 +1,4 @@
 """The registered queries: importing this package fills the registry."""
 
-from . import audit_queries, package_queries, queue_queries, scalar_queries  # noqa: F401
+from . import audit_queries, document_queries, lookup_queries, package_queries, queue_queries, scalar_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
