@@ -13,8 +13,9 @@ shuffle.
 
 Defined cases: null text counts as empty; a document with fewer than min_terms
 lexicon terms hashes its whole text instead, so that equal texts still agree and
-different ones don't; rows that repeat a doc_id are kept, ordered by text; an
-empty table gives an empty result; other columns are ignored.
+different ones don't; rows that repeat a doc_id are kept, ordered by text; rows
+without doc_id come before all others, and the last document's next is the first
+that has one; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
