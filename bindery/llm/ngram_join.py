@@ -39,7 +39,7 @@ from .vectext import filled, mixed, pieces, words
 SIZE = 5
 #: Jaccard threshold as a fraction of integers.
 SHARE, OF = 75, 100
-#: A text's index in a bucket's row that says: several texts of this row have it.
+#: Sets that one bucket's row can tell apart.
 SEVERAL = 0xFFFF
 
 
@@ -89,11 +89,12 @@ def _dealt(buckets: int):
                 n = np.bincount(doc, minlength=shift[-1])
                 starts = np.minimum(np.cumsum(n) - n, max(len(value) - 1, 0))
                 own = mixed(value)
-                key = np.where(n > 0, np.add.reduceat(own, starts) if len(own) else np.uint64(0), np.uint64(0)).view(np.int64)
+                key = np.where(n > 0, np.add.reduceat(own, starts) if len(own) else np.uint64(0), np.uint64(0))
+                key = mixed(key ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
                 yield pd.DataFrame({"bucket": [int(ids[piece][0]) % buckets], "kind": [0], "sets": [ids[piece].tobytes() + key.tobytes() + n.astype(np.int64).tobytes()], "whose": [b""], "shingles": [b""]})
 
                 # one copy of equal sets, then shingles that several sets have
-                _, keep = np.unique(np.stack([key, n]), axis=1, return_index=True)
+                _, keep = np.unique(key, return_index=True)
                 keep = np.sort(keep[n[keep] > 0])
                 for begin in range(0, len(keep), SEVERAL - 1):
                     chosen = keep[begin : begin + SEVERAL - 1]
@@ -106,74 +107,63 @@ def _dealt(buckets: int):
                     same = v[1:] == v[:-1]
                     several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
                     head = several & ~np.concatenate([[False], same])
-                    whose = np.where(several, SEVERAL, at).astype(np.uint16)
-                    send = ~several | head
                     bucket = ((v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                    sets = key[chosen].tobytes() + n[chosen].astype(np.int64).tobytes()
-                    used, cuts = np.unique(bucket[send], return_index=True)
-                    cuts = np.append(cuts, send.sum())
-                    low, of = v[send].astype(np.uint32), whose[send]
-                    rows = [(b, 1, sets, of[i:j].tobytes(), low[i:j].tobytes()) for b, i, j in zip(used.tolist(), cuts[:-1], cuts[1:])]
                     if several.any():  # these need no bucket's answer
                         full_id = (bucket[several] << 32) | v[several].astype(np.uint32)
-                        by = np.argsort(at[several], kind="stable")
-                        rows.append((int(bucket[several][0]), 2, sets, at[several][by].astype(np.uint16).tobytes(), full_id[by].tobytes()))
+                        yield pd.DataFrame({"bucket": [int(bucket[several][0])], "kind": [2], "sets": [key[chosen][at[several]].tobytes()], "whose": [b""], "shingles": [full_id.tobytes()]})
+                    send = ~several | head
+                    bucket, low, at = bucket[send], v[send].astype(np.uint32), np.where(several[send], len(chosen), at[send])
+                    order = np.lexsort((at, bucket))
+                    bucket, low, at = bucket[order], low[order], at[order]
+                    used, cuts = np.unique(bucket, return_index=True)
+                    rows = []
+                    for b, i, j in zip(used.tolist(), cuts, np.append(cuts[1:], len(bucket))):
+                        whose, runs = np.unique(at[i:j], return_counts=True)
+                        rows.append((b, 1, np.append(key[chosen], 0)[whose].tobytes(), np.concatenate([runs, [whose[-1] == len(chosen)]]).astype(np.uint32).tobytes(), low[i:j].tobytes()))
                     yield pd.DataFrame(rows, columns=["bucket", "kind", "sets", "whose", "shingles"])
 
     return run
 
 
 def _answered(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One bucket: for every set its shingles that another set has as well; documents pass through."""
-    out, values, where = [], [], []
-    for kind, sets, whose, low in zip(pdf["kind"], pdf["sets"], pdf["whose"], pdf["shingles"]):
-        numbers = np.frombuffer(sets, dtype=np.int64)
+    """One bucket: (1, shingle, set, 0) for every shingle of a set that another set has as well; documents pass through as (0, doc_id, set, n)."""
+    out, sets, values, many = [], [], [], []
+    for kind, keys, whose, low in zip(pdf["kind"], pdf["sets"], pdf["whose"], pdf["shingles"]):
+        numbers = np.frombuffer(keys, dtype=np.int64)
         if kind == 0:
             ids, key, n = numbers.reshape(3, -1)
-            out.append(pd.DataFrame({"doc_id": ids, "set": key, "n": n, "shared": None}))
+            out.append((np.zeros(len(ids), dtype=np.int64), ids, key, n))
+        elif kind == 2:
+            out.append((np.ones(len(numbers), dtype=np.int64), np.frombuffer(low, dtype=np.int64), numbers, np.zeros(len(numbers), dtype=np.int64)))
         else:
-            of = np.frombuffer(whose, dtype=np.uint16)
-            if kind == 2:
-                out.append(_by_set(numbers, of, np.frombuffer(low, dtype=np.int64)))
-            else:
-                values.append(np.frombuffer(low, dtype=np.uint32))
-                where.append((numbers, of))
+            *runs, last = np.frombuffer(whose, dtype=np.uint32).tolist()
+            values.append(np.frombuffer(low, dtype=np.uint32))
+            sets.append(np.repeat(numbers, runs))
+            flag = np.zeros(len(values[-1]), dtype=bool)
+            if last:  # the row's last run: shingles that several of its sets have
+                flag[len(flag) - runs[-1] :] = True
+            many.append(flag)
     if values:
-        v = np.concatenate(values)
-        key = np.concatenate([np.append(s.reshape(2, -1)[0], 0)[np.where(of == SEVERAL, -1, of.astype(np.int64))] for s, of in where])
-        many = np.concatenate([of == SEVERAL for _, of in where])
+        v, key, several = np.concatenate(values), np.concatenate(sets), np.concatenate(many)
         order = np.lexsort((key, v))
-        # a shingle is shared if several sets of one row have it, or two rows of different sets
-        change = np.concatenate([[True], v[order][1:] != v[order][:-1]])
-        group = np.cumsum(change) - 1
-        start = np.flatnonzero(change)
-        last = np.append(start[1:], len(order)) - 1
-        shared = (key[order][start] != key[order][last]) | np.logical_or.reduceat(many[order], start)
-        hit = np.empty(len(order), dtype=bool)
-        hit[order] = shared[group]
-        bucket, at = int(pdf["bucket"].iloc[0]), 0
-        for (numbers, of), low in zip(where, values):
-            use = hit[at : at + len(of)] & (of != SEVERAL)
-            at += len(of)
-            if use.any():
-                by = np.argsort(of[use], kind="stable")
-                out.append(_by_set(numbers, of[use][by], ((bucket << 32) | low[use].astype(np.int64))[by]))
-    return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "set", "n", "shared"])
-
-
-def _by_set(numbers: np.ndarray, of: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-    key, n = numbers.reshape(2, -1)
-    start = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-    at = of[start].astype(np.int64)
-    return pd.DataFrame({"doc_id": pd.array([None] * len(at), dtype="Int64"), "set": key[at], "n": n[at], "shared": np.split(values, start[1:])})
-
-
-def dealt(docs: DataFrame, per_bucket: int = 1_000_000, least: int = 16) -> DataFrame:
-    """(doc_id, set, n) of every document and (set, n, shared) in parts, of every set; buckets grow in number with the text."""
+        v, key, several = v[order], key[order], several[order]
+        start = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]]))
+        last = np.append(start[1:], len(v)) - 1
+        # a shingle is shared if rows of different sets have it, or several sets of one row
+        shared = (key[start] != key[last]) | np.logical_or.reduceat(several, start)
+        hit = np.repeat(shared, last - start + 1) & ~several
+        n = int(hit.sum())
+        out.append((np.ones(n, dtype=np.int64), (int(pdf["bucket"].iloc[0]) << 32) | v[hit].astype(np.int64), key[hit], np.zeros(n, dtype=np.int64)))
+    kind, number, key, n = (np.concatenate(x) for x in zip(*out))
+    return pd.DataFrame({"kind": kind, "number": number, "set": key, "n": n})
+
+
+def dealt(docs: DataFrame, per_bucket: int = 1_500_000, least: int = 16) -> DataFrame:
+    """(0, doc_id, set, n) of every document and (1, shingle, set, 0) of every shared shingle of a set; buckets grow in number with the text."""
     characters = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
     buckets = max(least, characters // 6 // per_bucket)
     rows = docs.select("doc_id", "text").mapInPandas(_dealt(buckets), "bucket int, kind int, sets binary, whose binary, shingles binary")
-    return rows.groupBy("bucket").applyInPandas(_answered, "doc_id long, set long, n long, shared array<bigint>")
+    return rows.groupBy("bucket").applyInPandas(_answered, "kind int, number long, set long, n long")
 
 
 def needed(n: Column | str) -> Column:
@@ -226,8 +216,13 @@ def fits(n: str, m: str) -> Column:
     return (OF * F.least(n, m) >= SHARE * F.greatest(n, m))
 
 
-def link_components(sets: DataFrame, frequent: int | None = None, stars: int = 2) -> DataFrame:
-    """(node, component) of nodes that link, from sets (node, n, tokens, counts), counts being each token's frequency."""
+def link_components(sets: DataFrame, frequent: int | None = None, turns: tuple[str, ...] = ("one", "one", "every", "pairs")) -> DataFrame:
+    """(node, component) of nodes that link, from sets (node, n, tokens, counts), counts being each token's frequency.
+
+    A turn "one" compares each node with one leader, the one it shares most keys
+    with; "every" with the leader of each key; "pairs" compares what is left of a
+    key between different components.
+    """
     if frequent is None:
         frequent = max(5000, sets.count() // 100)
     index = written(sets.mapInPandas(_keys(frequent), "key long, node long, n long").distinct(), "ngram-index")
@@ -235,14 +230,16 @@ def link_components(sets: DataFrame, frequent: int | None = None, stars: int = 2
     lists = written(index.join(open_keys, "key"), "ngram-lists")
     discard(index)
     links = compared = labels = None
-    for turn in range(stars + 1):
+    for turn, how in enumerate(turns):
         if labels is None:
             named = lists.withColumn("component", F.col("node"))
         else:
             named = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         sides = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", "low")
         named = written(named.join(written(sides, "ngram-sides"), "key"), "ngram-open")
-        if turn < stars:
+        if named.isEmpty():
+            break
+        if how != "pairs":
             # one leader for each key: the smallest set, the first time of all, then outside the lowest component
             of = F.when(F.lit(turn == 0) | (F.col("component") > F.col("low")), F.struct("n", "node"))
             leader = named.groupBy("key").agg(F.min(of).alias("leader")).select("key", F.col("leader.node").alias("a"), F.col("leader.n").alias("n_a"))
@@ -250,7 +247,11 @@ def link_components(sets: DataFrame, frequent: int | None = None, stars: int = 2
                 leader = leader.join(named.select("key", F.col("node").alias("a"), F.col("component").alias("of_a")), ["key", "a"])
             else:
                 leader = leader.withColumn("of_a", F.col("a"))
-            pairs = named.join(written(leader, "ngram-leaders"), "key").filter((F.col("component") != F.col("of_a")) & fits("n", "n_a")).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+            pairs = named.join(written(leader, "ngram-leaders"), "key").filter((F.col("component") != F.col("of_a")) & fits("n", "n_a")).select("node", "a")
+            if how == "one":
+                most = pairs.groupBy("node", "a").count().groupBy("node").agg(F.max(F.struct("count", (-F.col("a")).alias("less"))).alias("m"))
+                pairs = most.select("node", (-F.col("m.less")).alias("a"))
+            pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         else:
             # what stars left open: pairs of one key between different components
             other = named.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b"))
@@ -264,8 +265,6 @@ def link_components(sets: DataFrame, frequent: int | None = None, stars: int = 2
         if not fresh.isEmpty():
             links = fresh if links is None else links.union(fresh)
             labels = written(components(links), "ngram-labels")
-        elif turn < stars and result.isEmpty():
-            break
     if labels is None:
         return sets.select("node", F.col("node").alias("component")).limit(0)
     return labels
@@ -275,11 +274,11 @@ def near_duplicates(docs: DataFrame, frequent: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
     known = docs.select("doc_id", "text")
     table = written(dealt(known.filter("doc_id is not null")), "ngram-dealt")
-    documents = table.filter("doc_id is not null").select("doc_id", "set", "n")
+    documents = table.filter("kind = 0").select(F.col("number").alias("doc_id"), "set", "n")
     nodes = documents.filter("n > 0").groupBy("set", "n").agg(F.min("doc_id").alias("node"))
-    shared = table.filter("doc_id is null").groupBy("set", "n").agg(F.array_distinct(F.flatten(F.collect_list("shared"))).alias("tokens"))
-    able = shared.filter((F.size("tokens") >= needed("n")) & (F.col("n") > 2))
-    able = written(able.join(nodes, ["set", "n"]), "ngram-able")
+    shared = table.filter("kind = 1").groupBy("set").agg(F.collect_set("number").alias("tokens"))
+    able = nodes.join(shared, "set").filter((F.size("tokens") >= needed("n")) & (F.col("n") > 2))
+    able = written(able.select("set", "n", "node", "tokens"), "ngram-able")
 
     # a shingle that only sets without a chance have besides counts no more
     each = able.select("node", "n", "set", F.explode("tokens").alias("token"))
