@@ -15,8 +15,6 @@ import pandas as pd
 from .vectext import filled, mixed, pieces, powers
 
 GRAM, WINDOW = 16, 64
-#: A phrase's index in a bucket's row that says: this row has it several times.
-SEVERAL = 0xFFFF
 
 
 def sliding(x: np.ndarray, size: int, pick) -> np.ndarray:
@@ -83,9 +81,11 @@ def dealt(buckets: int, least: int):
                 if len(ask):
                     ask[0] = True
                 used, cuts = np.unique(bucket[ask], return_index=True)
-                fields = [x[ask] for x in (name.astype(np.uint32), doc.astype(np.uint16), start.astype(np.uint32), size.astype(np.uint8), several.astype(np.uint8))]
+                low, whose, *rest = [x[ask] for x in (name.astype(np.uint32), doc, start.astype(np.uint32), size.astype(np.uint8), several.astype(np.uint8))]
                 for b, i, j in zip(used.tolist(), cuts, np.append(cuts[1:], ask.sum())):
-                    yield pd.DataFrame({"bucket": [b], "kind": [0], "rows": [own.tobytes()], "fields": [b"".join(x[i:j].tobytes() for x in fields)]})
+                    who, place = np.unique(whose[i:j], return_inverse=True)
+                    fields = [low[i:j], place.astype(np.uint32), *(x[i:j] for x in rest)]
+                    yield pd.DataFrame({"bucket": [b], "kind": [0], "rows": [own[who].tobytes()], "fields": [b"".join(x.tobytes() for x in fields)]})
                 if several.any():
                     known = (own[doc[several]], start[several], size[several], long[several])
                     yield pd.DataFrame({"bucket": [int(bucket[several][0])], "kind": [1], "rows": [b""], "fields": [b"".join(x.astype(np.int64).tobytes() for x in known)]})
@@ -100,9 +100,9 @@ def answered(pdf: pd.DataFrame) -> pd.DataFrame:
         if kind == 1:
             out.append(np.frombuffer(fields, dtype=np.int64).reshape(4, -1))
             continue
-        n = len(fields) // 12
-        at = np.cumsum([0, 4 * n, 2 * n, 4 * n, n, n])
-        name, doc, start, size, several = (np.frombuffer(fields[a:b], dtype=t) for a, b, t in zip(at[:-1], at[1:], (np.uint32, np.uint16, np.uint32, np.uint8, np.uint8)))
+        n = len(fields) // 14
+        at = np.cumsum([0, 4 * n, 4 * n, 4 * n, n, n])
+        name, doc, start, size, several = (np.frombuffer(fields[a:b], dtype=t) for a, b, t in zip(at[:-1], at[1:], (np.uint32, np.uint32, np.uint32, np.uint8, np.uint8)))
         asked.append((name, np.frombuffer(rows, dtype=np.int64)[doc], start, size, several))
     if asked:
         name, row, start, size, several = (np.concatenate(x) for x in zip(*asked))
