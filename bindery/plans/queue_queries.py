@@ -139,6 +139,6 @@ def premis_replace(t: Tables) -> DataFrame:
     return sinks.replace_into(rows.filter("event_id % 2 = 0"), rows.filter("event_id % 2 = 1"), ["volume", "eventtype"], "event_id").select("volume", "eventtype", "eventid", "origin")
 
 
-@query("premis_delete", "select volume, eventtype, event_id from premis_events where volume not in (select volume from premis_events where eventtype = 'fixity check')", "premis_events")
+@query("premis_delete", "select volume, eventtype, event_id from premis_events where volume not in (select volume from premis_events where eventtype = 'fixity check' and event_id % 9 = 0)", "premis_events")
 def premis_delete(t: Tables) -> DataFrame:
-    return sinks.delete(t.premis_events, t.premis_events.filter("eventtype = 'fixity check'"), ["volume"]).select("volume", "eventtype", "event_id")
+    return sinks.delete(t.premis_events, t.premis_events.filter("eventtype = 'fixity check' and event_id % 9 = 0"), ["volume"]).select("volume", "eventtype", "event_id")
