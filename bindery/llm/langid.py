@@ -89,9 +89,11 @@ def clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROIDS) -> Model | None:
     """Learn from labelled (doc_id, text, lang)."""
     usable = labelled.filter("text is not null and lang is not null and doc_id is not null")
-    sizes = usable.groupBy("lang").count().select(F.col("lang").alias("size_lang"), "count")
+    named = usable.select("doc_id", "lang")
+    sizes = named.groupBy("lang").agg(F.count("*").alias("n"))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = usable.join(sizes, F.col("lang") == F.col("size_lang")).filter(chance < per_language / F.col("count")).select("lang", "text")
+    picked = named.join(sizes, "lang").filter(chance < per_language / F.col("n")).distinct()
+    sample = usable.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "text")  # about per_language rows of each language
 
     def sparse(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
