@@ -61,17 +61,39 @@ def before(rows: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
     return ordered.select(*keys, *(moved[c].cast("long").alias(f"before_{c}") for c in counts))
 
 
+def gathered(parts: Iterator[dict[str, np.ndarray | list]], most: int = 200_000) -> Iterator[pd.DataFrame]:
+    """Columns that come in small parts, as frames of about `most` rows."""
+    held: list[dict] = []
+    rows = 0
+
+    def frame() -> pd.DataFrame:
+        return pd.DataFrame({c: [x for p in held for x in p[c]] if isinstance(held[0][c], list) else np.concatenate([p[c] for p in held]) for c in held[0]})
+
+    for part in parts:
+        held.append(part)
+        rows += len(next(iter(part.values())))
+        if rows >= most:
+            yield frame()
+            held, rows = [], 0
+    if held:
+        yield frame()
+
+
+def each(pdfs: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
+    for pdf in pdfs:
+        yield from zip(*(pdf[c] for c in columns))
+
+
 def _triples(every: bool):
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            for key, names in zip(pdf["key"], pdf["names"]):
-                x = np.concatenate([np.asarray(names, dtype=np.int64), [0, 0]])
-                i = np.arange(len(x) - 2)
-                if not every:
-                    i = i[i % 3 != 0]
-                yield pd.DataFrame({"key": np.full(len(i), key), "i": i, "a": x[i], "b": x[i + 1], "c": x[i + 2], "n": 1})
+    def parts(rows: Iterator[tuple]) -> Iterator[dict]:
+        for key, names in rows:
+            x = np.concatenate([names, [0, 0]]).astype(np.int64)
+            i = np.arange(len(x) - 2)
+            if not every:
+                i = i[i % 3 != 0]
+            yield {"key": np.full(len(i), key), "i": i, "a": x[i], "b": x[i + 1], "c": x[i + 2], "n": np.ones(len(i), dtype=np.int64)}
 
-    return run
+    return lambda pdfs: gathered(parts(each(pdfs, "key", "names")))
 
 
 def _sampled(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,8 +108,9 @@ def _sampled(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _merge_keys(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Every place with its kind (i mod 3), its own names a and b, and the ranks r1 and r2 of the suffixes one and two further."""
-    for pdf in pdfs:
-        for key, names, ranks in zip(pdf["key"], pdf["names"], pdf["ranks"]):
+
+    def parts() -> Iterator[dict]:
+        for key, names, ranks in each(pdfs, "key", "names", "ranks"):
             x, n = np.asarray(names, dtype=np.int64), len(names)
             rank = np.zeros(n + 3, dtype=np.int64)
             if ranks is not None and len(ranks):
@@ -95,7 +118,9 @@ def _merge_keys(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 one = len(range(1, n, 3))
                 rank[1:n:3], rank[2:n:3] = ranks[:one], ranks[one + 1 :]
             i = np.arange(n)
-            yield pd.DataFrame({"key": np.full(n, key), "i": i, "kind": i % 3, "a": x, "b": np.append(x[1:], 0), "r0": rank[:n], "r1": rank[1 : n + 1], "r2": rank[2 : n + 2]})
+            yield {"key": np.full(n, key), "i": i, "kind": i % 3, "a": x, "b": np.append(x[1:], 0), "r0": rank[:n], "r1": rank[1 : n + 1], "r2": rank[2 : n + 2]}
+
+    return gathered(parts())
 
 
 def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
@@ -160,13 +185,16 @@ def _reach(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _suffixes(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Every suffix with its rank and the names and sizes of its first LENGTH bytes and one more phrase."""
-    for pdf in pdfs:
-        for key, names, sizes, ranks in zip(pdf["key"], pdf["names"], pdf["sizes"], pdf["ranks"]):
+
+    def parts() -> Iterator[dict]:
+        for key, names, sizes, ranks in each(pdfs, "key", "names", "sizes", "ranks"):
             names, sizes = np.asarray(names), np.asarray(sizes)
             upto = np.concatenate([[0], np.cumsum(sizes)])
             to = np.minimum(np.searchsorted(upto, upto[:-1] + LENGTH + WINDOW, side="left"), len(sizes))
             n = len(names)
-            yield pd.DataFrame({"rank": np.asarray(ranks), "key": np.full(n, key), "i": np.arange(n), "prefix": [names[a:b] for a, b in enumerate(to)], "widths": [sizes[a:b] for a, b in enumerate(to)]})
+            yield {"rank": np.asarray(ranks), "key": np.full(n, key), "i": np.arange(n), "prefix": [names[a:b] for a, b in enumerate(to)], "widths": [sizes[a:b] for a, b in enumerate(to)]}
+
+    return gathered(parts(), 50_000)
 
 
 def shared_bytes(a: np.ndarray, b: np.ndarray, widths: np.ndarray) -> int:
@@ -309,16 +337,19 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
 
 def _hashed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Every string of LENGTH bytes that starts at a place to check, as two 64-bit halves of its hash."""
-    for pdf in pdfs:
-        for row, text, check in zip(pdf["row"], pdf["text"], pdf["check"]):
+
+    def parts() -> Iterator[dict]:
+        for row, text, check in each(pdfs, "row", "text", "check"):
             raw = text.encode()
             check = np.asarray(check, dtype=np.int64).reshape(-1, 2)
-            spans = merged(np.maximum(check[:, 0], 0), np.minimum(check[:, 1], len(raw) - LENGTH)[: len(check)]).reshape(-1, 2)
+            spans = merged(np.maximum(check[:, 0], 0), np.minimum(check[:, 1], len(raw) - LENGTH)).reshape(-1, 2)
             starts = np.concatenate([np.arange(a, b + 1) for a, b in spans if b >= a] or [np.zeros(0, dtype=np.int64)])
             if len(starts):
                 digests = b"".join([hashlib.blake2b(raw[p : p + LENGTH], digest_size=16).digest() for p in starts.tolist()])
                 halves = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
-                yield pd.DataFrame({"h1": halves[:, 0], "h2": halves[:, 1], "row": np.full(len(starts), row), "p": starts})
+                yield {"h1": halves[:, 0], "h2": halves[:, 1], "row": np.full(len(starts), row), "p": starts}
+
+    return gathered(parts())
 
 
 def _removed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
