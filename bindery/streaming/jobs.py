@@ -33,10 +33,15 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger:
 
 
 def accepted(stream: DataFrame, body: str = "body") -> DataFrame:
-    """Messages that have all four fields, parsed; the others are for a dead-letter sink."""
+    """Messages that have all four fields, parsed; dead_letters() has the others."""
     return stream.filter(valid_message(F.col(body))).select("*", messages(F.col(body)).alias("job")).select("*", "job.*").drop("job")
 
 
+def dead_letters(stream: DataFrame, body: str = "body") -> DataFrame:
+    """Messages that no worker can take."""
+    return stream.filter(~valid_message(F.col(body)))
+
+
 def to_end(result: DataFrame, mode: str, into: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Run a stream over what there is; a batch that is run again overwrites its own output, so the sink is idempotent."""
     running = result.writeStream.outputMode(mode).foreachBatch(into).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
