@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 
 #: Bytes of the longest match that the recursive query takes.
 LONGEST = 400
-#: Distinct matches that a worker remembers.
-REMEMBERED = 400_000
+#: Distinct matches that a worker remembers: when half of them are new since the last time, those not met since then go.
+REMEMBERED = 240_000
 
 #: A key packs the rank of a pair and its position, below 512, so that the least key is the leftmost pair of the lowest rank.
 MERGE_STEPS = """
@@ -73,7 +73,8 @@ class Encoder:
 
         self.ranks, self.split = ranks(path), regex.compile(pattern).findall
         self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": os.path.join(tempfile.gettempdir(), "bpe-spill")})
+        self.before: dict[str, tuple[bytes, bytes]] = {}
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": os.path.join(tempfile.gettempdir(), "bpe-spill")})
         self.single = np.array([self.ranks[bytes([x])] for x in range(256)], dtype=np.int32)
         self._load("vocabulary", {"id": np.array(list(self.ranks.values()), dtype=np.int32), "digits": [t.hex() for t in self.ranks]})
         halves = [(self.ranks[t[:i]], self.ranks[t[i:]], m) for t, m in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -131,10 +132,17 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """For each text its ids as little-endian unsigned 32-bit integers, and the bytes decoded from them."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        if len(self.known) > REMEMBERED // 2:
+            self.before, self.known = self.known, {}
         split = [self.split(t) for t in texts]
-        if new := [m for m in dict.fromkeys(m for x in split for m in x) if m not in self.known]:
+        new = []
+        for m in dict.fromkeys(m for x in split for m in x):
+            if m not in self.known:
+                if m in self.before:
+                    self.known[m] = self.before[m]
+                else:
+                    new.append(m)
+        if new:
             self.learn(new)
         for matches in split:
             found = [self.known[m] for m in matches]
@@ -150,7 +158,7 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
-def in_pieces(texts: list[str], most: int = 4_000_000) -> Iterator[slice]:
+def in_pieces(texts: list[str], most: int = 1_500_000) -> Iterator[slice]:
     """Runs of texts of together about `most` characters."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -174,12 +182,14 @@ def pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def encoded(docs: DataFrame, path: str | None = None, keep_ids: bool = True) -> DataFrame:
-    """docs with bpe_n_tokens, bpe_ids_sha256, bpe_decoded_sha256 and, with keep_ids, bpe_ids and bpe_text."""
+def encoded(docs: DataFrame, path: str | None = None, keep_ids: bool = True, keep_text: bool = False) -> DataFrame:
+    """docs without text, with bpe_n_tokens, bpe_ids_sha256, bpe_decoded_sha256, bpe_round_trip and, if kept, bpe_ids and the decoded bpe_text."""
     path, splits = path or vocabulary_path(), pattern()
-    fields = [T.StructField("bpe_n_tokens", T.LongType()), T.StructField("bpe_ids_sha256", T.StringType()), T.StructField("bpe_decoded_sha256", T.StringType())]
+    fields = [T.StructField("bpe_n_tokens", T.LongType()), T.StructField("bpe_ids_sha256", T.StringType()), T.StructField("bpe_decoded_sha256", T.StringType()), T.StructField("bpe_round_trip", T.BooleanType())]
     if keep_ids:
-        fields += [T.StructField("bpe_ids", T.ArrayType(T.LongType())), T.StructField("bpe_text", T.StringType())]
+        fields.append(T.StructField("bpe_ids", T.ArrayType(T.LongType())))
+    if keep_text:
+        fields.append(T.StructField("bpe_text", T.StringType()))
     names = [f.name for f in fields]
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,14 +198,18 @@ def encoded(docs: DataFrame, path: str | None = None, keep_ids: bool = True) ->
             texts = ["" if t is None or t != t else t for t in pdf["text"]]
             for piece in in_pieces(texts):
                 rows = []
-                for ids, text in own.encode(texts[piece]):
-                    row = [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()]
-                    rows.append(row + [np.frombuffer(ids, dtype="<u4").astype("int64"), text.decode()] if keep_ids else row)
-                out = pdf.iloc[piece].reset_index(drop=True)
-                yield pd.concat([out, pd.DataFrame(rows, columns=names, index=out.index)], axis=1) if keep_ids else pd.concat([out.drop(columns="text"), pd.DataFrame(rows, columns=names, index=out.index)], axis=1)
+                for given, (ids, text) in zip(texts[piece], own.encode(texts[piece])):
+                    row = [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), given.encode() == text]
+                    if keep_ids:
+                        row.append(np.frombuffer(ids, dtype="<u4"))
+                    if keep_text:
+                        row.append(text.decode())
+                    rows.append(row)
+                out = pdf.iloc[piece].drop(columns="text").reset_index(drop=True)
+                yield pd.concat([out, pd.DataFrame(rows, columns=names, index=out.index)], axis=1)
 
     kept = docs.select(*(F.col(c) for c in docs.columns if c not in names))
-    schema = T.StructType([f for f in kept.schema.fields if keep_ids or f.name != "text"] + fields)
+    schema = T.StructType([f for f in kept.schema.fields if f.name != "text"] + fields)
     return kept.mapInPandas(run, schema)
 
 

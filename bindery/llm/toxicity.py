@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .vectext import NOT_LETTER, filled, pieces, prefix_hash, words
 
 BITS = 18
-SAMPLE = 4000
+SAMPLE = 3000
 GRADES = 3
 #: Bytes of the word beginnings that are features.
 PREFIXES = (3, 4, 5, 6, 7)
@@ -82,9 +82,9 @@ def fit_rows(doc: np.ndarray, spot: np.ndarray, n: np.ndarray, toxic: np.ndarray
     """Proximal Adam on the whole sample."""
     y = grades(doc, spot, n, toxic)
     keep = np.bincount(spot, minlength=1 << BITS)[spot] >= least
-    doc, n = doc[keep], n[keep]
     used, col = np.unique(spot[keep], return_inverse=True)
-    x = np.log1p(n)
+    doc, col, x = doc[keep].astype(np.int32), col.astype(np.int32), np.log1p(n[keep]).astype(np.float32)
+    del spot, n, keep
     w, t = np.zeros(len(used)), np.zeros(GRADES)
     above = np.array([(y > j).mean() for j in range(GRADES)])
     t[:] = -np.log(np.maximum(above, 1e-4) / (1 - np.minimum(above, 1 - 1e-4)))
@@ -127,14 +127,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
                 doc, spot, n = features(all_texts[piece])
                 cut = np.searchsorted(doc, np.arange(len(all_texts[piece]) + 1))
                 spans = list(zip(cut[:-1], cut[1:]))
-                yield pd.DataFrame({"toxic": pdf["label_toxic"].iloc[piece].to_numpy(), "spot": [spot[a:b].astype(np.int32).tobytes() for a, b in spans], "n": [n[a:b].astype(np.int32).tobytes() for a, b in spans]})
+                yield pd.DataFrame({"toxic": pdf["label_toxic"].iloc[piece].to_numpy(), "spot": [spot[a:b].astype(np.int32).tobytes() for a, b in spans], "n": [n[a:b].astype(np.int32).tobytes() for a, b in spans], "size": [b - a for a, b in spans]})
 
-    rows = texts.select("label_toxic", "text").mapInPandas(sparse, "toxic int, spot binary, n binary").toPandas()
+    rows = texts.select("label_toxic", "text").mapInPandas(sparse, "toxic int, spot binary, n binary, size int").toPandas()
     if rows.empty or rows["toxic"].nunique() < 2:
         return None
-    spots = [np.frombuffer(s, dtype=np.int32) for s in rows["spot"]]
-    counts = [np.frombuffer(s, dtype=np.int32) for s in rows["n"]]
-    return fit_rows(np.repeat(np.arange(len(rows)), [len(s) for s in spots]), np.concatenate(spots).astype(np.int64), np.concatenate(counts), rows["toxic"].to_numpy())
+    spot, n = (np.frombuffer(b"".join(rows.pop(c)), dtype=np.int32) for c in ("spot", "n"))
+    return fit_rows(np.repeat(np.arange(len(rows), dtype=np.int32), rows["size"]), spot, n, rows["toxic"].to_numpy())
 
 
 def severity(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
