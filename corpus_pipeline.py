@@ -44,8 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, checked by decoding them again, instead of its text."""
     done = bpe.encoded(docs)
-    whole = F.col("bpe_text") == F.coalesce("text", F.lit(""))
-    return done.select("doc_id", "lang", "source", F.col("bpe_n_tokens").alias("n_tokens"), F.col("bpe_ids").alias("ids"), F.col("bpe_ids_sha256").alias("ids_sha256"), F.col("bpe_decoded_sha256").alias("decoded_sha256"), whole.alias("round_trip"))
+    names = {"bpe_n_tokens": "n_tokens", "bpe_ids": "ids", "bpe_ids_sha256": "ids_sha256", "bpe_decoded_sha256": "decoded_sha256", "bpe_round_trip": "round_trip"}
+    return done.select("doc_id", "lang", "source", *(F.col(c).alias(n) for c, n in names.items()))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
