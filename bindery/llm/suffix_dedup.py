@@ -133,8 +133,11 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     named = triples.join(order, ["a", "b", "c"]).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", (F.col("before_n") + 1).alias("t")))).alias("x"))
     named = named.select("key", F.col("x.i").alias("i"), F.col("x.t").alias("t"))
     if depth == 0:
-        return written(named.select("key", F.col("t").alias("ranks")), "suffix-ranks")
+        ranks = written(named.select("key", F.col("t").alias("ranks")), "suffix-ranks")
+        discard(order)
+        return ranks
     sample = written(named.mapInPandas(_sampled, "key long, names array<bigint>"), "suffix-sample")
+    discard(order)
     ranked = suffix_ranks(sample, depth - 1)
     discard(sample)
     places = written(strings.join(ranked, "key", "left").select("key", "names", "ranks").mapInPandas(_merge_keys, "key long, i int, kind int, a long, b long, r0 long, r1 long, r2 long"), "suffix-places")
@@ -150,7 +153,10 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     second = rest.filter("kind = 1").join(near, ["a", "r1"]).select("key", "i", (F.col("before_n") + F.col("near_0")).alias("less"))
     third = rest.filter("kind = 2").join(far, ["a", "b", "r2"]).select("key", "i", (F.col("before_n") + F.col("far_0")).alias("less"))
     merged = first.union(second).union(third).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", (F.col("less") + 1).alias("r")))).alias("x"))
-    return written(merged.select("key", F.col("x.r").alias("ranks")), "suffix-ranks")
+    result = written(merged.select("key", F.col("x.r").alias("ranks")), "suffix-ranks")
+    for done in (places, near, far, sampled):
+        discard(done)
+    return result
 
 
 def _strings(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,6 +330,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
         depth += 1
     ranks = suffix_ranks(strings.select("key", "names"), depth)
     near = written(neighbours(strings, ranks), "suffix-neighbours")
+    discard(ranks)
     placed = near.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "shared", "block"))).alias("x"))
     placed = written(strings.select("key", "sizes", "many").join(placed, "key").select("key", "sizes", "many", F.col("x.shared").alias("shared"), F.col("x.block").alias("block")), "suffix-placed")
     unsure = placed.select("sizes", "many", "shared", "block").mapInPandas(_unsure, "block long").distinct()
