@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
 from ..sources.derive import derived, oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        ship(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         return derived(self.spark, self.sf_dir, name)
