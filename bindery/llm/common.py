@@ -7,11 +7,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 #: What separates words wherever a contract says `[^\x20\x09-\x0D]+`.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
