@@ -1,14 +1,15 @@
-"""The job stream: consumption, running counts, and the per-volume state machine as keyed state."""
+"""The job stream: consumption, running counts, and the per-volume state machine."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.machine import RETRIES, STAGES
 from ..operators.queueing import RELEASE_STATES
@@ -26,10 +27,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 8) -> DataFrame:
-    """A Parquet table as a stream of its files."""
+    """A Parquet table, one file or a folder of files, as a stream of its files."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", "true")
-    return reader.option("pathGlobFilter", f"{name}.parquet").load(sf_dir)
+    return reader.load(f"{sf_dir}/{name}.parque[t]")  # a source takes one file only by a pattern, which a folder matches as well
 
 
 def accepted(stream: DataFrame, body: str = "body") -> DataFrame:
@@ -57,29 +58,59 @@ def final_counts(stream: DataFrame, keys: list[str]) -> DataFrame:
     return changes.groupBy(*keys).agg(F.max_by("n", "batch").alias("n"))
 
 
-STATE = "status string, failure_count long, steps long"
+def moves() -> tuple[list[tuple[str, int]], np.ndarray]:
+    """The (status, failures) that a volume can be in, the first a new volume's; and [success, state]: the state after an outcome.
 
-
-def advance(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One volume's outcomes in order: the status moves by the stage table; after a release the volume starts anew."""
-    status, failures, steps = state.get if state.exists else ("ready", 0, 0)
+    After a release the volume starts anew, so the states are few and fixed.
+    """
     stages = {s: (good, bad) for s, _, good, bad in STAGES["ia"]}
+    states, after = [("ready", 0)], []
+    for status, failures in states:  # grows by what can be reached
+        good, bad = stages.get(status, ("punted", "punted"))
+        row = []
+        for new in (("punted" if failures >= RETRIES else bad or "punted", failures + 1), (good, failures)):
+            new = ("ready", 0) if new[0] in RELEASE_STATES else new
+            if new not in states:
+                states.append(new)
+            row.append(states.index(new))
+        after.append(row)
+    return states, np.array(after, dtype=np.int32).T
+
+
+def advanced(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One partition of outcomes in order of (volume, event_id): each volume's run of them as the state that follows from every state."""
+    part, (states, after) = TaskContext.get().partitionId(), moves()
+    volume, goes, steps = None, None, 0
+    row = lambda: pd.DataFrame({"volume": pd.array([volume], dtype="Int64"), "part": [part], "goes": [goes.tolist()], "steps": [steps]})
     for pdf in pdfs:
-        for success in pdf.sort_values("event_id")["success"]:
-            good, bad = stages.get(status, ("punted", "punted"))
-            status = good if success else ("punted" if failures >= RETRIES else bad or "punted")
-            failures += not success
+        volumes = pdf["volume"].astype("Int64")
+        for v, ok in zip(volumes, pdf["success"].to_numpy(dtype=np.int64)):
+            v = None if v is pd.NA else v
+            if goes is None or v != volume:
+                if goes is not None:
+                    yield row()
+                volume, goes, steps = v, np.arange(len(states), dtype=np.int32), 0
+            goes = after[ok][goes]
             steps += 1
-            if status in RELEASE_STATES:
-                status, failures = "ready", 0
-    state.update((status, int(failures), int(steps)))
-    yield pd.DataFrame({"volume": [key[0]], "status": [status], "failure_count": [int(failures)], "steps": [int(steps)]})
+    if goes is not None:
+        yield row()
 
 
 def final_states(stream: DataFrame) -> DataFrame:
-    """Each volume's state after a stream of (volume, event_id, success); event_id orders a volume's outcomes."""
+    """Each volume's state after a stream of (volume, event_id, success); event_id orders a volume's outcomes.
+
+    They may come in any order and in any number of files, so the stream only
+    collects them. At its end they are sorted over ranges of (volume, event_id): a
+    volume with many outcomes is cut into several ranges, each of which gives one
+    row, and these few rows are applied one after the other.
+    """
     spark, folder = stream.sparkSession, shared_folder(stream.sparkSession)
-    states = stream.groupBy("volume").applyInPandasWithState(advance, "volume long, status string, failure_count long, steps long", STATE, "update", GroupStateTimeout.NoTimeout)
-    to_end(states, "update", lambda df, batch: df.write.mode("overwrite").parquet(f"{folder}/out/{batch}"), f"{folder}/check")
-    changes = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/out")
-    return changes.groupBy("volume").agg(F.max_by(F.struct("status", "failure_count"), "steps").alias("s"), F.max("steps").alias("steps")).select("volume", "s.*", "steps")
+    outcomes = stream.select(F.col("volume").cast("long").alias("volume"), "event_id", F.coalesce("success", F.lit(False)).alias("success"))
+    to_end(outcomes, "append", lambda df, batch: df.write.mode("overwrite").parquet(f"{folder}/out/{batch}"), f"{folder}/check")
+    order = ("volume", F.col("event_id").asc_nulls_last(), "success")
+    came = spark.read.schema(outcomes.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/out")
+    runs = came.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(advanced, "volume long, part int, goes array<int>, steps long")
+    whole = runs.groupBy("volume").agg(F.array_sort(F.collect_list(F.struct("part", "goes"))).alias("runs"), F.sum("steps").alias("steps"))
+    at = F.aggregate("runs", F.lit(0), lambda state, run: run["goes"][state])
+    states = F.array(*(F.struct(F.lit(s).alias("status"), F.lit(n).cast("long").alias("failure_count")) for s, n in moves()[0]))
+    return whole.select("volume", F.get(states, at).alias("s"), "steps").select("volume", "s.*", "steps")

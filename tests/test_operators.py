@@ -127,3 +127,35 @@ def test_dead_letters_and_accepted_messages_part_the_stream(spark):
 
     df = spark.createDataFrame([('{"namespace":"a","id":"b","pkg_type":"c","status":"d"}',), ("no json",)], "body string")
     assert accepted(df).count() == 1 and dead_letters(df).count() == 1
+
+
+def expected_states(outcomes):
+    from bindery.operators.queueing import RELEASE_STATES
+
+    stages, found = {a: (c, d) for a, _, c, d in machine.STAGES["ia"]}, {}
+    for volume, _, ok in sorted(outcomes):
+        status, failures, steps = found.get(volume, ("ready", 0, 0))
+        good, bad = stages.get(status, ("punted", "punted"))
+        status = good if ok else ("punted" if failures >= machine.RETRIES else bad or "punted")
+        failures += not ok
+        found[volume] = ("ready", 0, steps + 1) if status in RELEASE_STATES else (status, failures, steps + 1)
+    return {(v, *x) for v, x in found.items()}
+
+
+def test_machine_applies_outcomes_in_order_whatever_the_files_batches_and_frames(spark, tmp_path):
+    from bindery.streaming import jobs
+
+    # a third of the rows are one volume's; ids run against the order of the rows in files, over 12 files (two micro-batches) and frames of 50 rows
+    outcomes = [((1 if i % 3 == 0 else 2 + i % 40), 3000 - i, (i * 7919 + i // 5) % 11 > 2) for i in range(3000)]
+    df = spark.createDataFrame(outcomes, "volume long, event_id long, success boolean")
+    df.repartition(12).write.parquet(f"{tmp_path}/events.parquet")
+    df.limit(1).write.parquet(f"{tmp_path}/other.parquet")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for k, v in zip(before, ("50", "false")):  # the large volume is also cut into several ranges
+        spark.conf.set(k, v)
+    try:
+        found = {tuple(r) for r in jobs.final_states(jobs.table_stream(spark, str(tmp_path), "events")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == expected_states(outcomes)
