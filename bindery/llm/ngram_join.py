@@ -87,9 +87,9 @@ def _dealt(buckets: int):
                 doc = np.concatenate([d + s for (d, _), s in zip(part, shift)])
                 value = np.concatenate([v for _, v in part])
                 n = np.bincount(doc, minlength=shift[-1])
-                starts = np.minimum(np.cumsum(n) - n, max(len(value) - 1, 0))
-                own = mixed(value)
-                key = np.where(n > 0, np.add.reduceat(own, starts) if len(own) else np.uint64(0), np.uint64(0))
+                some = n > 0
+                key = np.zeros(len(n), dtype=np.uint64)
+                key[some] = np.add.reduceat(mixed(value), (np.cumsum(n) - n)[some])  # documents without shingles have no start
                 key = mixed(key ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
                 yield pd.DataFrame({"bucket": [int(ids[piece][0]) % buckets], "kind": [0], "sets": [ids[piece].tobytes() + key.tobytes() + n.astype(np.int64).tobytes()], "whose": [b""], "shingles": [b""]})
 

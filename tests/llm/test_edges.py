@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from bindery.llm import bpe, imatch, langid, mixing, ngram_join, pii, suffix_dedup, tokencount, topk, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, key string, score int, bucket string, imatch_slice int, mix_size int, pii_n int, toxic_p string"
@@ -162,6 +163,16 @@ def test_ngram_join(docs, empty):
     assert ngram_join.op8_ngram_join(empty).count() == 0
 
 
+@pytest.mark.parametrize("last", [None, "", " "])
+def test_ngram_join_links_copies_of_six_words_before_a_text_without_words(spark, last):
+    six = "one two three four five six"
+    rows = [(1, "a b c d e f g h"), (2, six), (3, six), (4, last), (5, last)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in ngram_join.near_duplicates(df).collect()}
+    assert found == {1: (1, 4), 2: (2, 2), 3: (2, 2), 4: (4, 0), 5: (5, 0)}
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [1, 2, 4, 5]
+
+
 @pytest.mark.parametrize("frequent", [None, 1, 3])
 def test_ngram_join_by_brute_force(spark, frequent):
     rng = np.random.default_rng(5)
