@@ -117,3 +117,20 @@ def ocr_split(t: Tables) -> DataFrame:
     page = F.concat(F.lit('<OBJECT usemap="x"><HIDDENTEXT><PARAGRAPH>'), line(1), line(6), F.lit("</PARAGRAPH><PARAGRAPH>"), line(11), F.lit("</PARAGRAPH></HIDDENTEXT></OBJECT>"))
     pages = t.conversations.groupBy(F.col("conv_id").alias("volume")).agg(F.array_sort(F.collect_list(F.struct("turn", page.alias("x")))).alias("p"))
     return d.page_texts(pages.select("volume", F.concat(F.lit("<DjVuXML><BODY>"), F.array_join("p.x", ""), F.lit("</BODY></DjVuXML>")).alias("xml")))
+
+
+@query("ocr_split_whole", r"""
+  with w as (select conv_id as volume, turn, coalesce(regexp_extract_all(text, '[A-Za-z]+'), []) as words, row_number() over (partition by conv_id order by turn) as page from conversations)
+  select volume, page, coalesce(array_to_string([concat(array_to_string(words[a:a + 4], ' '), case when a + 5 <= len(words) then concat(chr(10), array_to_string(words[a + 5:a + 9], ' ')) else '' end) for a in range(1, len(words) + 1, 10)], concat(chr(10), chr(10))), '') as text
+  from w""")
+def ocr_split_whole(t: Tables) -> DataFrame:
+    """ocr_split over all words of each text: lines of five, paragraphs of two lines."""
+    words = F.coalesce(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0), F.array().cast("array<string>"))
+    rows = t.conversations.select("conv_id", "turn", words.alias("words"))
+    line = lambda a: F.concat(F.lit("<LINE>"), F.array_join(F.transform(F.slice("words", a, 5), lambda w: F.concat(F.lit("<WORD>"), w, F.lit("</WORD>"))), ""), F.lit("</LINE>"))
+    paragraph = lambda a: F.concat(F.lit("<PARAGRAPH>"), line(a), F.when(a + 5 <= F.size("words"), line(a + 5)).otherwise(""), F.lit("</PARAGRAPH>"))
+    # greatest: a sequence can't end before it begins
+    starts = F.when(F.size("words") > 0, F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(10))).otherwise(F.array().cast("array<int>"))
+    page = F.concat(F.lit('<OBJECT usemap="x"><HIDDENTEXT>'), F.array_join(F.transform(starts, paragraph), ""), F.lit("</HIDDENTEXT></OBJECT>"))
+    pages = rows.groupBy(F.col("conv_id").alias("volume")).agg(F.array_sort(F.collect_list(F.struct("turn", page.alias("x")))).alias("p"))
+    return d.page_texts(pages.select("volume", F.concat(F.lit("<DjVuXML><BODY>"), F.array_join("p.x", ""), F.lit("</BODY></DjVuXML>")).alias("xml")))

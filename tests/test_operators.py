@@ -159,3 +159,13 @@ def test_machine_applies_outcomes_in_order_whatever_the_files_batches_and_frames
         for k, v in before.items():
             spark.conf.set(k, v)
     assert found == expected_states(outcomes)
+
+
+def test_every_word_of_a_long_page_is_split(spark, tmp_path):
+    from bindery.plans import QUERIES
+
+    words = [[chr(97 + i % 26) * (1 + i // 26) for i in range(n)] for n in (0, 3, 15, 16, 21, 300)]
+    spark.createDataFrame([(1, i, " ".join(w)) for i, w in enumerate(words)] + [(1, 6, None)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r["page"]: r["text"] for r in QUERIES["ocr_split_whole"](spark, str(tmp_path)).collect()}
+    lines = [[" ".join(w[i : i + 5]) for i in range(0, len(w), 5)] for w in [*words, []]]
+    assert found == {n + 1: "\n\n".join("\n".join(x[i : i + 2]) for i in range(0, len(x), 2)) for n, x in enumerate(lines)}
