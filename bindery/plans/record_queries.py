@@ -20,6 +20,14 @@ def marc_leaders(t: Tables) -> DataFrame:
     return t.orders.filter("o_orderkey % 4 in (0, 2)").select("o_orderkey", r.marc_leader(F.expr(LEADERS)).alias("leader"))
 
 
+@query("marc_leaders_all", """
+  with l as (select o_orderkey, lpad(cast(o_orderkey % 100000 as string), 5, '0') as n, o_orderkey % 4 as k from orders)
+  select o_orderkey, case k when 0 then concat(n, 'nam a2200049 a 4500') when 1 then '      am a2200100i  4500' when 2 then '00714cam a2200205ua     ' else '      am a          4500' end as leader from l""")
+def marc_leaders_all(t: Tables) -> DataFrame:
+    """marc_leaders over all orders; the second kind, one character short in LEADERS, has 24."""
+    return t.orders.select("o_orderkey", r.marc_leader(F.expr(LEADERS.replace("'i 4500'", "'i  4500'"))).alias("leader"))
+
+
 @query("image_dates", """
   select event_id, case event_id % 5 when 0 then '2024:01:02 03:04:05' when 1 then '2024:01:02 03:04:05' when 2 then '2023:05:06 07:08:09' else '2020:01:01 00:00:00' end as tiff,
     case event_id % 5 when 0 then '2024-01-02T03:04:05Z' when 1 then '2024-01-02T03:04:05' when 2 then '2023-05-06T07:08:09Z' when 3 then '2020-01-01T00:00:00Z' end as xmp from events""")

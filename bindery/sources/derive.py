@@ -107,6 +107,9 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
           ts as date, event_id % 3 as origin, md5(concat(cast(user_id as string), event_type, cast(event_id % 2 as string))) as eventid, event_id
         from {events}"""),
 }
+#: tech_metadata of every line of an order.
+LATER_LINES = " where l_linenumber >= 3"
+TABLES["tech_metadata_all"] = (TABLES["tech_metadata"][0], TABLES["tech_metadata"][1].replace(LATER_LINES, ""))
 
 VERSION = {"spark": "date_format(l_shipdate, 'yyyyMMddHHmmss')", "duckdb": "strftime(l_shipdate, '%Y%m%d%H%M%S')"}
 #: A backslash in a Spark SQL literal is doubled.
