@@ -8,7 +8,9 @@ reruns and retried tasks agree.
 Defined cases: null text counts no words; null sources form one source, which
 comes last; repeated rows are documents of their own that share a decision;
 sources without words get the target 0 and none of their documents are taken;
-an empty table gives an empty result; other columns pass through untouched.
+an empty table gives an empty result; very long texts count all their words;
+sources that stop at the same share are taken in order of their names; other
+columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -16,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, written
 
 WEIGHTS = (3, 1, 2)
+#: Sources whose targets are broadcast; beyond this they are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -34,7 +38,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, ratio:
     weight is the largest of (words still to give) / (weight still open).
 
     The windows run over one row per source, after aggregation, not over
-    documents: their input is as small as the list of sources.
+    documents: their input is as small as the list of sources, at most a few
+    million rows of some forty bytes for any list of sources that people keep.
     """
     by_source = sizes.groupBy("mix_source").agg(F.sum("size").alias("source_size"))
     in_order = Window.orderBy(F.col("mix_source").asc_nulls_last())
@@ -63,8 +68,9 @@ def with_copies(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = W
     another; the second counts again and looks its source up.
     """
     sized = docs.withColumn("mix_size", word_count(F.col("text")))
-    targets = source_targets(sized.select(F.col("source").alias("mix_source"), F.col("mix_size").alias("size")), weights, ratio, cap)
-    joined = sized.join(targets, sized["source"].eqNullSafe(targets["mix_source"]), "left")
+    targets = written(source_targets(sized.select(F.col("source").alias("mix_source"), F.col("mix_size").alias("size")), weights, ratio, cap), "mixing-targets")
+    few = F.broadcast(targets) if targets.count() <= MOST_BROADCAST else targets
+    joined = sized.join(few, sized["source"].eqNullSafe(targets["mix_source"]), "left")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     extra = (uniform(F.col("doc_id"), seed) < rate - F.floor(rate)).cast("long")
     return joined.select(*(sized[c] for c in sized.columns), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), (F.floor(rate) + extra).alias("mix_copies"))

@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .common import discard, written
 from .components import components
 from .vectext import filled, mixed, pieces, words
@@ -108,9 +109,9 @@ def _dealt(buckets: int):
                     several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
                     head = several & ~np.concatenate([[False], same])
                     bucket = ((v >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                    if several.any():  # these need no bucket's answer
+                    if several.any():  # these need no bucket's answer: any bucket may carry them
                         full_id = (bucket[several] << 32) | v[several].astype(np.uint32)
-                        yield pd.DataFrame({"bucket": [int(bucket[several][0])], "kind": [2], "sets": [key[chosen][at[several]].tobytes()], "whose": [b""], "shingles": [full_id.tobytes()]})
+                        yield pd.DataFrame({"bucket": [int(v[several].sum() % np.uint64(buckets))], "kind": [2], "sets": [key[chosen][at[several]].tobytes()], "whose": [b""], "shingles": [full_id.tobytes()]})
                     send = ~several | head
                     bucket, low, at = bucket[send], v[send].astype(np.uint32), np.where(several[send], len(chosen), at[send])
                     order = np.lexsort((at, bucket))
@@ -172,43 +173,83 @@ def needed(n: Column | str) -> Column:
     return F.floor((n * SHARE + (OF - 1)) / OF)
 
 
-def _keys(frequent: int):
-    """Index keys of each set, from its shingles in order of frequency."""
+def size_class(n: int) -> int:
+    """A number that grows with n, eight to each doubling."""
+    shift = max(0, n.bit_length() - 4)
+    return 8 * shift + (n >> shift)
+
+
+def frequent_from(size: int) -> int:
+    """Sets that a token must have to be indexed in combinations among sets of this size.
+
+    A set of n has prefixes of about n / 4, so (n / 4)^2 / 2 combinations: they
+    pay where a token's list is longer than about half as many sets.
+    """
+    return max(64, size * size // 64)
+
+
+def _prefix(token: np.ndarray, common: np.ndarray, may_differ: int) -> list[np.ndarray]:
+    """Keys of tokens in order of frequency: rare ones alone, then common ones in twos, until a partner must share a key."""
+    done = np.cumsum(~common) + np.maximum(np.cumsum(common) - 1, 0)
+    upto = int(np.searchsorted(done, may_differ + 1)) + 1
+    token, common = token[:upto], common[:upto]
+    keys = [token[~common]]
+    pair = np.sort(token[common]).view(np.uint64)
+    for i in range(len(pair) - 1):
+        keys.append((mixed(pair[i : i + 1]) + mixed(pair[i + 1 :] ^ np.uint64(0xA5A5A5A5A5A5A5A5))).view(np.int64))
+    return keys
+
+
+def _single_keys(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The tokens of each set's prefix, alone."""
+    for pdf in pdfs:
+        keys = [np.asarray(t, dtype=np.int64)[: len(t) - -(-SHARE * n // OF) + 1] for t, n in zip(pdf["tokens"], pdf["n"].tolist())]
+        times = [len(k) for k in keys]
+        yield pd.DataFrame({"key": np.concatenate(keys or [np.zeros(0, dtype=np.int64)]), **{c: np.repeat(pdf[c].to_numpy(), times) for c in ("node", "n", "component")}})
+
+
+def _class_keys(frequent: int | None):
+    """Index keys of each set by size class: as the larger set of a pair in its own class, as the smaller one in each class that a partner can be of."""
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
-            node, key, size, held = [], [], [], 0
+            out, about, held = [], [], 0
             for row in pdf.itertuples(index=False):
-                token = np.asarray(row.tokens, dtype=np.int64)
-                common = np.asarray(row.counts, dtype=np.int64) > frequent
-                may_differ = row.n - -(-SHARE * row.n // OF) - (row.n - len(token))
-                done = np.cumsum(~common) + np.maximum(np.cumsum(common) - 1, 0)
-                upto = int(np.searchsorted(done, may_differ + 1)) + 1
-                token, common = token[:upto], common[:upto]
-                mine = [token[~common]]
-                pair = np.sort(token[common]).view(np.uint64)
-                for i in range(len(pair) - 1):
-                    mine.append((mixed(pair[i : i + 1]) + mixed(pair[i + 1 :] ^ np.uint64(0xA5A5A5A5A5A5A5A5))).view(np.int64))
-                mine = np.concatenate(mine)
-                node.append(np.full(len(mine), row.node, dtype=np.int64))
-                size.append(np.full(len(mine), row.n, dtype=np.int64))
-                key.append(mine)
-                held += len(mine)
+                token, counts = np.asarray(row.tokens, dtype=np.int64), np.asarray(row.counts, dtype=np.int64)
+                most = (OF + SHARE) * len(token) // SHARE - row.n  # a larger partner has no more than this
+                roles = [(False, -(-SHARE * row.n // OF), [size_class(row.n)])]
+                if most >= row.n:
+                    roles.append((True, -(-2 * SHARE * row.n // (OF + SHARE)), list(range(size_class(row.n), size_class(most) + 1))))
+                for small, share, classes in roles:
+                    known = {}
+                    for c in classes:
+                        bound = frequent if frequent is not None else frequent_from(c if c < 16 else (8 + c % 8) << (c // 8 - 1))
+                        if bound not in known:
+                            known[bound] = np.concatenate(_prefix(token, counts > bound, len(token) - share))
+                        keys = mixed(known[bound].view(np.uint64) + np.uint64(c)).view(np.int64)
+                        out.append(keys)
+                        about.append((row.node, row.n, len(token), row.component, small, len(keys)))
+                        held += len(keys)
                 if held > 200_000:
-                    yield pd.DataFrame({"key": np.concatenate(key), "node": np.concatenate(node), "n": np.concatenate(size)})
-                    node, key, size, held = [], [], [], 0
-            if key:
-                yield pd.DataFrame({"key": np.concatenate(key), "node": np.concatenate(node), "n": np.concatenate(size)})
+                    yield _repeated(out, about)
+                    out, about, held = [], [], 0
+            if held:
+                yield _repeated(out, about)
 
     return run
 
 
+def _repeated(keys: list[np.ndarray], about: list[tuple]) -> pd.DataFrame:
+    *columns, times = (np.array(x) for x in zip(*about))
+    return pd.DataFrame({"key": np.concatenate(keys), **{c: np.repeat(x, times) for c, x in zip(("node", "n", "s", "component", "small"), columns)}})
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, link) of pairs (a, b) of nodes; a node with several sets gives several rows."""
+    """The pairs (a, b) of nodes that link."""
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("tokens_a"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", (OF * both >= SHARE * (F.col("n_a") + F.col("n_b") - both)).alias("link"))
+    return pairs.join(one, "a").join(two, "b").filter(OF * both >= SHARE * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
 
 
 def fits(n: str, m: str) -> Column:
@@ -216,79 +257,113 @@ def fits(n: str, m: str) -> Column:
     return (OF * F.least(n, m) >= SHARE * F.greatest(n, m))
 
 
-def link_components(sets: DataFrame, frequent: int | None = None, turns: tuple[str, ...] = ("one", "one", "every", "pairs")) -> DataFrame:
-    """(node, component) of nodes that link, from sets (node, n, tokens, counts), counts being each token's frequency.
+def still_open(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(node, n, component, tokens, counts) of the sets that can have a link to another component.
 
-    A turn "one" compares each node with one leader, the one it shares most keys
-    with; "every" with the leader of each key; "pairs" compares what is left of a
-    key between different components.
+    Only a token that sets of several components have can be shared between two of
+    them, and a set needs enough such tokens; they come rarest first.
     """
-    if frequent is None:
-        frequent = max(5000, sets.count() // 100)
-    index = written(sets.mapInPandas(_keys(frequent), "key long, node long, n long").distinct(), "ngram-index")
-    open_keys = written(index.groupBy("key").count().filter("count > 1").select("key"), "ngram-keys")
-    lists = written(index.join(open_keys, "key"), "ngram-lists")
+    named = sets.select("node", "n", "tokens")
+    named = named.withColumn("component", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = named.select("node", "n", "component", F.explode("tokens").alias("token"))
+    often = each.groupBy("token").agg(F.count("*").alias("count"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("token", "count")
+    often = written(often, "ngram-often")
+    kept = each.join(often, "token").groupBy("node", "n", "component").agg(F.array_sort(F.collect_list(F.struct("count", "token"))).alias("t"))
+    kept = written(kept.filter(F.size("t") >= needed("n")).select("node", "n", "component", F.col("t.token").alias("tokens"), F.col("t.count").alias("counts")), "ngram-sets")
+    discard(often)
+    return kept
+
+
+def led_pairs(sets: DataFrame) -> DataFrame:
+    """Each set with one leader of another component, the one that leads most of the keys they share.
+
+    A key's leaders are the smallest set of its lowest component and the
+    smallest of its highest one.
+    """
+    lists = written(sets.select("node", "n", "component", "tokens").mapInPandas(_single_keys, "key long, node long, n long, component long"), "ngram-lists")
+    low, high = F.min(F.struct("component", "n", "node")).alias("low"), F.max(F.struct("component", (-F.col("n")).alias("less"), "node")).alias("high")
+    ends = lists.groupBy("key").agg(low, high).filter("low.component < high.component")
+    ends = ends.select("key", F.col("low.component").alias("c_low"), F.col("low.node").alias("low"), F.col("low.n").alias("n_low"), F.col("high.node").alias("high"), (-F.col("high.less")).alias("n_high"))
+    ends = written(ends, "ngram-leaders")
+    own = F.col("component") == F.col("c_low")
+    led = lists.join(ends, "key").select("node", "n", F.when(own, F.col("high")).otherwise(F.col("low")).alias("a"), F.when(own, F.col("n_high")).otherwise(F.col("n_low")).alias("n_a")).filter(fits("n", "n_a"))
+    most = led.groupBy("node", "a").count().groupBy("node").agg(F.min(F.struct((-F.col("count")).alias("less"), "a")).alias("m"))
+    pairs = most.select("node", F.col("m.a").alias("a"))
+    pairs = written(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "ngram-led")
+    discard(lists)
+    discard(ends)
+    return pairs
+
+
+def open_pairs(sets: DataFrame, frequent: int | None) -> DataFrame:
+    """All pairs of sets of different components that share an index key and can link by their numbers of shingles and of shareable ones."""
+    index = written(sets.mapInPandas(_class_keys(frequent), "key long, node long, n long, s long, component long, small boolean"), "ngram-index")
+    sides = index.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("small").alias("some_small"), F.bool_or(~F.col("small")).alias("some_large"))
+    sides = written(sides.filter("low < high and some_small and some_large").select("key"), "ngram-keys")
+    lists = written(index.join(sides, "key"), "ngram-lists")
     discard(index)
-    links = compared = labels = None
-    for turn, how in enumerate(turns):
-        if labels is None:
-            named = lists.withColumn("component", F.col("node"))
-        else:
-            named = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        sides = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key", "low")
-        named = written(named.join(written(sides, "ngram-sides"), "key"), "ngram-open")
-        if named.isEmpty():
-            break
-        if how != "pairs":
-            # one leader for each key: the smallest set, the first time of all, then outside the lowest component
-            of = F.when(F.lit(turn == 0) | (F.col("component") > F.col("low")), F.struct("n", "node"))
-            leader = named.groupBy("key").agg(F.min(of).alias("leader")).select("key", F.col("leader.node").alias("a"), F.col("leader.n").alias("n_a"))
-            if turn:
-                leader = leader.join(named.select("key", F.col("node").alias("a"), F.col("component").alias("of_a")), ["key", "a"])
-            else:
-                leader = leader.withColumn("of_a", F.col("a"))
-            pairs = named.join(written(leader, "ngram-leaders"), "key").filter((F.col("component") != F.col("of_a")) & fits("n", "n_a")).select("node", "a")
-            if how == "one":
-                most = pairs.groupBy("node", "a").count().groupBy("node").agg(F.max(F.struct("count", (-F.col("a")).alias("less"))).alias("m"))
-                pairs = most.select("node", (-F.col("m.less")).alias("a"))
-            pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        else:
-            # what stars left open: pairs of one key between different components
-            other = named.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("of_b"))
-            pairs = named.join(other, "key").filter((F.col("node") < F.col("b")) & (F.col("component") != F.col("of_b")) & fits("n", "n_b")).select(F.col("node").alias("a"), "b")
-        pairs = pairs.distinct()
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        result = written(verified(pairs, sets), "ngram-verified")
-        fresh = result.filter("link").select("a", "b")
-        compared = result if compared is None else compared.union(result)
-        if not fresh.isEmpty():
-            links = fresh if links is None else links.union(fresh)
-            labels = written(components(links), "ngram-labels")
-    if labels is None:
-        return sets.select("node", F.col("node").alias("component")).limit(0)
-    return labels
+    discard(sides)
+    one = lists.filter("small").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("component").alias("of_a"))
+    two = lists.filter("not small").select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"), F.col("component").alias("of_b"))
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    can = (OF + SHARE) * F.least("s_a", "s_b") >= SHARE * (F.col("n_a") + F.col("n_b"))
+    pairs = written(one.join(two, "key").filter(ordered & can & (F.col("of_a") != F.col("of_b"))).select("a", "b").distinct(), "ngram-pairs")
+    discard(lists)
+    return pairs
+
+
+def link_components(sets: DataFrame, given: DataFrame, frequent: int | None = None, led: int = 3) -> DataFrame:
+    """(node, component) of nodes that link, from sets (node, n, tokens) and links (a, b) that are given.
+
+    At most `led` turns compare sets with leaders, as long as that joins components;
+    the last turn compares all pairs that are still open.
+    """
+    links, labels = given, None if given.isEmpty() else written(components(given), "ngram-labels")
+    turn = 0
+    while turn <= led:
+        now = still_open(sets, labels)
+        pairs = led_pairs(now) if turn < led else open_pairs(now, frequent)
+        fresh = written(verified(pairs, now), "ngram-links")
+        discard(pairs)
+        if turn:
+            discard(sets)
+        sets = now
+        if fresh.isEmpty():
+            turn = turn + 1 if turn == led else led
+            continue
+        turn += 1
+        links = links.union(fresh)
+        labels = written(components(links), "ngram-labels")
+    discard(sets)
+    return labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, frequent: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs."""
+    ship(docs.sparkSession)
     known = docs.select("doc_id", "text")
     table = written(dealt(known.filter("doc_id is not null")), "ngram-dealt")
-    documents = table.filter("kind = 0").select(F.col("number").alias("doc_id"), "set", "n")
-    nodes = documents.filter("n > 0").groupBy("set", "n").agg(F.min("doc_id").alias("node"))
-    shared = table.filter("kind = 1").groupBy("set").agg(F.collect_set("number").alias("tokens"))
-    able = nodes.join(shared, "set").filter((F.size("tokens") >= needed("n")) & (F.col("n") > 2))
-    able = written(able.select("set", "n", "node", "tokens"), "ngram-able")
-
-    # a shingle that only sets without a chance have besides counts no more
-    each = able.select("node", "n", "set", F.explode("tokens").alias("token"))
-    often = written(each.groupBy("token").count().filter("count > 1"), "ngram-often")
-    sets = each.join(often, "token").groupBy("node", "n", "set").agg(F.array_sort(F.collect_list(F.struct("count", "token"))).alias("t"))
-    sets = written(sets.filter(F.size("t") >= needed("n")).select("node", "n", F.col("t.token").alias("tokens"), F.col("t.count").alias("counts")), "ngram-sets")
-    labels = link_components(sets, frequent)
-
-    named = written(nodes.join(labels, "node", "left").select("set", "n", F.coalesce("component", "node").alias("component")), "ngram-named")
-    found = documents.join(named, ["set", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    documents = table.filter("kind = 0").select(F.col("number").alias("doc_id"), F.col("set").alias("node"), "n")
+    nodes = documents.filter("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("least"))
+    shared = table.filter("kind = 1").groupBy(F.col("set").alias("node")).agg(F.collect_set("number").alias("tokens"))
+    able = nodes.join(shared, "node").filter((F.size("tokens") >= needed("n")) & (F.col("n") > 2))
+    able = written(able.select("node", "n", "tokens"), "ngram-able")
+
+    # the sets of one doc_id are one node
+    several = documents.filter("n > 0").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("doc_id", "a")
+    given = written(documents.filter("n > 0").join(several, "doc_id").select("a", F.col("node").alias("b")).filter("a < b").distinct(), "ngram-given")
+    labels = link_components(able, given, frequent)
+    discard(able)
+
+    named = written(nodes.join(labels, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")), "ngram-named")
+    roots = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    found = documents.join(named.join(roots, "component").select("node", "component_id"), "node", "left")
+    if several.isEmpty():
+        found = found.withColumn("of_id", F.col("component_id"))
+    else:  # rows of one doc_id without words belong to its other rows
+        by_id = found.groupBy("doc_id").agg(F.min("component_id").alias("of_id"))
+        found = found.join(by_id, "doc_id")
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("of_id", "doc_id").alias("component_id"))
     lost = known.filter("doc_id is null")
     if lost.isEmpty():
         return found

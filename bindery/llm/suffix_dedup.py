@@ -1,22 +1,28 @@
 """Removal of long repeated byte strings with a distributed difference-cover suffix array.
 
-The suffix array is built over content-defined phrases instead of bytes, and only
-over phrases that occur twice or more: a string of LENGTH bytes that repeats holds
-a run of such phrases wherever it occurs. Equal runs are one string of phrase
-names. Their suffixes are ranked by the difference cover {1, 2} modulo 3: triples
-of names at these places are sorted and named, the names' strings are ranked by
-recursion, and the remaining suffixes are merged in by their first name and the
-rank of what follows. Ranks need only tell prefixes of LENGTH bytes and one more
-phrase apart, which limits the recursion's depth. Neighbours in the order are then
-compared: what a suffix shares with either is the most it shares with any.
-
-Strings of LENGTH bytes that lie whole within a shared run of phrases are decided
-by that. Those that begin or end between two cuts, at the edges of a shared run,
-are listed, hashed (128 bits) and counted: an exact check of these places alone.
+The sample of places is taken by content: the anchors of all windows of LENGTH
+bytes (see anchors.py), about one in 90 bytes. Only anchors whose gram occurs
+twice or more matter. Runs of them are strings over (gram, distance to the next
+anchor); equal runs are kept once. Their suffixes are ranked by the difference
+cover {1, 2} modulo 3: triples of names at these places are sorted and named, the
+names' strings are ranked by recursion, and the remaining suffixes are merged in by
+their first name and the rank of what follows. Ranks need only tell the first
+LENGTH + WINDOW bytes apart, which limits the recursion's depth. Neighbours in the
+order are then compared: what a suffix shares with either is the most it shares
+with any. That decides all windows within runs that occur again.
+
+What is left are windows at the edges of such runs, where the texts begin to
+differ within LENGTH bytes of an anchor. They are decided exactly by halving: of the
+windows at offsets lo to hi before an anchor, all occur again if the bytes that
+they cover together do, and none does if the bytes that they all cover don't;
+otherwise their quarters are asked, down to single windows. Strings are compared by
+64-bit hashes: two different ones of n are taken for equal with a probability of
+about n^2 / 2^65, 1 in 10^5 for 10^7 strings asked.
 
 Defined cases: null text counts as empty; a text of fewer than LENGTH bytes keeps
-all; rows that repeat a doc_id are documents of their own, and equal rows repeat
-each other; an empty table gives an empty result; other columns are ignored.
+all; very long texts are taken whole, one at a time; rows that repeat a doc_id are
+documents of their own, and equal rows repeat each other; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,10 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
+from .anchors import GRAM, LENGTH, WINDOW, Hashes, anchors
 from .common import discard, written
-from .phrases import GRAM, WINDOW, answered, dealt
+from .vectext import filled, mixed, pieces
 
-LENGTH = 400
+#: Offsets that one check decides together, from turn to turn.
+BLOCKS = (64, 16, 4, 1)
 
 
 def before(rows: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
@@ -159,150 +168,115 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
     return result
 
 
+def _anchored(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in pdfs:
+        texts, rows = filled(pdf["text"]), pdf["row"].to_numpy(dtype=np.int64)
+        for piece in pieces(texts):
+            found = anchors([t.encode() for t in texts[piece]])
+            yield pd.DataFrame({"row": rows[piece][found.doc], "at": found.at, "first": found.first, "last": found.last, "name": found.name, "around": found.around})
+
+
 def _strings(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The runs of neighbouring phrases of each row: (row, start, key, names, sizes); the key is a hash of the names."""
+    """The runs of near anchors of each row: (row, start, key, names, sizes); the key is a hash of the names."""
     for pdf in pdfs:
         out = []
-        for row, start, size, name in zip(pdf["row"], pdf["start"], pdf["size"], pdf["name"]):
-            start, size, name = np.asarray(start), np.asarray(size), np.asarray(name) + 1
-            first = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1] + size[:-1]]))
-            for i, j in zip(first, np.append(first[1:], len(start))):
-                if size[i:j].sum() >= core(LENGTH):
-                    key = int.from_bytes(hashlib.blake2b(name[i:j].tobytes(), digest_size=8).digest(), "little", signed=True)
-                    out.append((row, start[i], key, name[i:j], size[i:j]))
+        for row, at, name in zip(pdf["row"], pdf["at"], pdf["name"]):
+            at, name = np.asarray(at, dtype=np.int64), np.asarray(name, dtype=np.int64)
+            first = np.flatnonzero(np.concatenate([[True], np.diff(at) > WINDOW]))
+            for i, j in zip(first, np.append(first[1:], len(at))):
+                sizes = np.append(np.diff(at[i:j]), GRAM)
+                # the last anchor's distance is none, which no other's is
+                symbol = mixed(name[i:j].view(np.uint64) + np.append(np.diff(at[i:j]), 0).astype(np.uint64))
+                symbol = (symbol >> np.uint64(2)).astype(np.int64) + 1
+                key = int.from_bytes(hashlib.blake2b(symbol.tobytes(), digest_size=8).digest(), "little", signed=True)
+                out.append((row, int(at[i]), key, symbol, sizes))
         yield pd.DataFrame(out, columns=["row", "start", "key", "names", "sizes"])
 
 
-def core(length: int) -> int:
-    """Bytes that two equal strings of this length share at least between cuts that both have."""
-    return length - GRAM - 2 * (WINDOW - 1)
+def _ends(sizes: np.ndarray) -> np.ndarray:
+    """For each place of a string, the end of the names that cover LENGTH + WINDOW bytes from it."""
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    return np.minimum(np.searchsorted(upto, upto[:-1] + LENGTH + WINDOW, side="left"), len(sizes))
 
 
 def _reach(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The most phrases that LENGTH bytes and one more phrase take in each string."""
+    """The most names that LENGTH + WINDOW bytes take in each string."""
     for pdf in pdfs:
-        most = 1
-        for sizes in pdf["sizes"]:
-            upto = np.concatenate([[0], np.cumsum(sizes)])
-            to = np.searchsorted(upto, upto[:-1] + LENGTH + WINDOW, side="left")
-            most = max(most, int((np.minimum(to, len(sizes)) - np.arange(len(sizes))).max(initial=1)))
-        yield pd.DataFrame({"most": [most]})
+        yield pd.DataFrame({"most": [max((int((_ends(np.asarray(s)) - np.arange(len(s))).max()) for s in pdf["sizes"]), default=1)]})
 
 
 def _suffixes(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every suffix with its rank and the names and sizes of its first LENGTH bytes and one more phrase."""
+    """Every suffix with its rank and the names and sizes of its first LENGTH + WINDOW bytes, as bytes."""
 
     def parts() -> Iterator[dict]:
         for key, names, sizes, ranks in each(pdfs, "key", "names", "sizes", "ranks"):
-            names, sizes = np.asarray(names), np.asarray(sizes)
-            upto = np.concatenate([[0], np.cumsum(sizes)])
-            to = np.minimum(np.searchsorted(upto, upto[:-1] + LENGTH + WINDOW, side="left"), len(sizes))
-            n = len(names)
-            yield {"rank": np.asarray(ranks), "key": np.full(n, key), "i": np.arange(n), "prefix": [names[a:b] for a, b in enumerate(to)], "widths": [sizes[a:b] for a, b in enumerate(to)]}
+            names, sizes = np.asarray(names, dtype=np.int64), np.asarray(sizes, dtype=np.int64)
+            to, n = _ends(sizes), len(names)
+            small = sizes.astype(np.uint8)
+            yield {"rank": np.asarray(ranks), "key": np.full(n, key), "i": np.arange(n), "prefix": [names[a:b].tobytes() for a, b in enumerate(to)], "widths": [small[a:b].tobytes() for a, b in enumerate(to)]}
 
     return gathered(parts(), 50_000)
 
 
-def shared_bytes(a: np.ndarray, b: np.ndarray, widths: np.ndarray) -> int:
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    return int(widths[: differ[0] if len(differ) else n].sum())
+def shared_bytes(a: bytes, b: bytes, widths: bytes) -> int:
+    """Bytes that two suffixes share by their equal first names."""
+    x, y = np.frombuffer(a, dtype=np.int64), np.frombuffer(b, dtype=np.int64)
+    n = min(len(x), len(y))
+    differ = np.flatnonzero(x[:n] != y[:n])
+    upto = int(differ[0]) if len(differ) else n
+    # an equal name means an equal gram as well, so the last one reaches GRAM bytes
+    return int(np.frombuffer(widths, dtype=np.uint8)[: upto - 1].sum(dtype=np.int64)) + GRAM if upto else 0
 
 
 def _compared(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Neighbours of one range of ranks: bytes shared with either, and blocks of suffixes that share a core; the outermost keep their prefixes."""
-    part, last, block, held = TaskContext.get().partitionId(), None, 0, None
+    """Bytes that each suffix of one range of ranks shares with a neighbour; the outermost keep their prefixes."""
+    part, held, last = TaskContext.get().partitionId(), None, None
     for pdf in pdfs:
         if not len(pdf):
             continue
-        prefixes, widths = [np.asarray(x) for x in pdf["prefix"]], [np.asarray(x) for x in pdf["widths"]]
-        left = np.zeros(len(pdf), dtype=np.int64)
-        for i in range(len(pdf)):
-            previous = prefixes[i - 1] if i else last
-            left[i] = shared_bytes(previous, prefixes[i], widths[i]) if previous is not None else 0
-        numbers = block + np.cumsum(left < core(LENGTH))
-        out = pd.DataFrame({"key": pdf["key"], "i": pdf["i"], "shared": np.maximum(left, np.append(left[1:], 0)), "block": (part << 40) + numbers, "part": part, "edge": 0, "prefix": None, "widths": None})
+        prefixes, widths = pdf["prefix"].tolist(), pdf["widths"].tolist()
+        left = [shared_bytes(p, q, w) for p, q, w in zip([last or b"", *prefixes[:-1]], prefixes, widths)]
+        shared = np.maximum(left, left[1:] + [0])
+        n, edge = len(pdf), [0] * len(pdf)
         if held is None:
-            out.loc[out.index[0], "edge"] = 1
-            out.at[out.index[0], "prefix"], out.at[out.index[0], "widths"] = prefixes[0], widths[0]
+            edge[0] = 1
         else:
-            held.loc[held.index[-1], "shared"] = max(int(held["shared"].iloc[-1]), int(left[0]))
-            yield held
-        held, last, block = out, prefixes[-1], int(numbers[-1])
-        final = (prefixes[-1], widths[-1])
+            held["shared"][-1] = max(held["shared"][-1], left[0])
+            yield _edged(held)
+        held = {"key": pdf["key"].tolist(), "i": pdf["i"].tolist(), "shared": shared.tolist(), "part": [part] * n, "edge": edge, "prefix": prefixes, "widths": widths}
+        last = prefixes[-1]
     if held is not None:
-        at = held.index[-1]
-        held.loc[at, "edge"] = int(held["edge"].iloc[-1]) + 2
-        held.at[at, "prefix"], held.at[at, "widths"] = final
-        yield held
+        held["edge"][-1] += 2
+        yield _edged(held)
+
+
+def _edged(columns: dict[str, list]) -> pd.DataFrame:
+    """A frame that keeps prefix and widths only where edge is not 0."""
+    for c in ("prefix", "widths"):
+        columns[c] = [x if e else None for x, e in zip(columns[c], columns["edge"])]
+    return pd.DataFrame(columns)
 
 
 def neighbours(strings: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(key, i, shared, block) of every suffix of strings (key, names, sizes)."""
+    """(key, i, shared): the most bytes that each suffix of strings (key, names, sizes) shares with another, as far as they are asked."""
     parts = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    suffixes = strings.join(ranks, "key").select("key", "names", "sizes", "ranks").mapInPandas(_suffixes, "rank long, key long, i int, prefix array<bigint>, widths array<bigint>")
+    suffixes = strings.join(ranks, "key").select("key", "names", "sizes", "ranks").mapInPandas(_suffixes, "rank long, key long, i int, prefix binary, widths binary")
     ordered = suffixes.repartitionByRange(parts, "rank", "key", "i").sortWithinPartitions("rank", "key", "i")
-    table = written(ordered.mapInPandas(_compared, "key long, i int, shared long, block long, part int, edge int, prefix array<bigint>, widths array<bigint>"), "suffix-compared")
-    edges = sorted(table.filter("edge > 0").collect(), key=lambda r: (r["part"], r["edge"] == 2))  # two suffixes of each range
-    patches, same = {}, {}
+    table = written(ordered.mapInPandas(_compared, "key long, i int, shared long, part int, edge int, prefix binary, widths binary"), "suffix-compared")
+    edges = sorted(table.filter("edge > 0").select("key", "i", "part", "edge", "prefix", "widths").collect(), key=lambda r: (r["part"], r["edge"] == 2))  # two suffixes of each range
+    patches = {}
     for a, b in zip(edges[:-1], edges[1:]):
-        if a["part"] == b["part"]:
-            continue
-        both = shared_bytes(np.array(a["prefix"]), np.array(b["prefix"]), np.array(a["widths"]))
-        for r in (a, b):
-            patches[r["key"], r["i"]] = max(both, patches.get((r["key"], r["i"]), 0))
-        if both >= core(LENGTH):
-            same[b["block"]] = same.get(a["block"], a["block"])
-    out = table.select("key", "i", "shared", "block")
+        if a["part"] != b["part"]:
+            both = shared_bytes(bytes(a["prefix"]), bytes(b["prefix"]), bytes(a["widths"]))
+            for r in (a, b):
+                patches[r["key"], r["i"]] = max(both, patches.get((r["key"], r["i"]), 0))
+    out = table.select("key", "i", "shared")
     if patches:
         fixed = table.sparkSession.createDataFrame([(k, i, n) for (k, i), n in patches.items()], "key long, i int, at_edge long")
-        out = out.join(F.broadcast(fixed), ["key", "i"], "left").select("key", "i", F.greatest("shared", F.coalesce("at_edge", F.lit(0).cast("long"))).alias("shared"), "block")
-    if same:
-        moved = table.sparkSession.createDataFrame(list(same.items()), "block long, root long")
-        out = out.join(F.broadcast(moved), "block", "left").select("key", "i", "shared", F.coalesce("root", "block").alias("block"))
+        out = out.join(F.broadcast(fixed), ["key", "i"], "left").select("key", "i", F.greatest("shared", F.coalesce("at_edge", F.lit(0).cast("long"))).alias("shared"))
     return out
 
 
-def _spans_of(sizes, shared, many: bool) -> tuple[np.ndarray, ...]:
-    """For each cut of a string: its place, the bytes it shares, and the first and last start of strings whose first common cut it can be."""
-    sizes = np.asarray(sizes, dtype=np.int64)
-    at = np.cumsum(sizes) - sizes
-    shared = sizes.sum() - at if many else np.asarray(shared, dtype=np.int64)
-    first, last = at - (WINDOW - 1), np.minimum(at, at + shared - (LENGTH - GRAM - WINDOW + 1))
-    last[shared < core(LENGTH)] = first[shared < core(LENGTH)] - 1
-    return at, shared, first, last
-
-
-def _unsure(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Blocks of which a suffix leaves some start undecided."""
-    for pdf in pdfs:
-        blocks = set()
-        for sizes, shared, block, many in zip(pdf["sizes"], pdf["shared"], pdf["block"], pdf["many"]):
-            at, shared, first, last = _spans_of(sizes, shared, many)
-            sure = np.zeros(int(at[-1]) + 2, dtype=np.int64)
-            whole = shared >= LENGTH
-            np.add.at(sure, at[whole], 1)
-            np.add.at(sure, np.minimum(at[whole] + shared[whole] - LENGTH + 1, len(sure) - 1), -1)
-            open_upto = np.concatenate([[0], np.cumsum(np.cumsum(sure)[:-1] == 0)])  # undecided starts below each place
-            a, b = np.maximum(first, 0), last + 1
-            some = (last >= first) & ((first < 0) | (open_upto[np.clip(b, 0, len(open_upto) - 1)] > open_upto[np.clip(a, 0, len(open_upto) - 1)]))
-            blocks.update(np.asarray(block)[some].tolist())
-        yield pd.DataFrame({"block": list(blocks)}, dtype="int64")
-
-
-def _starts(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each string the decided starts and those to check, as first, last, first, last, ... from its own start."""
-    for pdf in pdfs:
-        sure, check = [], []
-        for sizes, shared, opened, many in zip(pdf["sizes"], pdf["shared"], pdf["opened"], pdf["many"]):
-            at, shared, first, last = _spans_of(sizes, shared, many)
-            whole = shared >= LENGTH
-            sure.append(merged(at[whole], at[whole] + shared[whole] - LENGTH))
-            use = np.asarray(opened, dtype=bool) & (last >= first)
-            check.append(merged(first[use], last[use]))
-        yield pd.DataFrame({"key": pdf["key"], "sure": sure, "check": check})
-
-
 def merged(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Overlapping or touching [first, last] joined, flat."""
     if not len(first):
@@ -313,61 +287,141 @@ def merged(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.stack([first[new], last[np.append(np.flatnonzero(new)[1:] - 1, len(last) - 1)]], axis=1).ravel()
 
 
-def repeated_starts(docs: DataFrame) -> DataFrame:
-    """(row, sure, check): where strings of LENGTH bytes of docs (row, text) that occur again start, and where they might."""
-    size = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
-    buckets = max(16, size // 32_000_000)
-    asked = docs.mapInPandas(dealt(buckets, LENGTH), "bucket int, kind int, rows binary, fields binary")
-    phrases = written(asked.groupBy("bucket").applyInPandas(answered, "row long, start long, size long, name long"), "suffix-phrases")
-    by_row = phrases.distinct().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "size", "name"))).alias("p"))
-    runs = by_row.select("row", F.col("p.start").alias("start"), F.col("p.size").alias("size"), F.col("p.name").alias("name"))
-    runs = written(runs.mapInPandas(_strings, "row long, start long, key long, names array<bigint>, sizes array<bigint>"), "suffix-runs")
-    discard(phrases)
+def _decided(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Starts of windows within each string that occur again, as first, last, first, last, ... from its own start."""
+    for pdf in pdfs:
+        sure = []
+        for sizes, shared, many in zip(pdf["sizes"], pdf["shared"], pdf["many"]):
+            sizes, shared = np.asarray(sizes, dtype=np.int64), np.asarray(shared, dtype=np.int64)
+            at = np.cumsum(sizes) - sizes
+            shared = sizes.sum() - at if many else shared
+            whole = shared >= LENGTH
+            sure.append(merged(at[whole], at[whole] + shared[whole] - LENGTH))
+        yield pd.DataFrame({"key": pdf["key"], "sure": sure})
+
+
+def suffix_array_starts(runs: DataFrame) -> DataFrame:
+    """(row, sure): starts that the suffix array of runs (row, start, key, names, sizes) decides to occur again."""
     strings = written(runs.groupBy("key").agg(F.first("names").alias("names"), F.first("sizes").alias("sizes"), (F.count("*") > 1).alias("many")), "suffix-strings")
     most = strings.select("sizes").mapInPandas(_reach, "most int").agg(F.max("most")).first()[0] or 1
     depth = 0
     while 3 ** (depth + 1) < most:
         depth += 1
     ranks = suffix_ranks(strings.select("key", "names"), depth)
-    near = written(neighbours(strings, ranks), "suffix-neighbours")
-    discard(ranks)
-    placed = near.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "shared", "block"))).alias("x"))
-    placed = written(strings.select("key", "sizes", "many").join(placed, "key").select("key", "sizes", "many", F.col("x.shared").alias("shared"), F.col("x.block").alias("block")), "suffix-placed")
-    unsure = placed.select("sizes", "many", "shared", "block").mapInPandas(_unsure, "block long").distinct()
-    opened = written(near.join(written(unsure.withColumn("opened", F.lit(True)), "suffix-unsure"), "block", "left"), "suffix-opened")
-    flags = opened.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("opened", F.lit(False)).alias("o")))).alias("x"))
-    starts = placed.join(flags, "key").select("key", "sizes", "many", "shared", F.col("x.o").alias("opened")).mapInPandas(_starts, "key long, sure array<bigint>, check array<bigint>")
-    moved = lambda c: F.transform(F.col(c), lambda x: x + F.col("start"))
-    found = runs.select("row", "start", "key").join(written(starts, "suffix-starts"), "key").select("row", moved("sure").alias("sure"), moved("check").alias("check"))
-    return found.groupBy("row").agg(F.flatten(F.collect_list("sure")).alias("sure"), F.flatten(F.collect_list("check")).alias("check"))
-
-
-def _hashed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every string of LENGTH bytes that starts at a place to check, as two 64-bit halves of its hash."""
+    near = neighbours(strings, ranks)
+    placed = near.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "shared"))).alias("x"))
+    placed = strings.select("key", "sizes", "many").join(placed, "key").select("key", "sizes", "many", F.col("x.shared").alias("shared"))
+    sure = written(placed.mapInPandas(_decided, "key long, sure array<bigint>"), "suffix-sure")
+    for done in (ranks, strings):
+        discard(done)
+    found = runs.select("row", "start", "key").join(sure, "key").select("row", F.transform("sure", lambda x: x + F.col("start")).alias("sure"))
+    return found.groupBy("row").agg(F.flatten(F.collect_list("sure")).alias("sure"))
 
-    def parts() -> Iterator[dict]:
-        for row, text, check in each(pdfs, "row", "text", "check"):
+
+def _left_open(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The anchors of each row, and whether some of their windows are not decided yet."""
+    for pdf in pdfs:
+        parts = []
+        for row, at, first, last, name, around, sure in zip(*(pdf[c] for c in ("row", "at", "first", "last", "name", "around", "sure"))):
+            pairs = np.asarray(sure if sure is not None else [], dtype=np.int64).reshape(-1, 2)
+            spans = merged(pairs[:, 0], pairs[:, 1]).reshape(-1, 2)
+            i = np.searchsorted(spans[:, 0], first, side="right") - 1
+            covered = (i >= 0) & (np.append(spans[:, 1], -1)[i] >= last)
+            parts.append({"row": np.full(len(at), row), "at": at, "first": first, "last": last, "name": name, "around": around, "undecided": ~covered})
+        yield pd.DataFrame({c: np.concatenate([p[c] for p in parts]) for c in parts[0]}) if parts else pd.DataFrame(columns=["row", "at", "first", "last", "name", "around", "undecided"])
+
+
+def _surroundings(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of all windows of the chosen anchors of each text, and where the anchor is in them."""
+    for pdf in pdfs:
+        out = []
+        for text, chosen in zip(pdf["text"], pdf["chosen"]):
             raw = text.encode()
-            check = np.asarray(check, dtype=np.int64).reshape(-1, 2)
-            spans = merged(np.maximum(check[:, 0], 0), np.minimum(check[:, 1], len(raw) - LENGTH)).reshape(-1, 2)
-            starts = np.concatenate([np.arange(a, b + 1) for a, b in spans if b >= a] or [np.zeros(0, dtype=np.int64)])
-            if len(starts):
-                digests = b"".join([hashlib.blake2b(raw[p : p + LENGTH], digest_size=16).digest() for p in starts.tolist()])
-                halves = np.frombuffer(digests, dtype=np.int64).reshape(-1, 2)
-                yield {"h1": halves[:, 0], "h2": halves[:, 1], "row": np.full(len(starts), row), "p": starts}
+            out += [(c["around"], c["at"] - c["first"], c["last"] - c["first"], c["rows"], raw[c["first"] : c["last"] + LENGTH]) for c in chosen]
+        yield pd.DataFrame(out, columns=["around", "offset", "spare", "rows", "bytes"])
 
-    return gathered(parts())
+
+def _asked(block: int, before_block: int):
+    """For each block of offsets of an open node: the hash of what all its windows cover (inner), and together (outer, if known)."""
+
+    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in pdfs:
+            if not len(pdf):
+                continue
+            texts = pdf["bytes"].tolist()
+            size = np.array([len(t) for t in texts], dtype=np.int64)
+            hashes = Hashes(np.frombuffer(b"".join(texts), dtype=np.uint8))
+            places = [np.asarray(x, dtype=np.int64) for x in pdf["opened"]]
+            of = np.repeat(np.arange(len(pdf)), [len(x) for x in places])
+            low = np.concatenate(places)[:, None] + np.arange(0, before_block, block)
+            of, low = np.repeat(of, low.shape[1]), low.ravel()
+            offset, spare = pdf["offset"].to_numpy(dtype=np.int64)[of], pdf["spare"].to_numpy(dtype=np.int64)[of]
+            high = low + block - 1
+            use = (low <= offset) & (high >= offset - spare)  # windows start offset - spare to offset bytes before the anchor
+            of, low, high, offset = of[use], low[use], high[use], offset[use]
+            begin = np.cumsum(size) - size
+            anchor, end = begin[of] + offset, (begin + size)[of]
+            salt = mixed((low + 1).astype(np.uint64))
+            inner = mixed(hashes.of(anchor - low, anchor - high + LENGTH) + salt)
+            known = (anchor - high >= begin[of]) & (anchor - low + LENGTH <= end)
+            outer = np.zeros(len(of), dtype=np.uint64)
+            outer[known] = mixed(hashes.of((anchor - high)[known], (anchor - low)[known] + LENGTH) + salt[known])
+            yield pd.DataFrame({"around": pdf["around"].to_numpy()[of], "low": low, "rows": pdf["rows"].to_numpy()[of], "inner": inner.view(np.int64), "outer": outer.view(np.int64), "known": known})
+
+    return run
+
+
+def edge_blocks(surroundings: DataFrame) -> DataFrame:
+    """(around, low, high): offsets of windows before an anchor that occur again, of surroundings (around, offset, spare, rows, bytes)."""
+    many = surroundings.filter("rows > 1").select("around", F.lit(0).alias("low"), F.lit(WINDOW - 1).alias("high"))
+    found, opened, size = many, surroundings.select("around", F.array(F.lit(0)).alias("opened")), 256
+    for block in BLOCKS:
+        nodes = surroundings.join(opened, "around").select("around", "offset", "spare", "rows", "bytes", "opened")
+        asked = written(nodes.mapInPandas(_asked(block, size), "around long, low int, rows long, inner long, outer long, known boolean"), "suffix-asked")
+        again = asked.filter("known").groupBy("outer").agg(F.sum("rows").alias("n")).filter("n > 1").select("outer", F.lit(True).alias("again"))
+        told = asked.join(again, "outer", "left").withColumn("again", F.col("known") & F.coalesce("again", F.lit(False)))
+        told = written(told.select("around", "low", "rows", "inner", "again"), "suffix-told")
+        found = found.union(told.filter("again and rows = 1").select("around", "low", (F.col("low") + (block - 1)).alias("high")))
+        discard(asked)
+        if block > 1:
+            # of equal inner bytes all go on as long as one is open, for the others' sake
+            on = told.groupBy("inner").agg(F.sum("rows").alias("n"), F.bool_or((F.col("rows") == 1) & ~F.col("again")).alias("some")).filter("n > 1 and some").select("inner")
+            opened = written(told.join(on, "inner").groupBy("around").agg(F.collect_list("low").alias("opened")), "suffix-opened")
+            size = block
+    return found
+
+
+def repeated_starts(texts: DataFrame) -> DataFrame:
+    """(row, starts): where strings of LENGTH bytes of texts (row, text) that occur again start, as first, last, first, last, ... ."""
+    table = written(texts.mapInPandas(_anchored, "row long, at int, first int, last int, name long, around long"), "suffix-anchors")
+    often = written(table.groupBy("name").count().filter("count > 1").select("name"), "suffix-names")
+    fields = ("at", "first", "last", "name", "around")
+    by_row = table.join(often, "name").groupBy("row").agg(F.array_sort(F.collect_set(F.struct(*fields))).alias("x"))
+    by_row = written(by_row.select("row", *(F.col(f"x.{c}").alias(c) for c in fields)), "suffix-rows")
+    discard(table)
+    runs = written(by_row.select("row", "at", "name").mapInPandas(_strings, "row long, start long, key long, names array<bigint>, sizes array<bigint>"), "suffix-runs")
+    sure = written(suffix_array_starts(runs), "suffix-decided")
+
+    left = by_row.join(sure, "row", "left").select("row", *fields, "sure")
+    left = written(left.mapInPandas(_left_open, "row long, at int, first int, last int, name long, around long, undecided boolean"), "suffix-left")
+    names = written(left.filter("undecided").select("name").distinct(), "suffix-names")
+    chosen = left.join(names, "name").groupBy("around").agg(F.count("*").alias("rows"), F.min(F.struct("row", "at", "first", "last")).alias("c"))
+    chosen = chosen.groupBy("c.row").agg(F.collect_list(F.struct("around", "c.at", "c.first", "c.last", "rows")).alias("chosen"))
+    surroundings = texts.join(written(chosen, "suffix-chosen"), "row").select("text", "chosen").mapInPandas(_surroundings, "around long, offset int, spare int, rows long, bytes binary")
+    blocks = written(edge_blocks(written(surroundings.dropDuplicates(["around"]), "suffix-surroundings")), "suffix-blocks")
+    ends = F.greatest("first", F.col("at") - F.col("high")), F.least("last", F.col("at") - F.col("low"))
+    edges = left.filter("undecided").join(blocks, "around").select("row", ends[0].cast("long").alias("a"), ends[1].cast("long").alias("b")).filter("a <= b")
+    edges = edges.groupBy("row").agg(F.flatten(F.collect_list(F.array("a", "b"))).alias("sure"))
+    return sure.union(edges).groupBy("row").agg(F.flatten(F.collect_list("sure")).alias("starts"))
 
 
 def _removed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in pdfs:
         out = []
-        for doc_id, text, sure, found in zip(pdf["doc_id"], pdf["text"], pdf["sure"], pdf["found"]):
+        for doc_id, text, starts in zip(pdf["doc_id"], pdf["text"], pdf["starts"]):
             raw = text.encode()
-            pairs = np.asarray(sure if sure is not None else [], dtype=np.int64).reshape(-1, 2)
-            single = np.asarray(found if found is not None else [], dtype=np.int64)
-            first, last = np.concatenate([pairs[:, 0], single]), np.concatenate([pairs[:, 1], single]) + LENGTH - 1
-            spans = merged(first, last).reshape(-1, 2)
+            pairs = np.asarray(starts if starts is not None else [], dtype=np.int64).reshape(-1, 2)
+            spans = merged(pairs[:, 0], pairs[:, 1] + LENGTH - 1).reshape(-1, 2)
             kept, at = [], 0
             for a, b in spans.tolist():
                 kept.append(raw[at:a])
@@ -379,22 +433,14 @@ def _removed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of docs."""
+    ship(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     starts = repeated_starts(texts.select("row", "text"))
     equal = texts.groupBy("row").agg(F.count("*").alias("rows"), F.max(F.octet_length("text")).alias("size")).filter(f"rows > 1 and size >= {LENGTH}")
-    whole = equal.select("row", F.array(F.lit(0).cast("long"), (F.col("size") - LENGTH).cast("long")).alias("sure"), F.array().cast("array<bigint>").alias("check"))
-    known = starts.union(whole).groupBy("row").agg(F.flatten(F.collect_list("sure")).alias("sure"), F.flatten(F.collect_list("check")).alias("check"))
-    joined = texts.join(written(known, "suffix-known"), "row", "left")
-    # texts without any such start are done; the others are kept for the check
-    plain = F.col("sure").isNull()
-    table = written(joined.select("doc_id", "row", F.octet_length("text").cast("long").alias("n_bytes"), F.when(plain, F.sha2(F.col("text").cast("binary"), 256)).alias("kept_sha256"), F.when(~plain, F.col("text")).alias("text"), "sure", "check"), "suffix-texts")
-    done = table.filter("text is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256")
-    open_texts = table.filter("text is not null")
-    listed = written(open_texts.filter(F.size("check") > 0).select("row", "text", "check").mapInPandas(_hashed, "h1 long, h2 long, row long, p long"), "suffix-listed").distinct()
-    twice = written(listed.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2"), "suffix-twice")
-    found = written(listed.join(twice, ["h1", "h2"]).groupBy("row").agg(F.collect_list("p").alias("found")), "suffix-found")
-    removed = open_texts.select("doc_id", "row", "text", "sure").join(found, "row", "left").select("doc_id", "text", "sure", "found")
-    return done.union(removed.mapInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+    whole = equal.select("row", F.array(F.lit(0).cast("long"), (F.col("size") - LENGTH).cast("long")).alias("starts"))
+    known = written(starts.union(whole).groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts")), "suffix-known")
+    removed = texts.join(known, "row", "left").select("doc_id", "text", "starts")
+    return removed.mapInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op6_suffix_dedup(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bindery.llm import bpe, imatch, langid, mixing, ngram_join, pii, suffix_dedup, tokencount, topk, toxicity
+from bindery.llm.anchors import LENGTH, WINDOW, anchors
+from bindery.llm.common import table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, key string, score int, bucket string, imatch_slice int, mix_size int, pii_n int, toxic_p string"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
@@ -173,6 +175,22 @@ def test_ngram_join_links_copies_of_six_words_before_a_text_without_words(spark,
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == [1, 2, 4, 5]
 
 
+def test_ngram_join_keeps_texts_of_one_id_together(spark):
+    x, y = "one two three four five six seven eight", "other words stand in this text of mine"
+    rows = [(3, x), (5, x), (5, y), (8, y), (9, "quite alone")]
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(3, 3), (5, 3), (5, 3), (8, 3), (9, 9)]
+
+
+def test_a_passage_in_every_text_links_none(spark):
+    rows = [(i, prose(5, 50) + " " + " ".join(f"own{i}x{j}" for j in range(14))) for i in range(200)] + [(500, prose(5, 50))]
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # 46 of 60 shingles: two such texts share 46 of 74, each shares 46 of 60 with the passage itself
+    assert {r["component_id"] for r in found} == {0}
+    alone = ngram_join.near_duplicates(spark.createDataFrame(rows[:-1], "doc_id long, text string")).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in alone)
+
+
 @pytest.mark.parametrize("frequent", [None, 1, 3])
 def test_ngram_join_by_brute_force(spark, frequent):
     rng = np.random.default_rng(5)
@@ -234,6 +252,47 @@ def test_suffix_dedup_by_brute_force(spark, empty):
     assert suffix_dedup.op6_suffix_dedup(empty).count() == 0
 
 
+def test_suffix_dedup_of_common_beginnings(spark):
+    rows = [(i, prose(99, 200)[: 430 + 6 * i] + " " + prose(100 + i, 30)) for i in range(40)]
+    found = suffix_dedup.op6_suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert collections.Counter(tuple(r) for r in found.collect()) == brute_removed(rows)
+
+
+def test_suffix_dedup_of_mixed_passages(spark):
+    r = np.random.default_rng(7)
+    pool, rows = [prose(1000 + i, 300) for i in range(4)], []
+    for i in range(60):
+        parts = []
+        for _ in range(r.integers(1, 4)):
+            text = pool[r.integers(0, 4)]
+            start = r.integers(0, len(text) - 350)
+            parts.append(text[start : start + r.integers(300, 900)])
+            if r.random() < 0.5:
+                parts.append(prose(int(r.integers(1e6)), int(r.integers(1, 20))))
+        rows.append((i, "".join(parts)))
+    found = suffix_dedup.op6_suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert collections.Counter(tuple(r) for r in found.collect()) == brute_removed(rows)
+
+
+def test_suffix_dedup_of_the_tables_by_brute_force(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+    assert collections.Counter(tuple(r) for r in suffix_dedup.op6_suffix_dedup(docs).collect()) == brute_removed(rows)
+
+
+def test_windows_have_their_anchors(spark):
+    raw = [t.encode() for t in (prose(1, 300), "a" * 399, prose(1, 300)[200:1200], "", "xy" * 400)]
+    found = anchors(raw)
+    for d, text in enumerate(raw):
+        mine = sorted((int(a), int(f), int(z)) for i, a, f, z in zip(found.doc, found.at, found.first, found.last) if i == d)
+        covered = [p for _, f, z in mine for p in range(f, z + 1)]
+        assert sorted(covered) == list(range(len(text) - LENGTH + 1)) and all(0 <= a - p < WINDOW for a, f, z in mine for p in (f, z))
+    offsets = {}
+    for d, a, f, z in zip(found.doc, found.at, found.first, found.last):
+        for p in range(f, z + 1):
+            assert offsets.setdefault(raw[d][p : p + LENGTH], a - p) == a - p
+
+
 def test_topk_by_brute_force(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)]
