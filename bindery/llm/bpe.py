@@ -11,8 +11,10 @@ costs up to n^2 / 2 rows. Matches over LONGEST bytes are therefore merged by the
 same rule with a heap, in n log n.
 
 Defined cases: null text counts as empty and has no tokens; repeated rows are
-encoded each; an empty table gives an empty result; other columns pass through
-encoded(), and are ignored by the query.
+encoded each; very long texts are encoded whole, one at a time; of pairs of equal
+rank the leftmost merges first; an empty table gives an empty result; other columns
+pass through encoded(), but for text and those named as its own (bpe_...), which
+these replace; the query ignores them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import os
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -31,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
+
 #: Bytes of the longest match that the recursive query takes.
 LONGEST = 400
 #: Distinct matches that a worker remembers: when half of them are new since the last time, those not met since then go.
@@ -74,7 +77,7 @@ class Encoder:
         self.ranks, self.split = ranks(path), regex.compile(pattern).findall
         self.known: dict[str, tuple[bytes, bytes]] = {}
         self.before: dict[str, tuple[bytes, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": os.path.join(tempfile.gettempdir(), "bpe-spill")})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")})
         self.single = np.array([self.ranks[bytes([x])] for x in range(256)], dtype=np.int32)
         self._load("vocabulary", {"id": np.array(list(self.ranks.values()), dtype=np.int32), "digits": [t.hex() for t in self.ranks]})
         halves = [(self.ranks[t[:i]], self.ranks[t[i:]], m) for t, m in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -184,6 +187,7 @@ def pattern() -> str:
 
 def encoded(docs: DataFrame, path: str | None = None, keep_ids: bool = True, keep_text: bool = False) -> DataFrame:
     """docs without text, with bpe_n_tokens, bpe_ids_sha256, bpe_decoded_sha256, bpe_round_trip and, if kept, bpe_ids and the decoded bpe_text."""
+    ship(docs.sparkSession)
     path, splits = path or vocabulary_path(), pattern()
     fields = [T.StructField("bpe_n_tokens", T.LongType()), T.StructField("bpe_ids_sha256", T.StringType()), T.StructField("bpe_decoded_sha256", T.StringType()), T.StructField("bpe_round_trip", T.BooleanType())]
     if keep_ids:

@@ -17,17 +17,18 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     node's smallest neighbour comes from a map-side minimum, which is written so that
     the join back has an exchange on both sides and a hub's rows can be split.
     """
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "components")
-    state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "components", links.count())
+    state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("sum")).first()
     for _ in range(most_rounds):
+        n = state["n"]
         both = edges.union(edges.select("v", "u"))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components-least")
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components-least", n)
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large, old = written(large, "components-large"), [edges, least]
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "components-least")
+        large, old = written(large, "components-large", n), [edges, least]
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "components-least", n)
         small = large.join(least, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
-        fresh = written(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct(), "components")
-        now = fresh.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        fresh = written(small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct(), "components", n)
+        now = fresh.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("sum")).first()
         for done in (*old, large, least):
             discard(done)
         edges = fresh

@@ -10,8 +10,11 @@ language, picked by a hash of doc_id (the bound holds on average; the pick
 is the same in every run). Prediction reads all texts whole.
 
 Defined cases: `und` with score 0 for null texts, texts without a letter, and all
-texts where nothing is labelled; a null doc_id counts as held out; repeated rows
-are predicted each; an empty table gives an empty result; other columns are ignored.
+texts where nothing is labelled; a null doc_id counts as held out; of equal cosines
+the language that comes first by name wins; very long texts are counted whole, one
+at a time; repeated rows are predicted each; an empty table gives an empty result;
+other columns are kept by predict(), but for those named lang_pred, score and
+rejected, which its own replace; the query ignores them.
 """
 
 from __future__ import annotations
@@ -24,11 +27,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
+from .common import written
 from .vectext import LOWER, NOT_LETTER, filled, pieces
 
 DIMS = 8192
 PER_LANGUAGE = 500
 CENTROIDS = 3
+#: Rows that a broadcast takes at most; more are joined by a shuffle.
+MOST_BROADCAST = 100_000
 #: Letters in lower case, anything else a space.
 FOLDED = np.where(NOT_LETTER, np.uint8(0x20), LOWER)
 
@@ -88,12 +95,14 @@ def clusters(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROIDS) -> Model | None:
     """Learn from labelled (doc_id, text, lang)."""
+    ship(labelled.sparkSession)
     usable = labelled.filter("text is not null and lang is not null and doc_id is not null")
     named = usable.select("doc_id", "lang")
-    sizes = named.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = written(named.groupBy("lang").agg(F.count("*").alias("n")), "langid-sizes")  # one row a language
+    few = F.broadcast(sizes) if sizes.count() <= MOST_BROADCAST else sizes
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    picked = named.join(sizes, "lang").filter(chance < per_language / F.col("n")).distinct()
-    sample = usable.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "text")  # about per_language rows of each language
+    picked = written(named.join(few, "lang").filter(chance < per_language / F.col("n")).distinct(), "langid-picked")  # about per_language rows of each language
+    sample = usable.join(F.broadcast(picked) if picked.count() <= MOST_BROADCAST else picked, ["doc_id", "lang"]).select("lang", "text")
 
     def sparse(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -129,6 +138,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROID
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs (doc_id, text and others) with lang_pred, score and rejected instead of text."""
+    ship(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     rest = docs.select(*names)
 

@@ -5,22 +5,31 @@ and dealt by hash range to buckets, which tell every set which of its shingles
 some other set has too; only a set with enough of them can have a partner, and
 only these shingles can be shared. Among such sets the shingles are ordered by
 frequency, rarest first. Of a set with n shingles a partner must share
-ceil(0.75 n), so a prefix in that order is indexed: rare shingles alone, and
-frequent ones (more than `frequent` sets) in combinations of two. The prefix is
-extended until rare + max(0, frequent - 1) exceeds the shingles that may differ;
-then two partners share a rare shingle or a combination.
-
-Each list of sets under one key is first compared with its smallest member; lists
-whose members are then all connected need no more. What is left is compared with
-further such leaders, and at last pair by pair between different components, so
-that groups of near copies never meet in all pairs and no link is lost.
-Shingles are identified by the bucket and 32 more bits of a 64-bit hash.
+ceil(0.75 n), so a prefix in that order is indexed.
+
+Leaders come first: each set is compared with one leader of the keys of its
+prefix, so that groups of near copies become components without meeting in pairs.
+Then only shingles count that sets of several components have, and sets that
+still have enough of them; after at most three such turns all pairs that are left
+are compared. Their index has rare tokens alone and frequent ones, of which the
+bound grows with the sets' size but not with the table, in combinations of two.
+The prefix is extended until rare + max(0, frequent - 1) exceeds the shingles that
+may differ; then two partners share a rare token or a combination. Keys are kept
+apart by size class, since a set's shareable shingles bound a partner's size.
+No link is lost.
+
+Shingles are identified by the bucket and 32 more bits of a 64-bit hash: two
+different shingles of sets of n and m are taken for equal with a probability of at
+most n m / 2^36, 1 in 70 million for 30 each, less with more buckets. Equal sets
+are told by 64 bits.
 
 Defined cases: null text counts as empty; a document without words has no
 shingle, links with nothing and is its own component; documents with fewer than
 five words have one shingle, all their words; rows that share a doc_id count as
-one node, each row being returned; a null doc_id links with nothing and its
-component is null; an empty table gives an empty result; other columns are ignored.
+one node, each row being returned, whatever texts they have; of sets of equal size
+the one of the smaller hash leads; very long texts are taken whole, one at a time; a
+null doc_id links with nothing and its component is null; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +49,10 @@ from .vectext import filled, mixed, pieces, words
 SIZE = 5
 #: Jaccard threshold as a fraction of integers.
 SHARE, OF = 75, 100
+#: A token that more sets have is indexed in combinations; more still among large sets, see frequent_from().
+FREQUENT = 512
+#: Bits of a set's sketch, and tokens that a key brings to tell whether two sets share an earlier one.
+SKETCH, EARLIER = 512, 16
 #: Sets that one bucket's row can tell apart.
 SEVERAL = 0xFFFF
 
@@ -182,22 +195,25 @@ def size_class(n: int) -> int:
 def frequent_from(size: int) -> int:
     """Sets that a token must have to be indexed in combinations among sets of this size.
 
-    A set of n has prefixes of about n / 4, so (n / 4)^2 / 2 combinations: they
-    pay where a token's list is longer than about half as many sets.
+    A set of n has prefixes of about n / 4 and so (n / 4)^2 / 2 combinations, which
+    pay where a token's list is longer than that.
     """
-    return max(64, size * size // 64)
+    return max(FREQUENT, size * size // 16)
 
 
-def _prefix(token: np.ndarray, common: np.ndarray, may_differ: int) -> list[np.ndarray]:
-    """Keys of tokens in order of frequency: rare ones alone, then common ones in twos, until a partner must share a key."""
+def _prefix(token: np.ndarray, common: np.ndarray, may_differ: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys of tokens in order of frequency: rare ones alone, then common ones in twos, until a partner must share a key; and the first few tokens before each key's last, its own left out."""
     done = np.cumsum(~common) + np.maximum(np.cumsum(common) - 1, 0)
     upto = int(np.searchsorted(done, may_differ + 1)) + 1
     token, common = token[:upto], common[:upto]
-    keys = [token[~common]]
-    pair = np.sort(token[common]).view(np.uint64)
-    for i in range(len(pair) - 1):
-        keys.append((mixed(pair[i : i + 1]) + mixed(pair[i + 1 :] ^ np.uint64(0xA5A5A5A5A5A5A5A5))).view(np.int64))
-    return keys
+    rare = int((~common).sum())
+    keys, before = [token[:rare]], [token[: min(j, EARLIER)] for j in range(rare)]
+    pair = mixed(token[rare:].view(np.uint64))
+    for j in range(1, len(pair)):
+        keys.append((pair[:j] * np.uint64(0x9E3779B97F4A7C15) + pair[j]).view(np.int64))
+        for i in range(j):
+            before.append(np.delete(token[: min(rare + j, EARLIER + 1)], rare + i)[:EARLIER] if rare + i <= EARLIER else token[:EARLIER])
+    return np.concatenate(keys), before
 
 
 def _single_keys(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,7 +229,7 @@ def _class_keys(frequent: int | None):
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
-            out, about, held = [], [], 0
+            out, earlier, about, held = [], [], [], 0
             for row in pdf.itertuples(index=False):
                 token, counts = np.asarray(row.tokens, dtype=np.int64), np.asarray(row.counts, dtype=np.int64)
                 most = (OF + SHARE) * len(token) // SHARE - row.n  # a larger partner has no more than this
@@ -225,23 +241,35 @@ def _class_keys(frequent: int | None):
                     for c in classes:
                         bound = frequent if frequent is not None else frequent_from(c if c < 16 else (8 + c % 8) << (c // 8 - 1))
                         if bound not in known:
-                            known[bound] = np.concatenate(_prefix(token, counts > bound, len(token) - share))
-                        keys = mixed(known[bound].view(np.uint64) + np.uint64(c)).view(np.int64)
-                        out.append(keys)
-                        about.append((row.node, row.n, len(token), row.component, small, len(keys)))
+                            known[bound] = _prefix(token, counts > bound, len(token) - share)
+                        keys, before = known[bound]
+                        out.append(mixed(keys.view(np.uint64) + np.uint64(c)).view(np.int64))
+                        earlier += before
+                        about.append((row.node, row.component, small, len(keys)))
                         held += len(keys)
-                if held > 200_000:
-                    yield _repeated(out, about)
-                    out, about, held = [], [], 0
+                if held > 100_000:
+                    yield _repeated(out, earlier, about)
+                    out, earlier, about, held = [], [], [], 0
             if held:
-                yield _repeated(out, about)
+                yield _repeated(out, earlier, about)
 
     return run
 
 
-def _repeated(keys: list[np.ndarray], about: list[tuple]) -> pd.DataFrame:
+def _repeated(keys: list[np.ndarray], earlier: list[np.ndarray], about: list[tuple]) -> pd.DataFrame:
     *columns, times = (np.array(x) for x in zip(*about))
-    return pd.DataFrame({"key": np.concatenate(keys), **{c: np.repeat(x, times) for c, x in zip(("node", "n", "s", "component", "small"), columns)}})
+    return pd.DataFrame({"key": np.concatenate(keys), "earlier": earlier, **{c: np.repeat(x, times) for c, x in zip(("node", "component", "small"), columns)}})
+
+
+def _sketches(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each bit of a sketch, whether the set's tokens that hash to it are odd in number."""
+    for pdf in pdfs:
+        bits = np.zeros((len(pdf), SKETCH), dtype=np.uint8)
+        for i, tokens in enumerate(pdf["tokens"]):
+            spot = (mixed(np.asarray(tokens, dtype=np.int64).view(np.uint64)) % np.uint64(SKETCH)).astype(np.int64)
+            bits[i] = np.bincount(spot, minlength=SKETCH) & 1
+        parts = np.packbits(bits, axis=1).view(np.int64)
+        yield pd.DataFrame({"node": pdf["node"], "n": pdf["n"], "s": [len(t) for t in pdf["tokens"]], **{f"bits_{k}": parts[:, k] for k in range(SKETCH // 64)}})
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -296,18 +324,34 @@ def led_pairs(sets: DataFrame) -> DataFrame:
 
 
 def open_pairs(sets: DataFrame, frequent: int | None) -> DataFrame:
-    """All pairs of sets of different components that share an index key and can link by their numbers of shingles and of shareable ones."""
-    index = written(sets.mapInPandas(_class_keys(frequent), "key long, node long, n long, s long, component long, small boolean"), "ngram-index")
+    """All pairs of sets of different components that share an index key and may link.
+
+    A pair stays if the numbers of shingles and of shareable ones allow a link, and
+    if the sketches do: the bits in which two sketches differ are at most the
+    tokens in which the sets do. Of the keys that two sets share one is enough: a
+    pair is left out where it has an earlier token in common, which gives another
+    key.
+    """
+    index = written(sets.mapInPandas(_class_keys(frequent), "key long, earlier array<bigint>, node long, component long, small boolean"), "ngram-index")
     sides = index.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("small").alias("some_small"), F.bool_or(~F.col("small")).alias("some_large"))
     sides = written(sides.filter("low < high and some_small and some_large").select("key"), "ngram-keys")
-    lists = written(index.join(sides, "key"), "ngram-lists")
-    discard(index)
-    discard(sides)
-    one = lists.filter("small").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("component").alias("of_a"))
-    two = lists.filter("not small").select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"), F.col("component").alias("of_b"))
-    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
-    can = (OF + SHARE) * F.least("s_a", "s_b") >= SHARE * (F.col("n_a") + F.col("n_b"))
-    pairs = written(one.join(two, "key").filter(ordered & can & (F.col("of_a") != F.col("of_b"))).select("a", "b").distinct(), "ngram-pairs")
+    bits = [f"bits_{k}" for k in range(SKETCH // 64)]
+    sketches = written(sets.select("node", "n", "tokens").mapInPandas(_sketches, "node long, n long, s long, " + ", ".join(f"{c} long" for c in bits)), "ngram-sketches")
+    lists = written(index.join(sides, "key").join(sketches, "node"), "ngram-lists")
+    for done in (index, sides, sketches):
+        discard(done)
+    fields = [c for c in lists.columns if c not in ("key", "small")]
+    one = lists.filter("small").select("key", *(F.col(c).alias(f"{c}_a") for c in fields))
+    two = lists.filter("not small").select("key", *(F.col(c).alias(f"{c}_b") for c in fields))
+    of = lambda c: (F.col(f"{c}_a"), F.col(f"{c}_b"))
+    (n_a, n_b), (s_a, s_b), (a, b) = of("n"), of("s"), of("node")
+    ordered = (n_a < n_b) | ((n_a == n_b) & (a < b))
+    can = (OF + SHARE) * F.least(s_a, s_b) >= SHARE * (n_a + n_b)
+    differ = sum(F.bit_count(x.bitwiseXOR(y)) for x, y in map(of, bits)) + (n_a - s_a) + (n_b - s_b)
+    near = (OF + SHARE) * differ <= (OF - SHARE) * (n_a + n_b)
+    apart = of("component")[0] != of("component")[1]
+    pairs = one.join(two, "key").filter(ordered & apart & can & near & ~F.arrays_overlap(*of("earlier")))
+    pairs = written(pairs.select(a.alias("a"), b.alias("b")).distinct(), "ngram-pairs")
     discard(lists)
     return pairs
 

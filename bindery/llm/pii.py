@@ -8,8 +8,11 @@ found one: keys and passwords, and data that the patterns miss, such as two
 card numbers side by side. Spans that fail their kind's check are dropped.
 
 Defined cases: null texts count as empty and have no spans; repeated rows are
-searched each; spans of different kinds may overlap; an empty table gives an empty
-result; other columns are kept by found() and redacted().
+searched each; spans of different kinds may overlap; of label paths of equal score
+the one with the lower label numbers wins, from the end backwards; very long texts
+are searched whole; an empty table gives an empty result; other columns are kept
+by found() and redacted(), but for those named pii_counts, pii_base, pii_spans,
+pii_text and pii_n, which their own replace.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .vectext import filled
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -341,6 +345,7 @@ def joined(spans: list[Span]) -> str:
 
 def _over_texts(docs: DataFrame, labelled: DataFrame | None, fields: str, row) -> DataFrame:
     """docs with more fields, a row of which comes from (text, base spans, all spans)."""
+    ship(docs.sparkSession)
     model = fit(labelled if labelled is not None else training_table(docs.sparkSession))
     names = [f.split()[0] for f in fields.split(", ")]
     rest = docs.select(*(c for c in docs.columns if c not in names))

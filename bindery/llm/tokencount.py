@@ -8,8 +8,9 @@ earlier at a tie ("most"). The sections' counts always add up to the document's.
 
 Defined cases: null text counts as empty; an empty text has one empty section;
 characters outside all sections belong to the section before them, or the first;
-empty sections get no token; repeated rows are counted each; an empty table gives
-an empty result; other columns are ignored.
+empty sections get no token; repeated rows are counted each; very long texts are
+encoded whole, one at a time; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..session import ship
 from .bpe import pattern, ranks, vocabulary_path
 from .vectext import filled
 
@@ -82,6 +84,7 @@ def section_tokens(docs: DataFrame, rule: str = "first", sections=lines, path: s
     """docs (doc_id, text) as one row per section: doc_id, section, char_start, char_end, n_tokens, n_crossing, doc_tokens."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    ship(docs.sparkSession)
     path, split = path or vocabulary_path(), pattern()
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -14,7 +14,10 @@ reads all texts whole.
 Defined cases: null texts count as empty; documents without doc_id are scored;
 null labels take no part; with no label of one of the two classes nothing is
 learned, the severity is 0 and nothing is rejected; repeated rows are scored each;
-an empty table gives an empty result; other columns are kept by scored().
+very long texts are read whole, one at a time; a probability of exactly the limit
+is rejected; an empty table gives an empty result; other columns are kept by
+scored(), but for those named toxic_severity, toxic_p and toxic_rejected, which its
+own replace.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
+from .common import written
 from .vectext import NOT_LETTER, filled, pieces, prefix_hash, words
 
 BITS = 18
@@ -114,11 +119,14 @@ def fit_rows(doc: np.ndarray, spot: np.ndarray, n: np.ndarray, toxic: np.ndarray
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+    ship(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("label_toxic"))
     n = known.count()
     chance = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     picked = known.filter(chance < sample / max(n, 1)).withColumnRenamed("doc_id", "label_doc_id")
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("label_doc_id"))  # about `sample` rows
+    picked = written(picked, "toxicity-picked")  # about `sample` rows
+    few = F.broadcast(picked) if picked.count() <= 4 * sample else picked
+    texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("label_doc_id"))
 
     def sparse(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -146,6 +154,7 @@ def severity(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
 
 def scored(docs: DataFrame, model: Model | None, reject_at: float = 0.5) -> DataFrame:
     """docs with toxic_severity (0 to 3), toxic_p and toxic_rejected."""
+    ship(docs.sparkSession)
     names = ("toxic_severity", "toxic_p", "toxic_rejected")
     rest = docs.select(*(c for c in docs.columns if c not in names))
     if model is None:
