@@ -33,34 +33,47 @@ class Library:
         return {c: self.context_path(c) for c in self.contexts} | {f"{c}.{n}": f"{self.context_path(c)}/{p}" for (c, n), p in self.queries.items()}
 
     def facts(self, xml: Column) -> Column:
-        """Map of each path's name to the texts it finds; null for malformed XML."""
-        paths = self.paths()
-
-        @pandas_udf("map<string,array<string>>")
-        def parse(texts: pd.Series) -> pd.Series:
+        """Of each path, how many nodes it finds and the text of the first, as fields `n:name` and `v:name`; `read` is false for malformed XML.
+
+        One parse of each document; marked as non-deterministic, so that no
+        optimizer rule evaluates it a second time.
+        """
+        names = list(self.paths())
+        fields = "struct<read:boolean," + ",".join(f"`n:{k}`:int,`v:{k}`:string" for k in names) + ">"
+        wanted: dict[str, list[tuple[int, str | None]]] = {}  # path of elements: places of the names that it has, with their attributes
+        for i, (element, _, attribute) in enumerate(p.partition("/@") for p in self.paths().values()):
+            wanted.setdefault(element, []).append((i, attribute or None))
+
+        def parse(texts: pd.Series) -> pd.DataFrame:
             from xml.etree import ElementTree
 
-            split = {k: (("{*}" + p.replace("/@", "@").replace("/", "/{*}")).split("@")) for k, p in paths.items()}
-
-            def one(text: str | None) -> dict[str, list[str]] | None:
+            def one(text: str | None) -> list:
+                row: list = [False] + [0, None] * len(names)
                 try:
-                    holder = ElementTree.Element("holder")
-                    holder.append(ElementTree.fromstring(text or ""))
+                    open_nodes = [("", ElementTree.fromstring(text or ""))]
                 except ElementTree.ParseError:
-                    return None
-                out = {}
-                for key, (path, *attribute) in split.items():
-                    nodes = holder.findall(path)
-                    out[key] = [v for n in nodes if (v := n.get(attribute[0])) is not None] if attribute else ["".join(n.itertext()) for n in nodes]
-                return out
+                    return row
+                row[0] = True
+                while open_nodes:
+                    above, node = open_nodes.pop()
+                    path = above + node.tag.rpartition("}")[2]
+                    for i, attribute in wanted.get(path, ()):
+                        value = node.get(attribute) if attribute else "".join(node.itertext())
+                        if value is not None:
+                            if not row[2 * i + 1]:
+                                row[2 * i + 2] = value
+                            row[2 * i + 1] += 1
+                    if len(node):
+                        open_nodes += [(path + "/", child) for child in reversed(node) if isinstance(child.tag, str)]
+                return row
 
-            return texts.map(one)
+            return pd.DataFrame([one(t) for t in texts], columns=["read", *(f"{c}:{k}" for k in names for c in "nv")])
 
-        return parse(xml)
+        return pandas_udf(parse, fields).asNondeterministic()(xml)
 
 
-def _list(ctx: str, name: str) -> Column:
-    return F.coalesce(F.try_element_at("facts", F.lit(f"{ctx}.{name}")), F.array().cast("array<string>"))
+def _count(name: str) -> Column:
+    return F.col(f"facts.`n:{name}`")
 
 
 def _error(code: str, name: str, expected: Column, actual: Column) -> Column:
@@ -73,8 +86,7 @@ def _none() -> Column:
 
 def _found(ctx: str, name: str) -> Column:
     """Errors of a name that is not found exactly once."""
-    n = F.size(_list(ctx, name))
-    opened = F.size(F.coalesce(F.try_element_at("facts", F.lit(ctx)), F.array().cast("array<string>")))
+    n, opened = _count(f"{ctx}.{name}"), _count(ctx)
     return (
         F.when(opened != 1, _error("BadField", ctx, F.lit("one context"), opened)).when(n == 0, _error("MissingField", name, F.lit("one"), n))
         .when(n > 1, _error("BadField", name, F.lit("exactly one"), n)).otherwise(_none())
@@ -82,7 +94,7 @@ def _found(ctx: str, name: str) -> Column:
 
 
 def _value(ctx: str, name: str) -> Column:
-    return F.get(_list(ctx, name), F.lit(0))
+    return F.col(f"facts.`v:{ctx}.{name}`")
 
 
 def _tested(ctx: str, name: str, code: str, expected: Column, test: Callable[[Column], Column]) -> Column:
@@ -143,7 +155,7 @@ def check(documents: DataFrame, xml: str, library: Library, rules: dict[str, Col
     """documents with results, an array of (rule, errors); malformed XML fails every rule with BadFile."""
     parsed = documents.withColumn("facts", library.facts(F.col(xml)))
     broken = _error("BadFile", "xml", F.lit("well-formed XML"), F.lit(None))
-    results = F.array(*(F.struct(F.lit(k).alias("rule"), F.when(F.col("facts").isNull(), broken).otherwise(v).alias("errors")) for k, v in rules.items()))
+    results = F.array(*(F.struct(F.lit(k).alias("rule"), F.when(~F.col("facts.read"), broken).otherwise(v).alias("errors")) for k, v in rules.items()))
     return parsed.withColumn("results", results).drop("facts")
 
 
