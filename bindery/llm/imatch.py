@@ -2,9 +2,11 @@
 
 Terms whose relative document frequency lies in a band (which bounds their
 inverse document frequency at both ends) form the lexicon. A document keeps its
-distinct lexicon terms, sorted, and hashes several random subsets of them; each
-subset leaves out about a quarter of the lexicon. The fingerprint joins these
-hashes, and the likeness of two is the share of hashes they have in common.
+distinct lexicon terms, sorted, and hashes several random subsets of them. The
+lexicon is dealt at random into 64 subsets, so that each holds only a few terms of
+a document, and an edit leaves those of its hashes untouched whose terms it does
+not touch. The fingerprint joins these hashes. The likeness of two documents is the
+share of equal hashes among the subsets of which at least one of them has terms.
 
 The band's lower end bounds the lexicon: at most (mean distinct terms per
 document) / min_df terms can be that frequent, however many documents there are.
@@ -12,8 +14,9 @@ Its size is still counted before it is broadcast; a larger one is joined by a
 shuffle.
 
 Defined cases: null text counts as empty; a document with fewer than min_terms
-lexicon terms hashes its whole text instead, so that equal texts still agree and
-different ones don't; rows that repeat a doc_id are kept, ordered by text; rows
+lexicon terms hashes its whole text in each subset instead, so that equal texts
+still agree and different ones don't; very long texts are taken whole; terms are
+sorted by their hashes, which tells them apart but for a chance of 2^-63 a pair; rows that repeat a doc_id are kept, ordered by text; rows
 without doc_id come before all others, and the last document's next is the first
 that has one; an empty table gives an empty result; other columns are ignored.
 """
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-SUBSETS = 8
+#: Lexicon subsets, a power of two.
+SUBSETS = 64
 
 
 def term_ids(text: Column) -> Column:
@@ -41,31 +45,36 @@ def lexicon(docs: DataFrame, n_docs: int, min_df: float = 0.005, max_df: float =
 
 
 def subset_hashes(terms: Column, whole: Column, min_terms: int = 3) -> Column:
-    """One hash per lexicon subset. Two bits of a term's hash decide whether a subset keeps it."""
+    """32 bits of hash for each lexicon subset, null for one without terms. A few bits of a term's hash give its subset."""
 
-    def subset(k: int) -> Column:
-        return F.filter(terms, lambda t: F.shiftright(t, 2 * k).bitwiseAND(F.lit(3)) != 0)
+    def subset(k: Column) -> Column:
+        mine = F.filter(terms, lambda t: F.shiftright(t, 3).bitwiseAND(F.lit(SUBSETS - 1)) == k)
+        return F.when(F.size(mine) > 0, F.xxhash64(k, mine).bitwiseAND(F.lit(0xFFFFFFFF)))
 
-    kept = [subset(k) for k in range(SUBSETS)]
-    return F.when(F.size(terms) >= min_terms, F.array(*(F.xxhash64(F.lit(k), x) for k, x in enumerate(kept)))).otherwise(
-        F.array(*(F.xxhash64(F.lit(k), whole) for k in range(SUBSETS)))
-    )
+    every = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+    return F.when(F.size(terms) >= min_terms, F.transform(every, subset)).otherwise(F.transform(every, lambda k: F.xxhash64(k, whole).bitwiseAND(F.lit(0xFFFFFFFF))))
 
 
 def printed(hashes: Column) -> Column:
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+    """Eight hexadecimal digits for each subset, eight dashes for one without terms."""
+    return F.array_join(F.transform(hashes, lambda h: F.coalesce(F.lpad(F.lower(F.hex(h)), 8, "0"), F.lit("-" * 8))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    same = sum((F.element_at(a, k) == F.element_at(b, k)).cast("double") for k in range(1, SUBSETS + 1))
-    return same / F.lit(float(SUBSETS))
+    """Null where one side is null."""
+    both = F.arrays_zip(a.alias("a"), b.alias("b"))
+    same = F.size(F.filter(both, lambda x: x["a"] == x["b"]))
+    some = F.size(F.filter(both, lambda x: x["a"].isNotNull() | x["b"].isNotNull()))
+    return F.when(a.isNotNull() & b.isNotNull(), same / some.cast("double"))
 
 
-def slices(docs: DataFrame, n_docs: int, rows_each: int = 500, most: int = 4096) -> DataFrame:
+def slices(docs: DataFrame, n_docs: int, rows_each: int = 500, most: int = 65536) -> DataFrame:
     """docs with imatch_slice, a range of doc_id, and a copy of each slice's first document in the slice before it.
 
     So every document stands beside the next one without a global sort. The
-    cuts are quantiles, at most `most` numbers; a binary search places a row.
+    cuts are quantiles, at most `most` numbers in one literal; a binary search
+    places a row. Beyond `most` slices these grow with the table, and their sort
+    spills: at 100 TB a slice of 65,536 holds about 1.5 GB.
     imatch_ghost marks the copies; the first slice's goes to the last slice.
     """
     levels = max(0, min(most, n_docs // rows_each).bit_length() - 1)

@@ -293,7 +293,7 @@ def test_windows_have_their_anchors(spark):
             assert offsets.setdefault(raw[d][p : p + LENGTH], a - p) == a - p
 
 
-def test_topk_by_brute_force(spark):
+def test_topk_by_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(3)
     vectors = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)]
     vectors += [(400 + i, [0.5] * 8) for i in range(60)] + [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 8), (1150, [float("inf")] * 8), (None, [1.0] * 8), (7, vectors[7][1]), (450, [0.5] * 8)]
@@ -304,8 +304,9 @@ def test_topk_by_brute_force(spark):
         ranked = sorted(((-int(clean[q] @ clean[c]), c) for c in clean if c != q))[:5]
         expected += [(q, r + 1, c, -s) for r, (s, c) in enumerate(ranked)]
     usable = df.select("vec_id", topk.scaled(F.col("embedding")).alias("v")).filter("vec_id is not null and v is not null").distinct()
-    for chunk, lists in ((1024, 2), (50, 3)):
-        found = topk.top_k(usable, usable.filter("vec_id % 50 = 0"), 5, lists, chunk)
+    for chunk, lists, block, most in ((1024, 2, 4096, topk.MOST_BROADCAST), (50, 3, 4, 600)):  # the second broadcasts two blocks at a time
+        monkeypatch.setattr(topk, "MOST_BROADCAST", most)
+        found = topk.top_k(usable, usable.filter("vec_id % 50 = 0"), 5, lists, chunk, block)
         assert sorted(map(tuple, found.collect())) == sorted(expected)
     assert sorted(map(tuple, topk.op1_topk(df).collect())) == sorted(expected)
     assert topk.op1_topk(df.limit(0)).count() == 0
