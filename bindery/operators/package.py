@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 #: What a file of each package type may be called.
 VALID_NAMES = {
     "ia": r"^(IA_ark\+=13960=\w+\.(xml)|\d{8}\.(xml|jp2|txt))",
+    "epub": r"^(checksum\.md5|meta\.yml|marc\.xml|[a-zA-Z0-9._-]+\.epub|[a-zA-Z0-9._-]+\.pdf|[a-zA-Z0-9._-]+\.txt|.*\.mets\.xml)",
     "simple": r"^(checksum\.md5|meta\.yml|marc\.xml|\d{8}.(html|xml|jp2|tif|txt)|.*\.mets\.xml)",
 }
 

@@ -103,3 +103,9 @@ def last_errors(log: DataFrame) -> DataFrame:
 def delivery_order(queued: DataFrame) -> DataFrame:
     """The order within a micro-batch: higher priority first, then first come."""
     return queued.orderBy(F.desc("priority"), "arrival")
+
+
+def delivery_places(queued: DataFrame, batch: str) -> DataFrame:
+    """queued with each message's place in the delivery of its micro-batch."""
+    order = Window.partitionBy(batch).orderBy(F.desc("priority"), "arrival")
+    return queued.withColumn("place", F.row_number().over(order))

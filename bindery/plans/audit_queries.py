@@ -67,18 +67,10 @@ def fixity_outcome(t: Tables) -> DataFrame:
 
 
 @query("filecount_rule", """
-  with counted as (select o_custkey as object_no, count(*) as total, count(*) filter (o_orderstatus = 'F') as zips, count(*) filter (o_orderstatus = 'O') as mets from orders where o_orderkey % 5 = 0 group by o_custkey)
-  select object_no, total, case when total between 1 and 2 and mets = 1 and (zips = 1 or object_no % 10 = 0) then 'OK' else 'BAD_FILECOUNT' end as status from counted""")
-def filecount_rule(t: Tables) -> DataFrame:
-    counted = t.orders.filter("o_orderkey % 5 = 0").groupBy(F.col("o_custkey").alias("object_no")).agg(F.count("*").alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("zips"), F.count_if(F.col("o_orderstatus") == "O").alias("mets"))
-    return counted.select("object_no", "total", a.file_count_status(F.col("total"), F.col("zips"), F.col("mets"), F.col("object_no") % 10 == 0).alias("status"))
-
-
-@query("filecount_rule_all", """
   with counted as (select o_custkey * 5 + o_orderkey % 5 as object_no, count(*) as total, count(*) filter (o_orderstatus = 'F') as zips, count(*) filter (o_orderstatus = 'O') as mets from orders group by 1)
   select object_no, total, case when total between 1 and 2 and mets = 1 and (zips = 1 or object_no % 10 = 0) then 'OK' else 'BAD_FILECOUNT' end as status from counted""")
-def filecount_rule_all(t: Tables) -> DataFrame:
-    """filecount_rule over all orders; a customer's orders are dealt to five objects."""
+def filecount_rule(t: Tables) -> DataFrame:
+    """A customer's orders are dealt to five objects."""
     object_no = F.col("o_custkey") * 5 + F.col("o_orderkey") % 5
     counted = t.orders.groupBy(object_no.alias("object_no")).agg(F.count("*").alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("zips"), F.count_if(F.col("o_orderstatus") == "O").alias("mets"))
     return counted.select("object_no", "total", a.file_count_status(F.col("total"), F.col("zips"), F.col("mets"), F.col("object_no") % 10 == 0).alias("status"))

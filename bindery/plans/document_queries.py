@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import documents as d
 from ..operators import rules as r
-from ..sources.derive import LATER_LINES
-from .registry import ORACLES, Tables, query
+from .registry import Tables, query
 
 KEY = ["volume", "file"]
 
 
-def jhove(t: Tables, table: str) -> DataFrame:
+def jhove(t: Tables) -> DataFrame:
     """Technical metadata as XML, malformed for one volume in 97."""
     tag = lambda name, v: F.coalesce(F.concat(F.lit(f"<m:{name}>"), v, F.lit(f"</m:{name}>")), F.lit(""))
     c = F.col
     res = tag("xRes", c("resolution"))
     mix = F.concat(F.lit("<m:mix>"), res, F.when(c("n_resolution") == 2, res).otherwise(""), tag("width", c("width")), tag("copyOfWidth", F.when(c("volume") % 7 == 0, "1").otherwise(c("width"))), tag("height", c("height")), F.lit('<m:bits perSample="'), "bits", F.lit('"/></m:mix>'))
     xml = F.concat(F.lit('<j:repInfo xmlns:j="urn:j" xmlns:m="urn:m">'), F.lit("<j:format>"), "format", F.lit("</j:format><j:status>"), "status", F.lit("</j:status>"), mix, F.when(c("volume") % 97 == 0, "").otherwise("</j:repInfo>"))
-    return getattr(t, table).select(*KEY, xml.alias("xml"))
+    return t.tech_metadata.select(*KEY, xml.alias("xml"))
 
 
 RES = "try_cast(regexp_extract(resolution, '^([0-9]+)', 1) as bigint)"
@@ -34,8 +31,8 @@ VERDICTS = " union all ".join(f"select volume, file, '{k}' as rule, coalesce(vol
 
 
 @query("rule_results", VERDICTS, "tech_metadata")
-def rule_results(t: Tables, table: str = "tech_metadata") -> DataFrame:
-    return r.verdicts(r.check(jhove(t, table), "xml", r.TIFF, r.tiff_rules()), KEY)
+def rule_results(t: Tables) -> DataFrame:
+    return r.verdicts(r.check(jhove(t), "xml", r.TIFF, r.tiff_rules()), KEY)
 
 
 @query("rule_errors", """
@@ -51,29 +48,25 @@ def rule_results(t: Tables, table: str = "tech_metadata") -> DataFrame:
   union all select volume, file, 'dimensions', 'BadValue', 'height', height from bad where not broken and cast(height as int) <= 0
   union all select volume, file, 'same_width', 'NotEqualValues', 'width', width from bad where not broken and volume % 7 = 0 and width <> '1'
   union all select volume, file, 'height_range', 'BadValue', 'height', height from bad where not broken and cast(height as int) > 1600""", "tech_metadata")
-def rule_errors(t: Tables, table: str = "tech_metadata") -> DataFrame:
-    return r.errors(r.check(jhove(t, table), "xml", r.TIFF, r.tiff_rules()), KEY).drop("expected")
+def rule_errors(t: Tables) -> DataFrame:
+    return r.errors(r.check(jhove(t), "xml", r.TIFF, r.tiff_rules()), KEY).drop("expected")
 
 
 @query("rule_overrides", " union all ".join(
     f"select volume, file, '{k}' as rule, coalesce(volume % 97 > 0 and ({v}), false) as ok from tech_metadata" for k, v in {"format": OK["format"], "resolution": f"resolution is not null and n_resolution = 1 and {RES} >= 290"}.items()), "tech_metadata")
-def rule_overrides(t: Tables, table: str = "tech_metadata") -> DataFrame:
+def rule_overrides(t: Tables) -> DataFrame:
     """A package type's changes: a lower resolution will do, and all but two rules are off."""
     off = {k: None for k in OK if k not in ("format", "resolution")}
     rules = r.merged(r.tiff_rules(), off | {"resolution": r.v_ge("mix", "xRes", 290)})
-    return r.verdicts(r.check(jhove(t, table), "xml", r.TIFF, rules), KEY)
+    return r.verdicts(r.check(jhove(t), "xml", r.TIFF, rules), KEY)
 
 
 @query("cardinality_errors", "select volume, file, case when volume % 97 = 0 then 'BadFile' when resolution is null then 'MissingField' when n_resolution = 2 then 'BadField' else 'ok' end as status from tech_metadata", "tech_metadata")
-def cardinality_errors(t: Tables, table: str = "tech_metadata") -> DataFrame:
-    checked = r.check(jhove(t, table), "xml", r.TIFF, {"one": r.v_exists("mix", "xRes")})
+def cardinality_errors(t: Tables) -> DataFrame:
+    checked = r.check(jhove(t), "xml", r.TIFF, {"one": r.v_exists("mix", "xRes")})
     return checked.select(*KEY, F.coalesce(F.try_element_at(F.col("results")[0]["errors"], F.lit(1))["code"], F.lit("ok")).alias("status"))
 
 
-for each in (rule_results, rule_errors, rule_overrides, cardinality_errors):  # over every line of an order
-    query(f"{each.__name__}_all", ORACLES[each.__name__].replace(LATER_LINES, ""))(partial(each, table="tech_metadata_all"))
-
-
 def volume_mets(t: Tables) -> DataFrame:
     use = F.when(F.col("ext").isin("jp2", "tif"), "image").when(F.col("ext") == "txt", "ocr").otherwise("coordOCR")
     return d.mets(d.with_ids(t.volume_files.withColumn("use", use)))
@@ -116,22 +109,11 @@ def mets_diff(t: Tables) -> DataFrame:
 
 
 @query("ocr_split", r"""
-  with w as (select conv_id as volume, turn, regexp_extract_all(text, '[A-Za-z]+') as words, row_number() over (partition by conv_id order by turn) as page from conversations)
-  select volume, page, concat(array_to_string(words[1:5], ' '), chr(10), array_to_string(words[6:10], ' '), chr(10), chr(10), array_to_string(words[11:15], ' ')) as text from w""")
-def ocr_split(t: Tables) -> DataFrame:
-    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)
-    line = lambda a: F.concat(F.lit("<LINE>"), F.array_join(F.transform(F.slice(words, a, 5), lambda w: F.concat(F.lit("<WORD>"), w, F.lit("</WORD>"))), ""), F.lit("</LINE>"))
-    page = F.concat(F.lit('<OBJECT usemap="x"><HIDDENTEXT><PARAGRAPH>'), line(1), line(6), F.lit("</PARAGRAPH><PARAGRAPH>"), line(11), F.lit("</PARAGRAPH></HIDDENTEXT></OBJECT>"))
-    pages = t.conversations.groupBy(F.col("conv_id").alias("volume")).agg(F.array_sort(F.collect_list(F.struct("turn", page.alias("x")))).alias("p"))
-    return d.page_texts(pages.select("volume", F.concat(F.lit("<DjVuXML><BODY>"), F.array_join("p.x", ""), F.lit("</BODY></DjVuXML>")).alias("xml")))
-
-
-@query("ocr_split_whole", r"""
   with w as (select conv_id as volume, turn, coalesce(regexp_extract_all(text, '[A-Za-z]+'), []) as words, row_number() over (partition by conv_id order by turn) as page from conversations)
   select volume, page, coalesce(array_to_string([concat(array_to_string(words[a:a + 4], ' '), case when a + 5 <= len(words) then concat(chr(10), array_to_string(words[a + 5:a + 9], ' ')) else '' end) for a in range(1, len(words) + 1, 10)], concat(chr(10), chr(10))), '') as text
   from w""")
-def ocr_split_whole(t: Tables) -> DataFrame:
-    """ocr_split over all words of each text: lines of five, paragraphs of two lines."""
+def ocr_split(t: Tables) -> DataFrame:
+    """All words of each text in lines of five and paragraphs of two lines."""
     words = F.coalesce(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0), F.array().cast("array<string>"))
     rows = t.conversations.select("conv_id", "turn", words.alias("words"))
     line = lambda a: F.concat(F.lit("<LINE>"), F.array_join(F.transform(F.slice("words", a, 5), lambda w: F.concat(F.lit("<WORD>"), w, F.lit("</WORD>"))), ""), F.lit("</LINE>"))

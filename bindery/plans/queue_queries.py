@@ -70,9 +70,9 @@ def locks_per_node(t: Tables) -> DataFrame:
 
 @query("capacity_top_up", f"""
   with ranked as (select namespace, id, row_number() over (order by priority asc nulls first, date_added, namespace, id) as r from feed_queue where node is null and status not in ({RELEASED}))
-  select namespace, id from ranked where r <= greatest(0, 200 - (select count(*) from feed_queue where node = 'node3'))""", "feed_queue")
+  select namespace, id from ranked where r <= greatest(0, 1000 - (select count(*) from feed_queue where node = 'node3'))""", "feed_queue")
 def capacity_top_up(t: Tables) -> DataFrame:
-    return q.top_up(t.feed_queue, "node3", 200).select(*q.KEY)
+    return q.top_up(t.feed_queue, "node3", 1000).select(*q.KEY)
 
 
 @query("volumes_with_status", "select namespace, id from feed_queue where pkg_type = 'ia' and status = 'ready' order by namespace, id limit 50", "feed_queue")
