@@ -95,7 +95,7 @@ def _dealt(buckets: int):
         for pdf in pdfs:
             texts = filled(pdf["text"])
             ids = pdf["doc_id"].to_numpy(dtype=np.int64)
-            for piece in pieces(texts, 4_000_000):
+            for piece in pieces(texts, 2_000_000):
                 part = [shingles(texts[piece][sub]) for sub in pieces(texts[piece])]
                 shift = np.cumsum([0] + [len(texts[piece][sub]) for sub in pieces(texts[piece])])
                 doc = np.concatenate([d + s for (d, _), s in zip(part, shift)])
@@ -172,7 +172,7 @@ def _answered(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"kind": kind, "number": number, "set": key, "n": n})
 
 
-def dealt(docs: DataFrame, per_bucket: int = 1_500_000, least: int = 16) -> DataFrame:
+def dealt(docs: DataFrame, per_bucket: int = 700_000, least: int = 16) -> DataFrame:
     """(0, doc_id, set, n) of every document and (1, shingle, set, 0) of every shared shingle of a set; buckets grow in number with the text."""
     characters = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
     buckets = max(least, characters // 6 // per_bucket)
@@ -247,7 +247,7 @@ def _class_keys(frequent: int | None):
                         earlier += before
                         about.append((row.node, row.component, small, len(keys)))
                         held += len(keys)
-                if held > 100_000:
+                if held > 50_000:
                     yield _repeated(out, earlier, about)
                     out, earlier, about, held = [], [], [], 0
             if held:
@@ -366,6 +366,8 @@ def link_components(sets: DataFrame, given: DataFrame, frequent: int | None = No
     turn = 0
     while turn <= led:
         now = still_open(sets, labels)
+        if now.isEmpty():
+            break
         pairs = led_pairs(now) if turn < led else open_pairs(now, frequent)
         fresh = written(verified(pairs, now), "ngram-links")
         discard(pairs)
@@ -378,7 +380,6 @@ def link_components(sets: DataFrame, given: DataFrame, frequent: int | None = No
         turn += 1
         links = links.union(fresh)
         labels = written(components(links), "ngram-labels")
-    discard(sets)
     return labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
@@ -423,3 +424,20 @@ def _counted(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def op8_ngram_join(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
+
+
+#: Shingles compared as texts, all pairs of documents with one in common, and the closure of their links.
+OP8_SQL = r"""
+with recursive split as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+shingled as (
+  select distinct doc_id, array_to_string(words[i:i + 4], ' ') as shingle
+  from (select doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) as i from split where len(words) > 0)),
+sizes as (select doc_id, cast(count(*) as bigint) as n from shingled group by doc_id),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as same from shingled a join shingled b using (shingle) where a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select p.a, p.b from pairs p join sizes s on s.doc_id = p.a join sizes t on t.doc_id = p.b where 100 * same >= 75 * (s.n + t.n - same)),
+reached(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reached r join links l on l.a = r.b)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, min(r.b) as component_id
+from documents d left join reached r on r.a = d.doc_id left join sizes s on s.doc_id = d.doc_id group by d.doc_id, s.n
+"""

@@ -32,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": topk.OP1_SQL, "op10_mixing": mixing.OP10_SQL}
+    return {"op1_topk": topk.OP1_SQL, "op8_ngram_join": ngram_join.OP8_SQL, "op10_mixing": mixing.OP10_SQL}
