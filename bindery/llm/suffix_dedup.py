@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -45,29 +45,32 @@ from .vectext import filled, mixed, pieces
 BLOCKS = (64, 16, 4, 1)
 
 
-def before(rows: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
-    """Distinct keys, with the sums of counts over all smaller keys: a sort by ranges, running sums, and a number per range."""
-    sums = rows.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in counts))
+def in_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with `at`, which grows with the keys: the range of keys in its upper bits, the place in the range in the lower 33."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
 
-    def running(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, held = TaskContext.get().partitionId(), np.zeros(len(counts), dtype=np.int64)
-        for pdf in pdfs:
-            n = pdf[counts].to_numpy()
-            upto = np.cumsum(n, axis=0) + held
-            held = upto[-1].copy() if len(upto) else held
-            yield pdf[keys].assign(part=part, **{f"before_{c}": (upto - n)[:, i] for i, c in enumerate(counts)}, **{f"upto_{c}": upto[:, i] for i, c in enumerate(counts)})
 
-    schema = ", ".join([*(f"{k} long" for k in keys), "part int", *(f"before_{c} long" for c in counts), *(f"upto_{c} long" for c in counts)])
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = written(sums.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInPandas(running, schema), "suffix-order")
-    totals = sorted(tuple(r) for r in ordered.groupBy("part").agg(*(F.max(f"upto_{c}") for c in counts)).collect())
+def named(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys of rows with names (from 1) in their order."""
+    return written(in_order(rows.select(*keys).distinct(), keys).select(*keys, (F.col("at") + 1).alias("t")), "suffix-order")
+
+
+def before(rows: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
+    """Distinct keys, with the sums of counts over all smaller keys: a sort by ranges, running sums in each, and a number per range."""
+    sums = rows.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in counts))
+    ordered = written(in_order(sums, keys).withColumn("part", F.shiftright("at", 33).cast("int")), "suffix-order")
+    totals = sorted(tuple(r) for r in ordered.groupBy("part").agg(*(F.sum(c) for c in counts)).collect())
     shift, pairs = [0] * len(counts), {c: [] for c in counts}
     for part, *n in totals:
         for i, c in enumerate(counts):
             pairs[c] += [F.lit(part), F.lit(shift[i])]
             shift[i] += n[i]
+    smaller = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    running = written(ordered.select(*keys, "part", *(F.coalesce(F.sum(c).over(smaller), F.lit(0)).alias(f"before_{c}") for c in counts)), "suffix-running")
+    discard(ordered)
     moved = {c: F.col(f"before_{c}") + (F.element_at(F.create_map(*pairs[c]), F.col("part")) if pairs[c] else F.lit(0)) for c in counts}
-    return ordered.select(*keys, *(moved[c].cast("long").alias(f"before_{c}") for c in counts))
+    return running.select(*keys, *(moved[c].cast("long").alias(f"before_{c}") for c in counts))
 
 
 def gathered(parts: Iterator[dict[str, np.ndarray | list]], most: int = 200_000) -> Iterator[pd.DataFrame]:
@@ -100,7 +103,7 @@ def _triples(every: bool):
             i = np.arange(len(x) - 2)
             if not every:
                 i = i[i % 3 != 0]
-            yield {"key": np.full(len(i), key), "i": i, "a": x[i], "b": x[i + 1], "c": x[i + 2], "n": np.ones(len(i), dtype=np.int64)}
+            yield {"key": np.full(len(i), key), "i": i, "a": x[i], "b": x[i + 1], "c": x[i + 2]}
 
     return lambda pdfs: gathered(parts(each(pdfs, "key", "names")))
 
@@ -137,15 +140,15 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
 
     Suffixes that agree in their first 3^(depth + 1) names may share a rank. Names are positive.
     """
-    triples = strings.mapInPandas(_triples(depth == 0), "key long, i int, a long, b long, c long, n long")
-    order = before(triples, ["a", "b", "c"], ["n"])
-    named = triples.join(order, ["a", "b", "c"]).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", (F.col("before_n") + 1).alias("t")))).alias("x"))
-    named = named.select("key", F.col("x.i").alias("i"), F.col("x.t").alias("t"))
+    triples = strings.mapInPandas(_triples(depth == 0), "key long, i int, a long, b long, c long")
+    order = named(triples, ["a", "b", "c"])
+    coded = triples.join(order, ["a", "b", "c"]).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "t"))).alias("x"))
+    coded = coded.select("key", F.col("x.i").alias("i"), F.col("x.t").alias("t"))
     if depth == 0:
-        ranks = written(named.select("key", F.col("t").alias("ranks")), "suffix-ranks")
+        ranks = written(coded.select("key", F.col("t").alias("ranks")), "suffix-ranks")
         discard(order)
         return ranks
-    sample = written(named.mapInPandas(_sampled, "key long, names array<bigint>"), "suffix-sample")
+    sample = written(coded.mapInPandas(_sampled, "key long, names array<bigint>"), "suffix-sample")
     discard(order)
     ranked = suffix_ranks(sample, depth - 1)
     discard(sample)
@@ -379,8 +382,8 @@ def edge_blocks(surroundings: DataFrame) -> DataFrame:
         nodes = surroundings.join(opened, "around").select("around", "offset", "spare", "rows", "bytes", "opened")
         asked = written(nodes.mapInPandas(_asked(block, size), "around long, low int, rows long, inner long, outer long, known boolean"), "suffix-asked")
         again = asked.filter("known").groupBy("outer").agg(F.sum("rows").alias("n")).filter("n > 1").select("outer", F.lit(True).alias("again"))
-        told = asked.join(again, "outer", "left").withColumn("again", F.col("known") & F.coalesce("again", F.lit(False)))
-        told = written(told.select("around", "low", "rows", "inner", "again"), "suffix-told")
+        told = asked.filter("known").join(again, "outer", "left").select("around", "low", "rows", "inner", F.coalesce("again", F.lit(False)).alias("again"))
+        told = written(told.union(asked.filter("not known").select("around", "low", "rows", "inner", F.lit(False))), "suffix-told")
         found = found.union(told.filter("again and rows = 1").select("around", "low", (F.col("low") + (block - 1)).alias("high")))
         discard(asked)
         if block > 1:
