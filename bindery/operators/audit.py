@@ -33,9 +33,9 @@ def completeness(backups: DataFrame, listing: DataFrame, keys: list[str]) -> Dat
     return joined.select(*keys, F.coalesce("in_db", F.lit(0)).alias("in_db"), F.coalesce("in_storage", F.lit(0)).alias("in_storage"), (F.when(F.col("in_db").isNull(), 1).otherwise(0) + 2 - files).alias("errors"))
 
 
-def fixity(backups: DataFrame, real: DataFrame, mets: DataFrame, keys: list[str]) -> DataFrame:
-    """md5check_ok per object: the file's checksum equals the row's and the manifest's; null where there is no file."""
-    joined = backups.select(*keys, "saved_md5sum").join(real, keys, "left").join(mets, keys, "left")
+def fixity(backups: DataFrame, real: DataFrame, keys: list[str]) -> DataFrame:
+    """md5check_ok per object of backups (keys, saved_md5sum, mets_md5sum): the file's checksum equals the row's and the manifest's; null where there is no file."""
+    joined = backups.select(*keys, "saved_md5sum", "mets_md5sum").join(real, keys, "left")
     same = F.coalesce(F.col("saved_md5sum") == F.col("real_md5sum"), F.lit(False)) & F.coalesce(F.col("mets_md5sum") == F.col("real_md5sum"), F.lit(False))
     return joined.select(*keys, F.when(F.col("real_md5sum").isNotNull(), same.cast("int")).alias("md5check_ok"))
 

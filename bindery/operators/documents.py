@@ -59,12 +59,20 @@ def mets_pages(documents: DataFrame) -> DataFrame:
 
 
 def facts(documents: DataFrame) -> DataFrame:
-    """The tall table of audit facts (volume, key, value): pages, files by extension, image bytes."""
-    files = mets_files(documents)
-    by_ext = files.groupBy("volume", F.concat(F.lit("filetype "), F.regexp_extract("href", r"\.(\w+)$", 1)).alias("key")).agg(F.count("*").cast("long").alias("value"))
-    bytes_ = files.filter("use = 'image'").groupBy("volume").agg(F.sum("size").alias("value")).select("volume", F.lit("image bytes").alias("key"), "value")
-    pages = mets_pages(documents).groupBy("volume").agg(F.count_distinct("position").alias("value")).select("volume", F.lit("pages").alias("key"), "value")
-    return by_ext.union(bytes_).union(pages)
+    """The tall table of audit facts (volume, key, value): pages, files by extension, image bytes; from one parse of each document."""
+    fact = lambda key, value: F.struct(key.alias("key"), value.cast("long").alias("value"))
+    groups, divs = F.col("mets.`METS:fileSec`.`METS:fileGrp`"), F.col("mets.`METS:structMap`.`METS:div`")
+    none = F.array().cast("array<struct<key:string,value:bigint>>")
+
+    def of_group(g: Column) -> Column:
+        files = g["METS:file"]
+        ext = F.transform(files, lambda f: fact(F.concat(F.lit("filetype "), F.regexp_extract(f["METS:FLocat"]["_xlink:href"], r"\.(\w+)$", 1)), F.lit(1)))
+        return F.when(g["_USE"] == "image", F.concat(ext, F.transform(files, lambda f: fact(F.lit("image bytes"), f["_SIZE"])))).otherwise(ext)
+
+    with_files = F.filter(divs, lambda d: F.size(F.coalesce(d["METS:fptr"], F.array())) > 0)
+    pages = F.when(F.size(with_files) > 0, F.array(fact(F.lit("pages"), F.size(F.array_distinct(F.transform(with_files, lambda d: d["_ORDER"]))))))
+    each = parsed(documents).select("volume", F.inline(F.concat(F.coalesce(F.flatten(F.transform(groups, of_group)), none), F.coalesce(pages, none))))
+    return each.groupBy("volume", "key").agg(F.sum("value").alias("value"))
 
 
 def differences(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -54,31 +54,48 @@ def step(jobs: DataFrame, stages: DataFrame) -> DataFrame:
     return joined.withColumns({"new_status": after, "release": after.isin(*RELEASE_STATES), "new_failure_count": F.col("failure_count") + fail.cast("long")}).drop("success_state", "failure_state")
 
 
-TRACE = "struct<status:string,failures:bigint,released:boolean,steps:array<struct<turn:int,status:string,stage:string,new_status:string,failures:bigint>>>"
+STEPS = "array<struct<turn:int,at:int,to:int,failures:bigint>>"
 
 
-def trace(jobs: DataFrame, succeeds: Callable[[Column, Column], Column], most: int = 25) -> DataFrame:
+def trace(jobs: DataFrame, succeeds: Callable[[Column, Column], Column]) -> DataFrame:
     """All steps of jobs (pkg_type, namespace, id, status, failure_count) until they are released.
 
-    succeeds gives an outcome from (stage, failures so far). A chain and its retries
-    are bounded, so each job's steps are one fold over its own row: no join and no
-    shuffle, whatever the number of jobs.
+    succeeds gives an outcome from (stage, failures so far). A chain runs through
+    at most all stages of its type between two failures, and no more than RETRIES
+    failures lead on, so each job's steps are one fold of bounded length over its
+    own row: no join and no shuffle, whatever the number of jobs. A job that were
+    not released then would be an error.
     """
-    rows = [x for pkg, stages in STAGES.items() for status, stage, good, bad in stages for x in (F.lit(f"{pkg}:{status}"), F.struct(F.lit(stage).alias("stage"), F.lit(good).alias("good"), F.lit(bad).alias("bad")))]
-    table = F.create_map(*rows)
+    most = (RETRIES + 2) * max(map(len, STAGES.values()))
+    # statuses by number: 0 is one without stage, 1 the state after that
+    states: list[tuple[str | None, str | None]] = [(None, None), (None, "punted")]
+    for pkg, stages in STAGES.items():
+        states += [(pkg, s) for s in dict.fromkeys([*(s for row in stages for s in (row[0], row[2], row[3]) if s), "punted"])]
+    number = {state: i for i, state in enumerate(states)}
+    known = {(pkg, status): (stage, good, bad) for pkg, stages in STAGES.items() for status, stage, good, bad in stages}
+    after = [known.get(state, (None, "punted", "punted")) for state in states]
+    places = [number.get((pkg, "punted"), 1) for pkg, _ in states]
+    listed = lambda values: F.array(*map(F.lit, values))
+    stage_of, released = listed([x[0] for x in after]), listed([s in RELEASE_STATES for _, s in states])
+    good, bad, punted = listed([number.get((pkg, x[1]), 1) for (pkg, _), x in zip(states, after)]), listed([number.get((pkg, x[2] or "punted"), 1) for (pkg, _), x in zip(states, after)]), listed(places)
+    begin = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for (pkg, s), i in number.items() if pkg for x in (f"{pkg}:{s}", i))), F.concat("pkg_type", F.lit(":"), "status")), F.lit(0))
 
     def step_(acc: Column, turn: Column) -> Column:
-        row = F.try_element_at(table, F.concat("pkg_type", F.lit(":"), acc["status"]))
-        ok = F.coalesce(succeeds(row["stage"], acc["failures"]), F.lit(False))
-        after = F.when(row.isNull(), "punted").otherwise(new_status(ok, row["good"], row["bad"], acc["failures"]))
-        failures = acc["failures"] + F.when(row.isNull() | ~ok, 1).otherwise(0)
-        done = F.struct(turn.alias("turn"), acc["status"].alias("status"), row["stage"].alias("stage"), after.alias("new_status"), failures.alias("failures"))
-        moved = F.struct(after.alias("status"), failures.alias("failures"), after.isin(*RELEASE_STATES).alias("released"), F.array_append(acc["steps"], done).alias("steps"))
-        return F.when(acc["released"], acc).otherwise(moved.cast(TRACE))
-
-    start = F.struct(F.col("status"), F.col("failure_count").alias("failures"), F.lit(False).alias("released"), F.array().alias("steps")).cast(TRACE)
-    folded = jobs.select("pkg_type", "namespace", "id", F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step_)["steps"].alias("steps"))
-    return folded.select("pkg_type", "namespace", "id", F.inline("steps"))
+        at = acc["at"]
+        stage = F.get(stage_of, at)
+        ok = F.coalesce(succeeds(stage, acc["failures"]), F.lit(False)) & stage.isNotNull()
+        to = F.when(ok, F.get(good, at)).when(stage.isNull() | (acc["failures"] >= RETRIES), F.get(punted, at)).otherwise(F.get(bad, at))
+        failures = acc["failures"] + F.when(ok, 0).otherwise(1)
+        done = F.struct(turn.alias("turn"), at.alias("at"), to.alias("to"), failures.alias("failures"))
+        moved = F.struct(to.alias("at"), failures.alias("failures"), F.get(released, to).alias("released"), F.array_append(acc["steps"], done).alias("steps"))
+        return F.when(acc["released"], acc).otherwise(moved.cast(f"struct<at:int,failures:bigint,released:boolean,steps:{STEPS}>"))
+
+    start = F.struct(begin.alias("at"), F.col("failure_count").alias("failures"), F.lit(False).alias("released"), F.array().cast(STEPS).alias("steps")).cast(f"struct<at:int,failures:bigint,released:boolean,steps:{STEPS}>")
+    folded = jobs.select("pkg_type", "namespace", "id", F.col("status").alias("first"), F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step_).alias("f"))
+    steps = F.when(F.col("f.released"), F.col("f.steps")).otherwise(F.raise_error(F.concat(F.lit("not released: "), "id")).cast(STEPS))
+    names = listed([s for _, s in states])
+    each = folded.select("pkg_type", "namespace", "id", "first", F.inline(steps))
+    return each.select("pkg_type", "namespace", "id", "turn", F.coalesce(F.get(names, "at"), "first").alias("status"), F.get(stage_of, "at").alias("stage"), F.get(names, "to").alias("new_status"), "failures")
 
 
 def chain(spark: SparkSession, pkg_type: str, start: str = "ready") -> DataFrame:

@@ -99,7 +99,7 @@ TRACE_OK = "(length({stage}) + {failures} + cast({id} as bigint)) % 9 > 0"
     union all
     select t.pkg_type, t.namespace, t.id, t.turn + 1, t.new_status, s.stage, {AFTER.format(ok=TRACE_OK.format(stage='s.stage', failures='t.failures', id='t.id'), failures='t.failures')},
       t.failures + case when s.stage is null or not {TRACE_OK.format(stage='s.stage', failures='t.failures', id='t.id')} then 1 else 0 end
-    from trace t left join stages s on s.pkg_type = t.pkg_type and s.status = t.new_status where t.new_status not in ({RELEASED}) and t.turn < 25)
+    from trace t left join stages s on s.pkg_type = t.pkg_type and s.status = t.new_status where t.new_status not in ({RELEASED}))
   select namespace, id, cast(turn as bigint) as turn, status, stage, new_status, failures from trace""", "feed_queue")
 def job_trace(t: Tables) -> DataFrame:
     live = t.feed_queue.filter(~F.col("status").isin(*machine.RELEASE_STATES)).select("pkg_type", "namespace", "id", "status", "failure_count")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The pairtree escapes of three characters in path names.
+#: The pairtree escapes of three characters in path names.
 PAIRTREE = ("/:.", "=+,")
 
 
@@ -19,7 +19,7 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def ignored(name: Column) -> Column:
-    """Files that no listing shows."""
+    """Files that no listing shows; their names are fixed values."""
     return name.rlike(r"^\.+$") | (name == ".DS_Store") | F.lower(name).rlike(r"^thumbs\.db$")
 
 
@@ -136,7 +136,10 @@ def yaml_metadata(files: DataFrame) -> DataFrame:
 
 
 def zip_source(files: DataFrame) -> DataFrame:
-    """(volume, status) of zips (volume, content): OK, NO_SOURCE_METS or MULTIPLE, by members <id>/<word>_<id>.xml."""
+    """(volume, status) of zips (volume, content): OK, NO_SOURCE_METS or MULTIPLE, by members <id>/<word>_<id>.xml.
+
+    CANT_UNZIP where content is null, no zip or cut short; members may be encrypted, only their names are read.
+    """
     def scan(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
         import re
