@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries in every partition.
 
-A text is split by the tokenizer's pattern; each distinct match is encoded once
-per worker. A recursive query holds one row per token position: each step joins
+A text is split by the tokenizer's pattern; each distinct match is encoded and
+decoded once per worker, or again if it was not met for long; a match that decodes
+to its own bytes, as all should, is remembered by its ids alone. A recursive query holds one row per token position: each step joins
 neighbouring positions with the merge table and contracts the leftmost pair of
 the lowest rank of each match, until no pair merges. Decoding joins the ids with
 the vocabulary and aggregates the bytes in order.
@@ -37,7 +38,7 @@ from ..session import ship
 #: Bytes of the longest match that the recursive query takes.
 LONGEST = 400
 #: Distinct matches that a worker remembers: when half of them are new since the last time, those not met since then go.
-REMEMBERED = 240_000
+REMEMBERED = 480_000
 
 #: A key packs the rank of a pair and its position, below 512, so that the least key is the leftmost pair of the lowest rank.
 MERGE_STEPS = """
@@ -75,8 +76,9 @@ class Encoder:
         import regex
 
         self.ranks, self.split = ranks(path), regex.compile(pattern).findall
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.before: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.unlike: dict[str, bytes] = {}  # decoded bytes of matches that don't come back as they were
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")})
         self.single = np.array([self.ranks[bytes([x])] for x in range(256)], dtype=np.int32)
         self._load("vocabulary", {"id": np.array(list(self.ranks.values()), dtype=np.int32), "digits": [t.hex() for t in self.ranks]})
@@ -112,7 +114,9 @@ class Encoder:
         if ids is not None:
             flat, ends = ids.values.to_numpy().astype("<u4").tobytes(), ids.offsets.to_pylist()
             for i, a, b, digits in zip(found["word"].to_pylist(), ends[:-1], ends[1:], found["digits"].to_pylist()):
-                self.known[order[i]] = (flat[4 * a : 4 * b], bytes.fromhex(digits))
+                self.known[order[i]] = flat[4 * a : 4 * b]
+                if (decoded := bytes.fromhex(digits)) != raw[i]:
+                    self.unlike[order[i]] = decoded
 
     def _merged(self, raw: bytes) -> list[int]:
         """The same rule for a long match: merge the pair of the lowest rank, the leftmost first."""
@@ -139,17 +143,16 @@ class Encoder:
             self.before, self.known = self.known, {}
         split = [self.split(t) for t in texts]
         new = []
-        for m in dict.fromkeys(m for x in split for m in x):
-            if m not in self.known:
-                if m in self.before:
-                    self.known[m] = self.before[m]
-                else:
-                    new.append(m)
+        for m in set().union(*split).difference(self.known):
+            if m in self.before:
+                self.known[m] = self.before[m]
+            else:
+                new.append(m)
         if new:
             self.learn(new)
         for matches in split:
-            found = [self.known[m] for m in matches]
-            yield b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
+            text = b"".join([self.unlike[m] if m in self.unlike else m.encode() for m in matches]) if self.unlike else "".join(matches).encode()
+            yield b"".join([self.known[m] for m in matches]), text
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
