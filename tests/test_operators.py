@@ -166,22 +166,22 @@ def test_every_word_of_a_long_page_is_split(spark, tmp_path):
 
     words = [[chr(97 + i % 26) * (1 + i // 26) for i in range(n)] for n in (0, 3, 15, 16, 21, 300)]
     spark.createDataFrame([(1, i, " ".join(w)) for i, w in enumerate(words)] + [(1, 6, None)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    found = {r["page"]: r["text"] for r in QUERIES["ocr_split_whole"](spark, str(tmp_path)).collect()}
+    found = {r["page"]: r["text"] for r in QUERIES["ocr_split"](spark, str(tmp_path)).collect()}
     lines = [[" ".join(w[i : i + 5]) for i in range(0, len(w), 5)] for w in [*words, []]]
     assert found == {n + 1: "\n\n".join("\n".join(x[i : i + 2]) for i in range(0, len(x), 2)) for n, x in enumerate(lines)}
 
 
-@pytest.mark.parametrize("name, table", [("marc_leaders_all", "orders"), ("filecount_rule_all", "orders"), ("rule_results_all", "lineitem"), ("rule_overrides_all", "lineitem"), ("cardinality_errors_all", "lineitem"), ("rule_errors_all", "lineitem")])
+@pytest.mark.parametrize("name, table", [("marc_leaders", "orders"), ("filecount_rule", "orders"), ("rule_results", "lineitem"), ("rule_overrides", "lineitem"), ("cardinality_errors", "lineitem"), ("rule_errors", "lineitem")])
 def test_queries_over_all_rows_leave_none_out(spark, sf_dir, name, table):
     from bindery.plans import QUERIES
 
     n, found = spark.read.parquet(f"{sf_dir}/{table}.parquet").count(), QUERIES[name](spark, sf_dir)
-    if name == "filecount_rule_all":
+    if name == "filecount_rule":
         assert one(found.agg(F.sum("total"))) == n
-    elif name == "marc_leaders_all":
+    elif name == "marc_leaders":
         assert found.count() == n and one(found.agg(F.min(F.length("leader")))) == one(found.agg(F.max(F.length("leader")))) == 24
-    elif name == "rule_errors_all":
+    elif name == "rule_errors":
         assert {"00000001.tif", "00000002.tif"} <= {r["file"] for r in found.select("file").distinct().collect()}
     else:
-        rules = 1 if name == "cardinality_errors_all" else found.select("rule").distinct().count()
+        rules = 1 if name == "cardinality_errors" else found.select("rule").distinct().count()
         assert found.count() == n * rules
