@@ -9,7 +9,7 @@ names' strings are ranked by recursion, and the remaining suffixes are merged in
 their first name and the rank of what follows. Ranks need only tell the first
 LENGTH + WINDOW bytes apart, which limits the recursion's depth. Neighbours in the
 order are then compared: what a suffix shares with either is the most it shares
-with any. That decides all windows within runs that occur again.
+with any. That decides the windows within runs that occur again.
 
 What is left are windows at the edges of such runs, where the texts begin to
 differ within LENGTH bytes of an anchor. They are decided exactly by halving: of the
@@ -215,20 +215,19 @@ def _suffixes(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for key, names, sizes, ranks in each(pdfs, "key", "names", "sizes", "ranks"):
             names, sizes = np.asarray(names, dtype=np.int64), np.asarray(sizes, dtype=np.int64)
             to, n = _ends(sizes), len(names)
-            small = sizes.astype(np.uint8)
-            yield {"rank": np.asarray(ranks), "key": np.full(n, key), "i": np.arange(n), "prefix": [names[a:b].tobytes() for a, b in enumerate(to)], "widths": [small[a:b].tobytes() for a, b in enumerate(to)]}
+            every, small, ends = names.tobytes(), sizes.astype(np.uint8).tobytes(), to.tolist()
+            yield {"rank": np.asarray(ranks), "key": np.full(n, key), "i": np.arange(n), "prefix": [every[8 * a : 8 * b] for a, b in enumerate(ends)], "widths": [small[a:b] for a, b in enumerate(ends)]}
 
     return gathered(parts(), 50_000)
 
 
 def shared_bytes(a: bytes, b: bytes, widths: bytes) -> int:
     """Bytes that two suffixes share by their equal first names."""
-    x, y = np.frombuffer(a, dtype=np.int64), np.frombuffer(b, dtype=np.int64)
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    upto = int(differ[0]) if len(differ) else n
+    n = min(len(a), len(b))
+    differ = int.from_bytes(a[:n], "little") ^ int.from_bytes(b[:n], "little")
+    upto = ((differ & -differ).bit_length() - 1) // 64 if differ else n // 8  # the name that holds the lowest differing bit
     # an equal name means an equal gram as well, so the last one reaches GRAM bytes
-    return int(np.frombuffer(widths, dtype=np.uint8)[: upto - 1].sum(dtype=np.int64)) + GRAM if upto else 0
+    return sum(widths[: upto - 1]) + GRAM if upto else 0
 
 
 def _compared(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -303,12 +302,17 @@ def _decided(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"key": pdf["key"], "sure": sure})
 
 
-def suffix_array_starts(runs: DataFrame) -> DataFrame:
-    """(row, sure): starts that the suffix array of runs (row, start, key, names, sizes) decides to occur again."""
+def suffix_array_starts(runs: DataFrame, deepest: int = 1) -> DataFrame:
+    """(row, sure): starts that the suffix array of runs (row, start, key, names, sizes) decides to occur again.
+
+    The recursion tells 3^(depth + 1) names apart, nine at the deepest, which take
+    about 900 bytes. Where anchors stand closer, as in periodic text, suffixes that
+    agree in nine names come in any order, and more is left to the check.
+    """
     strings = written(runs.groupBy("key").agg(F.first("names").alias("names"), F.first("sizes").alias("sizes"), (F.count("*") > 1).alias("many")), "suffix-strings")
     most = strings.select("sizes").mapInPandas(_reach, "most int").agg(F.max("most")).first()[0] or 1
     depth = 0
-    while 3 ** (depth + 1) < most:
+    while depth < deepest and 3 ** (depth + 1) < most:
         depth += 1
     ranks = suffix_ranks(strings.select("key", "names"), depth)
     near = neighbours(strings, ranks)
@@ -378,18 +382,19 @@ def edge_blocks(surroundings: DataFrame) -> DataFrame:
     """(around, low, high): offsets of windows before an anchor that occur again, of surroundings (around, offset, spare, rows, bytes)."""
     many = surroundings.filter("rows > 1").select("around", F.lit(0).alias("low"), F.lit(WINDOW - 1).alias("high"))
     found, opened, size = many, surroundings.select("around", F.array(F.lit(0)).alias("opened")), 256
+    rows = 4 * surroundings.count()  # about as many blocks are asked at most in a turn
     for block in BLOCKS:
         nodes = surroundings.join(opened, "around").select("around", "offset", "spare", "rows", "bytes", "opened")
-        asked = written(nodes.mapInPandas(_asked(block, size), "around long, low int, rows long, inner long, outer long, known boolean"), "suffix-asked")
+        asked = written(nodes.mapInPandas(_asked(block, size), "around long, low int, rows long, inner long, outer long, known boolean"), "suffix-asked", rows)
         again = asked.filter("known").groupBy("outer").agg(F.sum("rows").alias("n")).filter("n > 1").select("outer", F.lit(True).alias("again"))
         told = asked.filter("known").join(again, "outer", "left").select("around", "low", "rows", "inner", F.coalesce("again", F.lit(False)).alias("again"))
-        told = written(told.union(asked.filter("not known").select("around", "low", "rows", "inner", F.lit(False))), "suffix-told")
+        told = written(told.union(asked.filter("not known").select("around", "low", "rows", "inner", F.lit(False))), "suffix-told", rows)
         found = found.union(told.filter("again and rows = 1").select("around", "low", (F.col("low") + (block - 1)).alias("high")))
         discard(asked)
         if block > 1:
             # of equal inner bytes all go on as long as one is open, for the others' sake
             on = told.groupBy("inner").agg(F.sum("rows").alias("n"), F.bool_or((F.col("rows") == 1) & ~F.col("again")).alias("some")).filter("n > 1 and some").select("inner")
-            opened = written(told.join(on, "inner").groupBy("around").agg(F.collect_list("low").alias("opened")), "suffix-opened")
+            opened = written(told.join(on, "inner").groupBy("around").agg(F.collect_list("low").alias("opened")), "suffix-opened", rows)
             size = block
     return found
 
