@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries in every partition.
 
 A text is split by the tokenizer's pattern; each distinct match is encoded and
-decoded once per worker, or again if it was not met for long; a match that decodes
+decoded once per partition, or again if it was not met for long; a match that decodes
 to its own bytes, as all should, is remembered by its ids alone. A recursive query holds one row per token position: each step joins
 neighbouring positions with the merge table and contracts the leftmost pair of
 the lowest rank of each match, until no pair merges. Decoding joins the ids with
@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import shutil
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -37,7 +38,7 @@ from ..session import ship
 
 #: Bytes of the longest match that the recursive query takes.
 LONGEST = 400
-#: Distinct matches that a worker remembers: when half of them are new since the last time, those not met since then go.
+#: Distinct matches that an encoder remembers: when half of them are new since the last time, those not met since then go.
 REMEMBERED = 480_000
 
 #: A key packs the rank of a pair and its position, below 512, so that the least key is the leftmost pair of the lowest rank.
@@ -69,7 +70,7 @@ def ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """One per Python worker: the merge table in DuckDB and the matches seen so far."""
+    """One per partition: the merge table in DuckDB and the matches seen so far; closed, it leaves nothing in the worker."""
 
     def __init__(self, path: str, pattern: str) -> None:
         import duckdb
@@ -79,7 +80,8 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.unlike: dict[str, bytes] = {}  # decoded bytes of matches that don't come back as they were
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": tempfile.mkdtemp(prefix="bpe-")})
+        self.spill = tempfile.mkdtemp(prefix="bpe-")
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": self.spill})
         self.single = np.array([self.ranks[bytes([x])] for x in range(256)], dtype=np.int32)
         self._load("vocabulary", {"id": np.array(list(self.ranks.values()), dtype=np.int32), "digits": [t.hex() for t in self.ranks]})
         halves = [(self.ranks[t[:i]], self.ranks[t[i:]], m) for t, m in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
@@ -90,6 +92,12 @@ class Encoder:
         self.db.execute(f"create or replace temp table {name} as select * from given")
         self.db.unregister("given")
 
+    def close(self) -> None:
+        self.db.close()
+        for cache in (self.known, self.before, self.unlike, self.ranks):
+            cache.clear()
+        shutil.rmtree(self.spill, ignore_errors=True)
+
     def learn(self, matches: Iterable[str]) -> None:
         """Encode matches and decode their ids again."""
         order = list(matches)
@@ -155,16 +163,7 @@ class Encoder:
             yield b"".join([self.known[m] for m in matches]), text
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
-def encoder(path: str, pattern: str) -> Encoder:
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
-
-
-def in_pieces(texts: list[str], most: int = 1_500_000) -> Iterator[slice]:
+def in_pieces(texts: list[str], most: int = 1_000_000) -> Iterator[slice]:
     """Runs of texts of together about `most` characters."""
     start = size = 0
     for i, t in enumerate(texts):
@@ -200,7 +199,13 @@ def encoded(docs: DataFrame, path: str | None = None, keep_ids: bool = True, kee
     names = [f.name for f in fields]
 
     def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = encoder(path, splits)
+        own = Encoder(path, splits)
+        try:
+            yield from through(own, pdfs)
+        finally:
+            own.close()
+
+    def through(own: Encoder, pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
             texts = ["" if t is None or t != t else t for t in pdf["text"]]
             for piece in in_pieces(texts):

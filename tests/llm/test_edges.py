@@ -136,7 +136,7 @@ def test_bpe_equals_tiktoken(docs, empty):
     assert collections.Counter((r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe.op7_bpe(docs).collect()) == expected
     assert bpe.op7_bpe(empty).count() == 0
     odd = ["ab" * 3000, "=-" * 2000, " " * 3000 + "x", "é" * 300, "😀\u0000" * 200, "don't I'LL 12345"]
-    own = bpe.encoder(bpe.vocabulary_path(), bpe.pattern())
+    own = bpe.Encoder(bpe.vocabulary_path(), bpe.pattern())
     for t, (ids, text) in zip(odd, own.encode(odd)):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode_ordinary(t) and text == t.encode()
 
