@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
+from .vectext import released
 
 #: Bytes of the longest match that the recursive query takes.
 LONGEST = 400
@@ -222,7 +223,7 @@ def encoded(docs: DataFrame, path: str | None = None, keep_ids: bool = True, kee
 
     kept = docs.select(*(F.col(c) for c in docs.columns if c not in names))
     schema = T.StructType([f for f in kept.schema.fields if f.name != "text"] + fields)
-    return kept.mapInPandas(run, schema)
+    return kept.mapInPandas(released(run), schema)
 
 
 def op7_bpe(docs: DataFrame) -> DataFrame:

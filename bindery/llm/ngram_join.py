@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from .common import discard, written
 from .components import components
-from .vectext import filled, mixed, pieces, words
+from .vectext import filled, mixed, pieces, released, words
 
 SIZE = 5
 #: Jaccard threshold as a fraction of integers.
@@ -95,9 +95,9 @@ def _dealt(buckets: int):
         for pdf in pdfs:
             texts = filled(pdf["text"])
             ids = pdf["doc_id"].to_numpy(dtype=np.int64)
-            for piece in pieces(texts, 2_000_000):
-                part = [shingles(texts[piece][sub]) for sub in pieces(texts[piece])]
-                shift = np.cumsum([0] + [len(texts[piece][sub]) for sub in pieces(texts[piece])])
+            for piece in pieces(texts, 1_000_000):
+                part = [shingles(texts[piece][sub]) for sub in pieces(texts[piece], 500_000)]
+                shift = np.cumsum([0] + [len(texts[piece][sub]) for sub in pieces(texts[piece], 500_000)])
                 doc = np.concatenate([d + s for (d, _), s in zip(part, shift)])
                 value = np.concatenate([v for _, v in part])
                 n = np.bincount(doc, minlength=shift[-1])
@@ -176,7 +176,7 @@ def dealt(docs: DataFrame, per_bucket: int = 700_000, least: int = 16) -> DataFr
     """(0, doc_id, set, n) of every document and (1, shingle, set, 0) of every shared shingle of a set; buckets grow in number with the text."""
     characters = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
     buckets = max(least, characters // 6 // per_bucket)
-    rows = docs.select("doc_id", "text").mapInPandas(_dealt(buckets), "bucket int, kind int, sets binary, whose binary, shingles binary")
+    rows = docs.select("doc_id", "text").mapInPandas(released(_dealt(buckets)), "bucket int, kind int, sets binary, whose binary, shingles binary")
     return rows.groupBy("bucket").applyInPandas(_answered, "kind int, number long, set long, n long")
 
 
@@ -308,7 +308,7 @@ def led_pairs(sets: DataFrame) -> DataFrame:
     A key's leaders are the smallest set of its lowest component and the
     smallest of its highest one.
     """
-    lists = written(sets.select("node", "n", "component", "tokens").mapInPandas(_single_keys, "key long, node long, n long, component long"), "ngram-lists")
+    lists = written(sets.select("node", "n", "component", "tokens").mapInPandas(released(_single_keys), "key long, node long, n long, component long"), "ngram-lists")
     low, high = F.min(F.struct("component", "n", "node")).alias("low"), F.max(F.struct("component", (-F.col("n")).alias("less"), "node")).alias("high")
     ends = lists.groupBy("key").agg(low, high).filter("low.component < high.component")
     ends = ends.select("key", F.col("low.component").alias("c_low"), F.col("low.node").alias("low"), F.col("low.n").alias("n_low"), F.col("high.node").alias("high"), (-F.col("high.less")).alias("n_high"))
@@ -332,11 +332,11 @@ def open_pairs(sets: DataFrame, frequent: int | None) -> DataFrame:
     pair is left out where it has an earlier token in common, which gives another
     key.
     """
-    index = written(sets.mapInPandas(_class_keys(frequent), "key long, earlier array<bigint>, node long, component long, small boolean"), "ngram-index")
+    index = written(sets.mapInPandas(released(_class_keys(frequent)), "key long, earlier array<bigint>, node long, component long, small boolean"), "ngram-index")
     sides = index.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("small").alias("some_small"), F.bool_or(~F.col("small")).alias("some_large"))
     sides = written(sides.filter("low < high and some_small and some_large").select("key"), "ngram-keys")
     bits = [f"bits_{k}" for k in range(SKETCH // 64)]
-    sketches = written(sets.select("node", "n", "tokens").mapInPandas(_sketches, "node long, n long, s long, " + ", ".join(f"{c} long" for c in bits)), "ngram-sketches")
+    sketches = written(sets.select("node", "n", "tokens").mapInPandas(released(_sketches), "node long, n long, s long, " + ", ".join(f"{c} long" for c in bits)), "ngram-sketches")
     lists = written(index.join(sides, "key").join(sketches, "node"), "ngram-lists")
     for done in (index, sides, sketches):
         discard(done)

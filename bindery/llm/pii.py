@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .vectext import filled
+from .vectext import filled, released
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
@@ -357,7 +357,7 @@ def _over_texts(docs: DataFrame, labelled: DataFrame | None, fields: str, row) -
             yield pdf.assign(**{n: [m[i] for m in made] for i, n in enumerate(names)})
 
     schema = ", ".join(f"`{n}` {t}" for n, t in rest.dtypes)
-    return rest.mapInPandas(run, f"{schema}, {fields}")
+    return rest.mapInPandas(released(run), f"{schema}, {fields}")
 
 
 def found(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import written
-from .vectext import NOT_LETTER, filled, pieces, prefix_hash, words
+from .vectext import NOT_LETTER, filled, pieces, prefix_hash, released, words
 
 BITS = 18
 SAMPLE = 3000
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
                 spans = list(zip(cut[:-1], cut[1:]))
                 yield pd.DataFrame({"toxic": pdf["label_toxic"].iloc[piece].to_numpy(), "spot": [spot[a:b].astype(np.int32).tobytes() for a, b in spans], "n": [n[a:b].astype(np.int32).tobytes() for a, b in spans], "size": [b - a for a, b in spans]})
 
-    rows = texts.select("label_toxic", "text").mapInPandas(sparse, "toxic int, spot binary, n binary, size int").toPandas()
+    rows = texts.select("label_toxic", "text").mapInPandas(released(sparse), "toxic int, spot binary, n binary, size int").toPandas()
     if rows.empty or rows["toxic"].nunique() < 2:
         return None
     spot, n = (np.frombuffer(b"".join(rows.pop(c)), dtype=np.int32) for c in ("spot", "n"))
@@ -168,7 +168,7 @@ def scored(docs: DataFrame, model: Model | None, reject_at: float = 0.5) -> Data
             yield pdf.assign(**{names[0]: both[0], names[1]: both[1], names[2]: both[1] >= reject_at})
 
     schema = ", ".join(f"`{n}` {t}" for n, t in rest.dtypes)
-    return rest.mapInPandas(run, f"{schema}, {names[0]} double, {names[1]} double, {names[2]} boolean")
+    return rest.mapInPandas(released(run), f"{schema}, {names[0]} double, {names[1]} double, {names[2]} boolean")
 
 
 def op5_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

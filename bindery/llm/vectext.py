@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 
 BASE, BASE_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -91,6 +94,24 @@ def pieces(texts: list[str], most: int = 1_000_000) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
+Frames = Iterator[pd.DataFrame]
+
+
+def released(run: Callable[[Frames], Frames]) -> Callable[[Frames], Frames]:
+    """run, after which the worker, which lives on for other work, gives its free memory back to the system."""
+
+    def whole(pdfs: Frames) -> Frames:
+        try:
+            yield from run(pdfs)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def filled(column) -> list[str]:
     """A pandas column of texts as a list, null as empty."""
     return ["" if t is None or t != t else t for t in column]
