@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, imatch, langid, mixing, ngram_join, pii, suffix_dedup, tokencount, topk, toxicity
+from . import bpe, conversations, imatch, langid, merkle, mixing, ngram_join, pii, suffix_dedup, tokencount, topk, toxicity, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +28,11 @@ def queries() -> dict[str, Query]:
         "op8_ngram_join": _over(ngram_join.op8_ngram_join, "documents"),
         "op9_token_counts": _over(tokencount.op9_token_counts, "documents"),
         "op10_mixing": _over(mixing.op10_mixing, "documents"),
+        "op11_merkle": _over(merkle.op11_merkle, "documents"),
+        "op12_warc": _over(warc.op12_warc, "pages"),
+        "op13_conversations": _over(conversations.op13_conversations, "conversations"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": topk.OP1_SQL, "op8_ngram_join": ngram_join.OP8_SQL, "op10_mixing": mixing.OP10_SQL}
+    return {"op1_topk": topk.OP1_SQL, "op8_ngram_join": ngram_join.OP8_SQL, "op10_mixing": mixing.OP10_SQL, "op11_merkle": merkle.OP11_SQL, "op12_warc": warc.OP12_SQL}
