@@ -25,17 +25,16 @@ import hashlib
 import heapq
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ship
-from .vectext import released
+from .vectext import with_fields
 
 #: Bytes of the longest match that the recursive query takes.
 LONGEST = 400
@@ -164,18 +163,6 @@ class Encoder:
             yield b"".join([self.known[m] for m in matches]), text
 
 
-def in_pieces(texts: list[str], most: int = 1_000_000) -> Iterator[slice]:
-    """Runs of texts of together about `most` characters."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -192,38 +179,31 @@ def encoded(docs: DataFrame, path: str | None = None, keep_ids: bool = True, kee
     """docs without text, with bpe_n_tokens, bpe_ids_sha256, bpe_decoded_sha256, bpe_round_trip and, if kept, bpe_ids and the decoded bpe_text."""
     ship(docs.sparkSession)
     path, splits = path or vocabulary_path(), pattern()
-    fields = [T.StructField("bpe_n_tokens", T.LongType()), T.StructField("bpe_ids_sha256", T.StringType()), T.StructField("bpe_decoded_sha256", T.StringType()), T.StructField("bpe_round_trip", T.BooleanType())]
+    fields = ["bpe_n_tokens long", "bpe_ids_sha256 string", "bpe_decoded_sha256 string", "bpe_round_trip boolean"]
     if keep_ids:
-        fields.append(T.StructField("bpe_ids", T.ArrayType(T.LongType())))
+        fields.append("bpe_ids array<bigint>")
     if keep_text:
-        fields.append(T.StructField("bpe_text", T.StringType()))
-    names = [f.name for f in fields]
+        fields.append("bpe_text string")
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @contextmanager
+    def opened() -> Iterator[Callable[[list[str]], Iterator[tuple]]]:
         own = Encoder(path, splits)
+
+        def made(texts: list[str]) -> Iterator[tuple]:
+            for given, (ids, text) in zip(texts, own.encode(texts)):
+                row = [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), given.encode() == text]
+                if keep_ids:
+                    row.append(np.frombuffer(ids, dtype="<u4").astype(np.int64))
+                if keep_text:
+                    row.append(text.decode())
+                yield tuple(row)
+
         try:
-            yield from through(own, pdfs)
+            yield made
         finally:
             own.close()
 
-    def through(own: Encoder, pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            texts = ["" if t is None or t != t else t for t in pdf["text"]]
-            for piece in in_pieces(texts):
-                rows = []
-                for given, (ids, text) in zip(texts[piece], own.encode(texts[piece])):
-                    row = [len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), given.encode() == text]
-                    if keep_ids:
-                        row.append(np.frombuffer(ids, dtype="<u4"))
-                    if keep_text:
-                        row.append(text.decode())
-                    rows.append(row)
-                out = pdf.iloc[piece].drop(columns="text").reset_index(drop=True)
-                yield pd.concat([out, pd.DataFrame(rows, columns=names, index=out.index)], axis=1)
-
-    kept = docs.select(*(F.col(c) for c in docs.columns if c not in names))
-    schema = T.StructType([f for f in kept.schema.fields if f.name != "text"] + fields)
-    return kept.mapInPandas(released(run), schema)
+    return with_fields(docs, ", ".join(fields), opened, keep_text=False)
 
 
 def op7_bpe(docs: DataFrame) -> DataFrame:

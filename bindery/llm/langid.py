@@ -20,6 +20,7 @@ rejected, which its own replace; the query ignores them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import nullcontext
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import written
-from .vectext import LOWER, NOT_LETTER, filled, pieces
+from .vectext import LOWER, NOT_LETTER, filled, pieces, with_fields
 
 DIMS = 8192
 PER_LANGUAGE = 500
@@ -102,7 +103,9 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROID
     few = F.broadcast(sizes) if sizes.count() <= MOST_BROADCAST else sizes
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     picked = written(named.join(few, "lang").filter(chance < per_language / F.col("n")).distinct(), "langid-picked")  # about per_language rows of each language
-    sample = usable.join(F.broadcast(picked) if picked.count() <= MOST_BROADCAST else picked, ["doc_id", "lang"]).select("lang", "text")
+    texts = usable.join(F.broadcast(picked) if picked.count() <= MOST_BROADCAST else picked, ["doc_id", "lang"])
+    # one text of each picked row, however many rows repeat its doc_id, so that the sample stays bounded
+    sample = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
     def sparse(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -139,28 +142,20 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, k: int = CENTROID
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """docs (doc_id, text and others) with lang_pred, score and rejected instead of text."""
     ship(docs.sparkSession)
-    names = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    rest = docs.select(*names)
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            texts = filled(pdf["text"])
-            for piece in pieces(texts):
-                part = texts[piece]
-                out = pdf.iloc[piece].drop(columns="text").reset_index(drop=True)
-                lettered = np.array([has_letter(t) for t in part])
-                pred, score, rejected = np.array(["und"] * len(part), dtype=object), np.zeros(len(part)), np.ones(len(part), dtype=bool)
-                if model and lettered.any():
-                    cosine = vectors(counts([t for t, ok in zip(part, lettered) if ok]), model.idf) @ model.centroids.T
-                    best = cosine.argmax(axis=1)
-                    own = model.owner[best]
-                    pred[lettered] = np.array(model.languages, dtype=object)[own]
-                    score[lettered] = np.clip(cosine.max(axis=1), 0, 1)
-                    rejected[lettered] = 1 - score[lettered] > model.radius[np.searchsorted(np.unique(model.owner), own)]
-                yield out.assign(lang_pred=pred, score=score, rejected=rejected)
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in rest.dtypes if n != "text")
-    return rest.mapInPandas(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    def made(texts: list[str]) -> Iterator[tuple]:
+        lettered = np.array([has_letter(t) for t in texts])
+        pred, score, rejected = np.array(["und"] * len(texts), dtype=object), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
+        if model and lettered.any():
+            cosine = vectors(counts([t for t, ok in zip(texts, lettered) if ok]), model.idf) @ model.centroids.T
+            best = cosine.argmax(axis=1)
+            own = model.owner[best]
+            pred[lettered] = np.array(model.languages, dtype=object)[own]
+            score[lettered] = np.clip(cosine.max(axis=1), 0, 1)
+            rejected[lettered] = 1 - score[lettered] > model.radius[np.searchsorted(np.unique(model.owner), own)]
+        return zip(pred, score, rejected)
+
+    return with_fields(docs, "lang_pred string, score double, rejected boolean", lambda: nullcontext(made), keep_text=False)
 
 
 def op4_langid(docs: DataFrame) -> DataFrame:

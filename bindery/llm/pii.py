@@ -20,15 +20,15 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from contextlib import nullcontext
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from .vectext import filled, released
+from .vectext import with_fields
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
@@ -347,17 +347,11 @@ def _over_texts(docs: DataFrame, labelled: DataFrame | None, fields: str, row) -
     """docs with more fields, a row of which comes from (text, base spans, all spans)."""
     ship(docs.sparkSession)
     model = fit(labelled if labelled is not None else training_table(docs.sparkSession))
-    names = [f.split()[0] for f in fields.split(", ")]
-    rest = docs.select(*(c for c in docs.columns if c not in names))
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            texts = filled(pdf["text"])
-            made = [row(t, base, spans) for t, (base, spans) in zip(texts, all_spans(texts, model))]
-            yield pdf.assign(**{n: [m[i] for m in made] for i, n in enumerate(names)})
+    def made(texts: list[str]) -> Iterator[tuple]:
+        return (row(t, base, spans) for t, (base, spans) in zip(texts, all_spans(texts, model)))
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in rest.dtypes)
-    return rest.mapInPandas(released(run), f"{schema}, {fields}")
+    return with_fields(docs, fields, lambda: nullcontext(made))
 
 
 def found(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from .anchors import GRAM, LENGTH, WINDOW, Hashes, anchors
 from .common import discard, written
-from .vectext import filled, mixed, pieces
+from .vectext import filled, mixed, pieces, text_pieces
 
 #: Offsets that one check decides together, from turn to turn.
 BLOCKS = (64, 16, 4, 1)
@@ -423,10 +424,10 @@ def repeated_starts(texts: DataFrame) -> DataFrame:
     return sure.union(edges).groupBy("row").agg(F.flatten(F.collect_list("sure")).alias("starts"))
 
 
-def _removed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in pdfs:
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, texts in text_pieces(batches):
         out = []
-        for doc_id, text, starts in zip(pdf["doc_id"], pdf["text"], pdf["starts"]):
+        for text, starts in zip(texts, part.column("starts").to_pylist()):
             raw = text.encode()
             pairs = np.asarray(starts if starts is not None else [], dtype=np.int64).reshape(-1, 2)
             spans = merged(pairs[:, 0], pairs[:, 1] + LENGTH - 1).reshape(-1, 2)
@@ -435,8 +436,9 @@ def _removed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 kept.append(raw[at:a])
                 at = b + 1
             kept = b"".join([*kept, raw[at:]])
-            out.append((doc_id, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            out.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+        columns = [pa.array(x, k) for x, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+        yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -447,8 +449,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     equal = texts.groupBy("row").agg(F.count("*").alias("rows"), F.max(F.octet_length("text")).alias("size")).filter(f"rows > 1 and size >= {LENGTH}")
     whole = equal.select("row", F.array(F.lit(0).cast("long"), (F.col("size") - LENGTH).cast("long")).alias("starts"))
     known = written(starts.union(whole).groupBy("row").agg(F.flatten(F.collect_list("starts")).alias("starts")), "suffix-known")
-    removed = texts.join(known, "row", "left").select("doc_id", "text", "starts")
-    return removed.mapInPandas(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    removed = texts.join(known, "row", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "starts")
+    return removed.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op6_suffix_dedup(docs: DataFrame) -> DataFrame:

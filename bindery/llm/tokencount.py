@@ -18,12 +18,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import ship
 from .bpe import pattern, ranks, vocabulary_path
-from .vectext import filled
+from .vectext import text_pieces
 
 RULES = ("first", "last", "most")
 
@@ -87,27 +88,21 @@ def section_tokens(docs: DataFrame, rule: str = "first", sections=lines, path: s
     ship(docs.sparkSession)
     path, split = path or vocabulary_path(), pattern()
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path, split)
-        for pdf in pdfs:
-            kept, size = [], 0
-            for doc_id, text in zip(pdf["doc_id"], filled(pdf["text"])):
+        for part, texts in text_pieces(batches):
+            held: list[list[np.ndarray]] = []
+            for row, text in enumerate(texts):
                 starts = sections(text)
                 first, after = own.spans(text)
                 to, crossing = attribute(first, after, starts, rule)
                 n = len(starts)
-                kept.append(pd.DataFrame({
-                    "doc_id": pd.Series([doc_id] * n, dtype=pdf["doc_id"].dtype), "section": np.arange(n), "char_start": starts, "char_end": np.append(starts[1:], len(text)),
-                    "n_tokens": np.bincount(to, minlength=n), "n_crossing": np.bincount(to[crossing], minlength=n), "doc_tokens": len(to),
-                }))
-                size += n
-                if size > 20_000:
-                    yield pd.concat(kept)
-                    kept, size = [], 0
-            if kept:
-                yield pd.concat(kept)
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, section int, char_start long, char_end long, n_tokens long, n_crossing long, doc_tokens long")
+                held.append([np.full(n, row), np.arange(n, dtype=np.int32), starts, np.append(starts[1:], len(text)), np.bincount(to, minlength=n), np.bincount(to[crossing], minlength=n), np.full(n, len(to))])
+            rows, section, *counts = (np.concatenate(x) for x in zip(*held))
+            ids = part.column("doc_id").take(pa.array(rows))  # never through numpy: a null beside it would make it a float
+            yield pa.RecordBatch.from_arrays([ids, pa.array(section, pa.int32()), *(pa.array(c, pa.int64()) for c in counts)], names=["doc_id", "section", "char_start", "char_end", "n_tokens", "n_crossing", "doc_tokens"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, section int, char_start long, char_end long, n_tokens long, n_crossing long, doc_tokens long")
 
 
 def op9_token_counts(docs: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ own replace.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import nullcontext
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from .common import written
-from .vectext import NOT_LETTER, filled, pieces, prefix_hash, released, words
+from .vectext import NOT_LETTER, filled, pieces, prefix_hash, released, with_fields, words
 
 BITS = 18
 SAMPLE = 3000
@@ -126,7 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     picked = known.filter(chance < sample / max(n, 1)).withColumnRenamed("doc_id", "label_doc_id")
     picked = written(picked, "toxicity-picked")  # about `sample` rows
     few = F.broadcast(picked) if picked.count() <= 4 * sample else picked
-    texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("label_doc_id"))
+    met = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("label_doc_id"))
+    # one text of each picked id, however many rows repeat it, so that the sample stays bounded
+    texts = met.groupBy("label_doc_id", "label_toxic").agg(F.min("text").alias("text"))
 
     def sparse(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in pdfs:
@@ -156,19 +159,15 @@ def scored(docs: DataFrame, model: Model | None, reject_at: float = 0.5) -> Data
     """docs with toxic_severity (0 to 3), toxic_p and toxic_rejected."""
     ship(docs.sparkSession)
     names = ("toxic_severity", "toxic_p", "toxic_rejected")
-    rest = docs.select(*(c for c in docs.columns if c not in names))
     if model is None:
+        rest = docs.select(*(c for c in docs.columns if c not in names))
         return rest.select("*", F.lit(0.0).alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(False).alias(names[2]))
 
-    def run(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            texts = filled(pdf["text"])
-            parts = [severity(texts[piece], model) for piece in pieces(texts)]
-            both = [np.concatenate(x) if x else np.zeros(0) for x in (list(zip(*parts)) or [[], []])]
-            yield pdf.assign(**{names[0]: both[0], names[1]: both[1], names[2]: both[1] >= reject_at})
+    def made(texts: list[str]) -> Iterator[tuple]:
+        expected, p = severity(texts, model)
+        return zip(expected, p, p >= reject_at)
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in rest.dtypes)
-    return rest.mapInPandas(released(run), f"{schema}, {names[0]} double, {names[1]} double, {names[2]} boolean")
+    return with_fields(docs, f"{names[0]} double, {names[1]} double, {names[2]} boolean", lambda: nullcontext(made))
 
 
 def op5_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

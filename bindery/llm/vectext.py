@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BASE, BASE_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -94,15 +99,12 @@ def pieces(texts: list[str], most: int = 1_000_000) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
-Frames = Iterator[pd.DataFrame]
-
-
-def released(run: Callable[[Frames], Frames]) -> Callable[[Frames], Frames]:
+def released[Parts](run: Callable[[Iterator[Parts]], Iterator[Parts]]) -> Callable[[Iterator[Parts]], Iterator[Parts]]:
     """run, after which the worker, which lives on for other work, gives its free memory back to the system."""
 
-    def whole(pdfs: Frames) -> Frames:
+    def whole(parts: Iterator[Parts]) -> Iterator[Parts]:
         try:
-            yield from run(pdfs)
+            yield from run(parts)
         finally:
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
@@ -113,5 +115,51 @@ def released(run: Callable[[Frames], Frames]) -> Callable[[Frames], Frames]:
 
 
 def filled(column) -> list[str]:
-    """A pandas column of texts as a list, null as empty."""
+    """A column of texts as a list, null as empty."""
     return ["" if t is None or t != t else t for t in column]
+
+
+def by_size(sizes: np.ndarray, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+    """(first, number) of runs of sizes of together about `most`; a larger one stands alone."""
+    begin = total = 0
+    for i, n in enumerate(sizes.tolist()):
+        if total and total + n > most:
+            yield begin, i - begin
+            begin, total = i, 0
+        total += n
+    if begin < len(sizes):
+        yield begin, len(sizes) - begin
+
+
+def text_pieces(batches: Iterable[pa.RecordBatch], most: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of record batches of about `most` bytes of text, with their texts; all columns stay as Arrow has them."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        for begin, n in by_size(sizes, most):
+            part = batch.slice(begin, n)
+            yield part, filled(part.column("text").to_pylist())
+
+
+Made = Iterator[tuple]
+
+
+def with_fields(rows: DataFrame, fields: str, compute: Callable[[], contextlib.AbstractContextManager[Callable[[list[str]], Made]]], keep_text: bool = True, most: int = 1_000_000) -> DataFrame:
+    """rows with more columns, computed from their text; columns of these names give way to them.
+
+    compute opens what a partition needs and gives a function from texts to one tuple
+    of values each. Python meets texts alone: every other column passes as the Arrow
+    array it is, so that large whole numbers beside nulls, and nested columns, stay as they are.
+    """
+    new = T.StructType.fromDDL(fields)
+    kinds = to_arrow_schema(new)
+    kept = [f for f in rows.schema.fields if f.name not in new.names and (keep_text or f.name != "text")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with compute() as made:
+            for part, texts in text_pieces(batches, most):
+                columns = list(zip(*made(texts))) or [()] * len(kinds)
+                arrays = [part.column(f.name) for f in kept] + [pa.array(x, k.type) for x, k in zip(columns, kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in kept] + kinds.names)
+
+    given = rows.select(*(F.col(f"`{c}`") for c in rows.columns if c not in new.names))
+    return given.mapInArrow(released(run), T.StructType(kept + new.fields))

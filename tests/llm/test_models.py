@@ -53,7 +53,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
     theirs = con.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in theirs.description]
