@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindery.llm import bpe, mixing, ngram_join, pii, toxicity
@@ -37,10 +37,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that share a doc_id are in one group. Documents without doc_id stay.
     """
     kept = ngram_join.near_duplicates(docs.select("doc_id", "text")).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    ties = [F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *ties))
-    chosen = rows.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi").withColumn("place", first).filter("place = 1").select("row.*")
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row")).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    again = written(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("kept_id")), "pipeline-repeated")
+    if again.isEmpty():
+        chosen = rows.select("row.*")
+    else:
+        shared = F.col("doc_id") == F.col("kept_id")
+        ties = [F.col(f"row.`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+        # the least row of each task goes on alone, so that an id of many rows is no hot key
+        first = rows.join(again, shared, "left_semi").groupBy("doc_id").agg(F.min_by("row", F.struct("row.text", *ties)).alias("row"))
+        chosen = rows.join(again, shared, "left_anti").select("row.*").union(first.select("row.*"))
     return chosen.union(docs.filter("doc_id is null"))
 
 
