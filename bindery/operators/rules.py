@@ -1,79 +1,193 @@
 """A rule language over technical-metadata XML.
 
-A library names paths in contexts; rules are predicates over these names. All
-rules of a set compile to one select of boolean columns over facts that one parse
-of each document gives. Malformed XML is a fact as well, not a failure of the job.
-Paths are local element names joined by /, the last of which may be @attribute.
+A library names paths in contexts; rules are predicates over these names. The paths of
+a library compile to one nested schema, with attributes and repeated elements, by
+which from_xml parses each document once on the JVM; contexts and values are array
+expressions over that parse, and all rules of a set one select over them. Malformed
+XML is a fact as well, not a failure of the job.
+
+A path is local element names joined by /, the last of which may be @attribute; a
+step may be narrowed as name[child=text] or name[@attribute=text]. Several paths may
+stand for one name, whose nodes are those of all. A context may open in a document
+that the outer one holds as text (`inner`): an XMP packet, for example.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 ERROR = "struct<code:string,field:string,expected:string,actual:string>"
+Step = tuple[str, str, str]  # name, and the child or @attribute and the text that narrow it, if any
+Paths = str | tuple[str, ...]
+
+
+def steps(path: str) -> list[Step]:
+    return re.findall(r"([^/\[]+)(?:\[([^=\]]+)=([^\]]*)\])?", path)
+
+
+def several(paths: Paths) -> tuple[str, ...]:
+    return (paths,) if isinstance(paths, str) else paths
+
+
+class Node:
+    """An element of the schema: what rules ask of it."""
+
+    def __init__(self) -> None:
+        self.children: dict[str, Node] = {}
+        self.attributes: dict[str, None] = {}
+
+    def add(self, path: list[Step]) -> Node:
+        if not path:
+            return self
+        (name, key, _), *rest = path
+        if name.startswith("@"):
+            self.attributes[name[1:]] = None
+            return self
+        child = self.children.setdefault(name, Node())
+        if key:
+            child.add([(key, "", "")])
+        return child.add(rest)
+
+    def ddl(self) -> str:
+        if not self.children and not self.attributes:
+            return "string"
+        fields = [f"`{n}`:array<{c.ddl()}>" for n, c in self.children.items()] + [f"`_{a}`:string" for a in self.attributes]
+        return f"struct<{','.join([*fields, '`_VALUE`:string'])}>"
+
+    def text(self, x: Column) -> Column:
+        if not self.children and not self.attributes:
+            return x
+        # between the children of an element there is only white space
+        return F.when(F.trim(x["_VALUE"]) != "", x["_VALUE"]) if self.children else F.coalesce(x["_VALUE"], F.lit(""))
+
+    def narrowed(self, key: str, text: str) -> Callable[[Column], Column]:
+        if key.startswith("@"):
+            return lambda x: F.coalesce(x[f"_{key[1:]}"] == text, F.lit(False))
+        child = self.children[key]
+        return lambda x: F.coalesce(F.exists(x[key], lambda v: child.text(v) == text), F.lit(False))
+
+    def under(self, name: str) -> Callable[[Column], Column]:
+        """The nodes like this one, by their name, of their parent."""
+        none = F.array().cast(f"array<{self.ddl()}>")
+        return lambda x: F.coalesce(x[name], none)
+
+    def found(self, node: Column, path: list[Step]) -> tuple[Column, Node]:
+        """The nodes that a path finds below a node like this one, as an array."""
+        at, nodes = self, None
+        for name, key, text in path:
+            at = at.children[name]
+            nodes = at.under(name)(node) if nodes is None else F.flatten(F.transform(nodes, at.under(name)))
+            if key:
+                nodes = F.filter(nodes, at.narrowed(key, text))
+        return F.array(node) if nodes is None else nodes, at
+
+    def values(self, node: Column, path: list[Step]) -> Column:
+        """The texts of the nodes that a path finds, in their order."""
+        *above, (last, _, _) = path
+        if last.startswith("@"):
+            nodes, _ = self.found(node, above)
+            return F.filter(F.transform(nodes, lambda x: x[f"_{last[1:]}"]), lambda v: v.isNotNull())
+        nodes, at = self.found(node, path)
+        if not at.children and not at.attributes:
+            return nodes
+        return F.filter(F.transform(nodes, at.text), lambda v: v.isNotNull())
 
 
 @dataclass
 class Library:
-    contexts: dict[str, tuple[str | None, str]] = field(default_factory=dict)  # name: (parent, path from it)
-    queries: dict[tuple[str, str], str] = field(default_factory=dict)  # (context, name): path from the context
-
-    def context_path(self, name: str) -> str:
-        parent, path = self.contexts[name]
-        return f"{self.context_path(parent)}/{path}" if parent else path
-
-    def paths(self) -> dict[str, str]:
-        """All paths by `context` and `context.name`."""
-        return {c: self.context_path(c) for c in self.contexts} | {f"{c}.{n}": f"{self.context_path(c)}/{p}" for (c, n), p in self.queries.items()}
-
-    def facts(self, xml: Column) -> Column:
-        """Of each path, how many nodes it finds and the text of the first, as fields `n:name` and `v:name`; `read` is false for malformed XML.
-
-        One parse of each document; marked as non-deterministic, so that no
-        optimizer rule evaluates it a second time.
-        """
-        names = list(self.paths())
-        fields = "struct<read:boolean," + ",".join(f"`n:{k}`:int,`v:{k}`:string" for k in names) + ">"
-        wanted: dict[str, list[tuple[int, str | None]]] = {}  # path of elements: places of the names that it has, with their attributes
-        for i, (element, _, attribute) in enumerate(p.partition("/@") for p in self.paths().values()):
-            wanted.setdefault(element, []).append((i, attribute or None))
-
-        def parse(texts: pd.Series) -> pd.DataFrame:
-            from xml.etree import ElementTree
-
-            def one(text: str | None) -> list:
-                row: list = [False] + [0, None] * len(names)
-                try:
-                    open_nodes = [("", ElementTree.fromstring(text or ""))]
-                except ElementTree.ParseError:
-                    return row
-                row[0] = True
-                while open_nodes:
-                    above, node = open_nodes.pop()
-                    path = above + node.tag.rpartition("}")[2]
-                    for i, attribute in wanted.get(path, ()):
-                        value = node.get(attribute) if attribute else "".join(node.itertext())
-                        if value is not None:
-                            if not row[2 * i + 1]:
-                                row[2 * i + 2] = value
-                            row[2 * i + 1] += 1
-                    if len(node):
-                        open_nodes += [(path + "/", child) for child in reversed(node) if isinstance(child.tag, str)]
-                return row
-
-            return pd.DataFrame([one(t) for t in texts], columns=["read", *(f"{c}:{k}" for k in names for c in "nv")])
-
-        return pandas_udf(parse, fields).asNondeterministic()(xml)
+    contexts: dict[str, tuple[str | None, Paths]] = field(default_factory=dict)  # name: (parent, paths from it)
+    queries: dict[tuple[str, str], Paths] = field(default_factory=dict)  # (context, name): paths from the context
+    inner: dict[str, Callable[[Reader], Column]] = field(default_factory=dict)  # context without parent: the texts that may hold its document
+
+    def __post_init__(self) -> None:
+        self.documents = {name: Node() for name in ("", *self.inner)}
+        self.nodes: dict[str, list[Node]] = {}  # of each context, one for each of its paths
+        for name, (parent, paths) in self.contexts.items():
+            above = self.nodes[parent] if parent else [self.documents[name if name in self.inner else ""]]
+            self.nodes[name] = [n.add(steps(p)) for n in above for p in several(paths)]
+        for (context, _), paths in self.queries.items():
+            for node in self.nodes[context]:
+                for p in several(paths):
+                    node.add(steps(p))
+
+    def read(self, documents: DataFrame, xml: str) -> DataFrame:
+        """documents with a column `n:name` for each name, how many nodes it has, and `v:name`, the text of the first, and `m:name`, the errors if it is not found once; `read:` is false for malformed XML, `p:name` how many inner documents there are."""
+        names = documents.columns
+        found = _parsed(documents, F.col(xml), self.documents[""], "")
+        for context, (parent, paths) in self.contexts.items():
+            if context in self.inner:
+                found = found.withColumn(f"packets {context}", self.inner[context](Reader(self)))
+                one = F.when(F.size(f"packets {context}") == 1, F.get(f"packets {context}", F.lit(0)))
+                found = _parsed(found, one, self.documents[context], context)
+            document = context if context in self.inner else ""
+            above, node = (self.nodes[parent][0], F.col(f"node {parent}")) if parent else (self.documents[document], F.when(_well_formed(document), F.col(f"document {document}")))
+            parts = [above.found(node, steps(p))[0] for p in several(paths)]
+            found = found.withColumn(f"context {context}", parts[0] if len(parts) == 1 else F.concat(*parts))
+            found = found.withColumn(f"node {context}", F.get(f"context {context}", F.lit(0)))
+        # every name a column of its own, not a field of a struct, so that no optimizer rule repeats an expression where it is used
+        facts = [_well_formed("").alias("read:")]
+        for context in self.contexts:
+            parent = self.contexts[context][0]
+            n = F.size(f"context {context}")
+            # a context opens below the one node of its parent, and not at all where that isn't one
+            facts.append((F.when(F.size(f"context {parent}") != 1, 0).otherwise(n) if parent else n).alias(f"n:{context}"))
+            if context in self.inner:
+                facts.append(F.size(f"packets {context}").alias(f"p:{context}"))
+        every = {f"{c}.{n}": Reader(self).values(c, n) for c, n in self.queries}
+        valued = found.select("*", *facts, *(v.alias(f"values {k}") for k, v in every.items()))
+        told = [f for k in every for f in (F.size(F.col(f"`values {k}`")).alias(f"n:{k}"), F.get(F.col(f"`values {k}`"), F.lit(0)).alias(f"v:{k}"))]
+        valued = valued.select(*(F.col(f"`{n}`") for n in names), *(F.col(f"`{c}`") for c in valued.columns if c[:2] in ("n:", "p:") or c == "read:"), *told)
+        return valued.select("*", *(_missing(c, n).alias(f"m:{c}.{n}") for c, n in self.queries))
+
+
+class Reader:
+    """What a library's inner documents are made from: values of names that were opened before."""
+
+    def __init__(self, library: Library) -> None:
+        self.library = library
+
+    def values(self, context: str, name: str) -> Column:
+        """All texts of a name."""
+        node = self.library.nodes[context][0]
+        parts = [node.values(F.col(f"node {context}"), steps(p)) for p in several(self.library.queries[context, name])]
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    def each(self, context: str, *names: str) -> Column:
+        """For each node of a context the texts of several names, as an array of structs of arrays."""
+        node = self.library.nodes[context][0]
+        one = lambda x: F.struct(*(node.values(x, steps(several(self.library.queries[context, n])[0])).alias(n) for n in names))
+        return F.transform(F.col(f"context {context}"), one)
+
+
+XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
+
+
+def _schema(root: Node) -> str:
+    ddl = root.ddl()
+    return f"{ddl[:-1]},`_broken`:string>" if ddl != "string" else "struct<`_VALUE`:string,`_broken`:string>"
+
+
+def _parsed(documents: DataFrame, xml: Column, root: Node, name: str) -> DataFrame:
+    """documents with `document name`: one parse of a text, whose declaration is taken off and which is set below one root, so that a second one would be seen."""
+    bare = F.trim(xml, F.lit(" \t\r\n\ufeff"))
+    declared = bare.startswith("<?xml") | bare.startswith("<!DOCTYPE")
+    body = F.when(declared, F.regexp_replace(bare, r"^(<\?xml[^>]*\?>)?\s*(<!DOCTYPE[^\[>]*>)?", "")).otherwise(bare)
+    whole = F.when(bare.startswith("<") & bare.endswith(">"), F.concat(F.lit("<_>"), body, F.lit("</_>")))
+    return documents.withColumn(f"document {name}", F.from_xml(whole, _schema(root), XML))
+
+
+def _well_formed(name: str) -> Column:
+    parsed = F.col(f"document {name}")
+    return parsed.isNotNull() & parsed["_broken"].isNull()
 
 
 def _count(name: str) -> Column:
-    return F.col(f"facts.`n:{name}`")
+    return F.col(f"`n:{name}`")
 
 
 def _error(code: str, name: str, expected: Column, actual: Column) -> Column:
@@ -84,7 +198,7 @@ def _none() -> Column:
     return F.array().cast(f"array<{ERROR}>")
 
 
-def _found(ctx: str, name: str) -> Column:
+def _missing(ctx: str, name: str) -> Column:
     """Errors of a name that is not found exactly once."""
     n, opened = _count(f"{ctx}.{name}"), _count(ctx)
     return (
@@ -93,8 +207,12 @@ def _found(ctx: str, name: str) -> Column:
     )
 
 
+def _found(ctx: str, name: str) -> Column:
+    return F.col(f"`m:{ctx}.{name}`")
+
+
 def _value(ctx: str, name: str) -> Column:
-    return F.col(f"facts.`v:{ctx}.{name}`")
+    return F.col(f"`v:{ctx}.{name}`")
 
 
 def _tested(ctx: str, name: str, code: str, expected: Column, test: Callable[[Column], Column]) -> Column:
@@ -141,6 +259,42 @@ def v_same(ctx1: str, name1: str, ctx2: str, name2: str) -> Column:
     return F.when(F.size(missing) > 0, missing).when(a == b, _none()).otherwise(_error("NotEqualValues", name1, b, a))
 
 
+def v_holds(names: list[tuple[str, str]], code: str, field: str, expected: str, test: Callable[..., Column]) -> Column:
+    """A predicate over several values, each found once; missing ones are reported by themselves."""
+    missing, values = F.concat(*(_found(*n) for n in names)), [_value(*n) for n in names]
+    return F.when(F.size(missing) > 0, missing).when(F.coalesce(test(*values), F.lit(False)), _none()).otherwise(_error(code, field, F.lit(expected), F.concat_ws(", ", *values)))
+
+
+def v_if_packet(ctx: str, rule: Column) -> Column:
+    """A rule for documents that hold an inner one; several are an error, none is nothing to check."""
+    n = F.col(f"`p:{ctx}`")
+    return F.when(n == 0, _none()).when(n > 1, _error("BadField", ctx, F.lit("zero or one"), n)).otherwise(rule)
+
+
+def _per_inch(axis: str) -> Column:
+    whole, parts = _value("mix", f"{axis}Res_numerator").try_cast("double"), _value("mix", f"{axis}Res_denominator").try_cast("double")
+    return F.when(_count(f"mix.{axis}Res_denominator") > 0, F.try_divide(whole, parts)).otherwise(whole)
+
+
+def _resolution(expected: str, test: Callable[[Column], Column]) -> Column:
+    """The resolution of both axes as one number, numerator by denominator if there is one."""
+    missing, x, y = F.concat(_found("mix", "xRes_numerator"), _found("mix", "yRes_numerator")), _per_inch("x"), _per_inch("y")
+    unequal = _error("NotEqualValues", "xRes_numerator", y, x)
+    return F.when(F.size(missing) > 0, missing).when(F.coalesce(x != y, F.lit(True)), unequal).when(F.coalesce(test(x), F.lit(False)), _none()).otherwise(_error("BadValue", "xRes_numerator", F.lit(expected), x))
+
+
+def v_resolution(allowed: list[int]) -> Column:
+    return _resolution(f"one of ({', '.join(map(str, allowed))})", lambda x: x.isin(*map(float, allowed)))
+
+
+def v_resolution_ge(least: int) -> Column:
+    return _resolution(f">= {least}", lambda x: x >= least)
+
+
+def v_resolution_exists() -> Column:
+    return _resolution("a number", lambda x: x.isNotNull())
+
+
 def v_and(*rules: Column) -> Column:
     """All errors of all rules: nothing is cut short."""
     return F.concat(*rules)
@@ -153,18 +307,23 @@ def merged(defaults: dict[str, Column], overrides: dict[str, Column | None]) ->
 
 def check(documents: DataFrame, xml: str, library: Library, rules: dict[str, Column]) -> DataFrame:
     """documents with results, an array of (rule, errors); malformed XML fails every rule with BadFile."""
-    parsed = documents.withColumn("facts", library.facts(F.col(xml)))
+    parsed = library.read(documents, xml)
     broken = _error("BadFile", "xml", F.lit("well-formed XML"), F.lit(None))
-    results = F.array(*(F.struct(F.lit(k).alias("rule"), F.when(~F.col("facts.read"), broken).otherwise(v).alias("errors")) for k, v in rules.items()))
-    return parsed.withColumn("results", results).drop("facts")
+    results = F.array(*(F.struct(F.lit(k).alias("rule"), F.when(~F.col("read:"), broken).otherwise(v).alias("errors")) for k, v in rules.items()))
+    return parsed.select(*(F.col(f"`{c}`") for c in documents.columns if c != "results"), results.alias("results"))
+
+
+def _results(checked: DataFrame, keys: list[str]) -> DataFrame:
+    # outer: for a plain explode the optimizer would add a filter on the array's size and repeat the parse in it
+    return checked.select(*keys, F.explode_outer("results").alias("r")).select(*keys, "r.rule", "r.errors")
 
 
 def verdicts(checked: DataFrame, keys: list[str]) -> DataFrame:
-    return checked.select(*keys, F.explode("results").alias("r")).select(*keys, "r.rule", (F.size("r.errors") == 0).alias("ok"))
+    return _results(checked, keys).select(*keys, "rule", (F.size("errors") == 0).alias("ok"))
 
 
 def errors(checked: DataFrame, keys: list[str]) -> DataFrame:
-    return checked.select(*keys, F.explode("results").alias("r")).select(*keys, "r.rule", F.explode("r.errors").alias("e")).select(*keys, "rule", "e.*")
+    return _results(checked, keys).select(*keys, "rule", F.explode_outer("errors").alias("e")).filter("e is not null").select(*keys, "rule", "e.*")
 
 
 #: Names in technical metadata of TIFF images.
@@ -182,3 +341,96 @@ def tiff_rules() -> dict[str, Column]:
         "format": v_eq("repInfo", "format", "TIFF"), "status": v_eq("repInfo", "status", "Well-Formed and valid"), "resolution": v_ge("mix", "xRes", 600),
         "bits": v_in("mix", "bitsPerSample", ["1", "2"]), "dimensions": v_and(v_gt("mix", "width", 0), v_gt("mix", "height", 0)), "same_width": v_same("mix", "width", "mix", "copyOfWidth"), "height_range": v_between("mix", "height", 0, 1600),
     }
+
+
+#: Where the format puts image metadata (MIX), by the names that rules use.
+MIX = {
+    "compression": "BasicDigitalObjectInformation/Compression/compressionScheme", "colorSpace": "BasicImageInformation/BasicImageCharacteristics/PhotometricInterpretation/colorSpace",
+    "width": "BasicImageInformation/BasicImageCharacteristics/imageWidth", "length": "BasicImageInformation/BasicImageCharacteristics/imageHeight",
+    "orientation": "ImageCaptureMetadata/orientation", "artist": "ImageCaptureMetadata/GeneralCaptureInformation/imageProducer", "dateTime": "ImageCaptureMetadata/GeneralCaptureInformation/dateTimeCreated",
+    "xRes_numerator": "ImageAssessmentMetadata/SpatialMetrics/xSamplingFrequency/numerator", "xRes_denominator": "ImageAssessmentMetadata/SpatialMetrics/xSamplingFrequency/denominator",
+    "yRes_numerator": "ImageAssessmentMetadata/SpatialMetrics/ySamplingFrequency/numerator", "yRes_denominator": "ImageAssessmentMetadata/SpatialMetrics/ySamplingFrequency/denominator",
+    "resUnit": "ImageAssessmentMetadata/SpatialMetrics/samplingFrequencyUnit", "bitsPerSample": "ImageAssessmentMetadata/ImageColorEncoding/BitsPerSample/bitsPerSampleValue", "samplesPerPixel": "ImageAssessmentMetadata/ImageColorEncoding/samplesPerPixel",
+}
+#: Elements of an XMP description.
+XMP = {
+    "width": "ImageWidth", "length": "ImageLength", "bitsPerSample": ("BitsPerSample/Seq/li", "BitsPerSample"), "compression": "Compression", "colorSpace": "PhotometricInterpretation", "orientation": "Orientation", "samplesPerPixel": "SamplesPerPixel",
+    "xRes": "XResolution", "yRes": "YResolution", "resUnit": "ResolutionUnit", "dateTime": "DateTime", "artist": "Artist", "make": "Make", "model": "Model", "documentName": "source",
+}
+REP_INFO = {"format": "format", "status": "status", "module": "sigMatch/module", "mimeType": "mimeType"}
+DESCRIPTION = ("xmpmeta/RDF/Description", "RDF/Description")
+#: The box id of XMP in JP2 images, as signed bytes.
+XMP_BOX = (-66, 122, -49, -53, -105, -87, 66, -24, -100, 113, -103, -108, -111, -29, -81, -84)
+
+
+def _named(**queries: dict[str, Paths]) -> dict[tuple[str, str], Paths]:
+    return {(context, name): path for context, paths in queries.items() for name, path in paths.items()}
+
+
+def _boxes(read: Reader) -> Column:
+    """The data of the boxes with XMP's id, whose bytes are listed as signed numbers."""
+    mine = F.filter(read.each("uuidBox", "uuid", "data"), lambda b: b["uuid"] == F.array(*(F.lit(str(x)) for x in XMP_BOX)))
+    byte = lambda v: F.lpad(F.hex(v.try_cast("int").bitwiseAND(F.lit(255))), 2, "0")
+    return F.transform(mine, lambda b: F.decode(F.unhex(F.array_join(F.transform(b["data"], byte), "")), "UTF-8"))
+
+
+#: A whole report on a TIFF image, with the XMP packet that it may hold as text.
+TIFF_REPORT = Library(
+    contexts={
+        "repInfo": (None, "jhove/repInfo"), "tiffMeta": ("repInfo", "properties/property[name=TIFFMetadata]/values/property[name=IFDs]/values/property[name=IFD]/values"),
+        "mix": ("tiffMeta", "property[name=NisoImageMetadata]/values/value/mix"), "xmp": (None, DESCRIPTION),
+    },
+    queries=_named(repInfo=REP_INFO, tiffMeta={"documentName": "property[name=DocumentName]/values/value", "xmp": "property[name=XMP]/values/value"}, mix=MIX, xmp=XMP),
+    inner={"xmp": lambda read: read.values("tiffMeta", "xmp")},
+)
+
+#: A whole report on a JP2 image; its XMP packet is in a box, byte by byte.
+JP2_REPORT = Library(
+    contexts={
+        "repInfo": (None, "jhove/repInfo"), "jp2Meta": ("repInfo", "properties/property[name=JPEG2000Metadata]/values"), "codestream": ("jp2Meta", "property[name=Codestreams]/values/property[name=Codestream]/values"),
+        "codingStyleDefault": ("codestream", "property[name=CodingStyleDefault]/values"), "mix": ("codestream", "property[name=NisoImageMetadata]/values/value/mix"),
+        "uuidBox": ("jp2Meta", "property[name=UUIDs]/values/property[name=UUIDBox]/values"), "xmp": (None, DESCRIPTION),
+    },
+    queries=_named(
+        repInfo=REP_INFO,
+        jp2Meta={"brand": "property[name=Brand]/values/value", "minorVersion": "property[name=MinorVersion]/values/value", "compatibility": "property[name=Compatibility]/values/value", "colorSpace": "property[name=ColorSpecs]/values/property[name=ColorSpec]/values/property[name=EnumCS]/values/value"},
+        codingStyleDefault={"layers": "property[name=NumberOfLayers]/values/value", "decompositionLevels": "property[name=NumberDecompositionLevels]/values/value", "transformation": "property[name=Transformation]/values/value"},
+        mix=MIX, xmp=XMP, uuidBox={"uuid": "property[name=UUID]/values/value", "data": "property[name=Data]/values/value"},
+    ),
+    inner={"xmp": _boxes},
+)
+
+
+def tiff_report_rules() -> dict[str, Column]:
+    """A bitonal TIFF; if it has XMP, that must say the same as the image's own header."""
+    same = [v_same("mix", k, "xmp", k) for k in ("bitsPerSample", "samplesPerPixel", "length", "width", "artist")] + [v_same("tiffMeta", "documentName", "xmp", "documentName")]
+    fixed = [v_eq("xmp", k, v) for k, v in {"compression": "4", "colorSpace": "0", "orientation": "1", "resUnit": "2"}.items()]
+    # the header has no time zone, XMP may have one
+    dated = v_holds([("mix", "dateTime"), ("xmp", "dateTime")], "NotMatchedValue", "dateTime", "the same time", lambda own, xmp: xmp.startswith(own))
+    dense = v_holds([("mix", "xRes_numerator"), ("xmp", "xRes")], "BadValue", "xRes", "NNN/1, as in the header", lambda _, xmp: xmp.rlike(r"^\d+/1\z") & (number(xmp) == _per_inch("x")))
+    return {
+        "format": v_eq("repInfo", "format", "TIFF"), "status": v_eq("repInfo", "status", "Well-Formed and valid"), "module": v_eq("repInfo", "module", "TIFF-hul"), "mime_type": v_eq("repInfo", "mimeType", "image/tiff"),
+        "compression": v_eq("mix", "compression", "Group 4 Fax"), "colorspace": v_eq("mix", "colorSpace", "WhiteIsZero"), "orientation": v_eq("mix", "orientation", "normal*"), "resolution": v_resolution([600]),
+        "resolution_unit": v_eq("mix", "resUnit", "in."), "bits_per_sample": v_eq("mix", "bitsPerSample", "1"), "samples_per_pixel": v_eq("mix", "samplesPerPixel", "1"), "dimensions": v_and(v_gt("mix", "length", 0), v_gt("mix", "width", 0)),
+        "extract_info": v_and(v_exists("mix", "dateTime"), v_exists("mix", "artist"), v_exists("tiffMeta", "documentName")),
+        "xmp": v_if_packet("xmp", v_and(*same, *fixed, dated, dense, v_same("xmp", "xRes", "xmp", "yRes"))), "camera": v_if_packet("xmp", v_and(v_exists("xmp", "make"), v_exists("xmp", "model"))),
+    }
+
+
+def jp2_report_rules() -> dict[str, Column]:
+    """A lossy JP2 of grey or true colour, whose XMP, which it must have, agrees with its codestream."""
+    grey = {"xmp.colorSpace": "1", "xmp.samplesPerPixel": "1", "mix.samplesPerPixel": "1", "jp2Meta.colorSpace": "Greyscale"}
+    colour = {"xmp.colorSpace": "2", "xmp.samplesPerPixel": "3", "mix.samplesPerPixel": "3", "jp2Meta.colorSpace": "sRGB"}
+    names = [tuple(k.split(".")) for k in grey]
+    depth = lambda ctx, n: (_count(f"{ctx}.bitsPerSample") == n) & (_value(ctx, "bitsPerSample") == "8")
+    all_of = lambda values, wanted, n: F.forall(F.array(*(v == w for v, w in zip(values, wanted.values()))), lambda x: F.coalesce(x, F.lit(False))) & depth("mix", n) & depth("xmp", n)
+    sizes = [("mix", "width"), ("xmp", "width"), ("mix", "length"), ("xmp", "length")]
+    return {
+        "format": v_eq("repInfo", "format", "JPEG 2000"), "status": v_eq("repInfo", "status", "Well-Formed and valid"), "module": v_eq("repInfo", "module", "JPEG2000-hul"), "mime_type": v_eq("repInfo", "mimeType", "image/jp2"),
+        "brand": v_eq("jp2Meta", "brand", "jp2 "), "minor_version": v_eq("jp2Meta", "minorVersion", "0"), "compatibility": v_eq("jp2Meta", "compatibility", "jp2 "),
+        "compression": v_and(v_eq("mix", "compression", "JPEG2000 Lossy"), v_eq("xmp", "compression", "34712")), "orientation": v_eq("xmp", "orientation", "1"), "resolution_unit": v_eq("xmp", "resUnit", "2"),
+        "resolution": v_and(v_ge("xmp", "xRes", 300), v_same("xmp", "xRes", "xmp", "yRes")), "layers": v_eq("codingStyleDefault", "layers", "1"), "decomposition_levels": v_between("codingStyleDefault", "decompositionLevels", 5, 32),
+        "transformation": v_eq("codingStyleDefault", "transformation", "0"), "colorspace": v_holds(names, "NotMatchedValue", "color space", "grey or sRGB of 8 bits", lambda *v: all_of(v, grey, 1) | all_of(v, colour, 3)),
+        "dimensions": v_holds(sizes, "NotMatchedValue", "dimensions", "consistent and not zero", lambda a, b, c, d: (number(a) > 0) & (number(a) == number(b)) & (number(c) > 0) & (number(c) == number(d))),
+        "extract_info": v_and(v_exists("xmp", "dateTime"), v_exists("xmp", "artist"), v_exists("xmp", "documentName")), "camera": v_and(v_exists("xmp", "make"), v_exists("xmp", "model")),
+    }

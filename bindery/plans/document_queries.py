@@ -19,7 +19,12 @@ def jhove(t: Tables) -> DataFrame:
     res = tag("xRes", c("resolution"))
     mix = F.concat(F.lit("<m:mix>"), res, F.when(c("n_resolution") == 2, res).otherwise(""), tag("width", c("width")), tag("copyOfWidth", F.when(c("volume") % 7 == 0, "1").otherwise(c("width"))), tag("height", c("height")), F.lit('<m:bits perSample="'), "bits", F.lit('"/></m:mix>'))
     xml = F.concat(F.lit('<j:repInfo xmlns:j="urn:j" xmlns:m="urn:m">'), F.lit("<j:format>"), "format", F.lit("</j:format><j:status>"), "status", F.lit("</j:status>"), mix, F.when(c("volume") % 97 == 0, "").otherwise("</j:repInfo>"))
-    return t.tech_metadata.select(*KEY, xml.alias("xml"))
+    return spread(t.tech_metadata).select(*KEY, xml.alias("xml"))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows on all cores: the test table is one row group, which one task alone would turn into XML and parse."""
+    return rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism)
 
 
 RES = "try_cast(regexp_extract(resolution, '^([0-9]+)', 1) as bigint)"
@@ -67,6 +72,103 @@ def cardinality_errors(t: Tables) -> DataFrame:
     return checked.select(*KEY, F.coalesce(F.try_element_at(F.col("results")[0]["errors"], F.lit(1))["code"], F.lit("ok")).alias("status"))
 
 
+def prop(name: str, *inside: Column) -> Column:
+    return F.concat(F.lit(f"<property><name>{name}</name><values>"), *inside, F.lit("</values></property>"))
+
+
+def tag(path: str, value: Column) -> Column:
+    """A value in nested elements; none for null."""
+    names = path.split("/")
+    return F.coalesce(F.concat(F.lit("".join(f"<{n}>" for n in names)), value, F.lit("".join(f"</{n}>" for n in reversed(names)))), F.lit(""))
+
+
+def report(head: dict[str, Column], body: Column) -> Column:
+    top = [tag(r.REP_INFO[k], v) for k, v in head.items()]
+    return F.concat(F.lit('<?xml version="1.0"?>\n<jhove xmlns="urn:j" xmlns:mix="urn:m"><repInfo uri="x">'), *top, F.lit("<properties>"), body, F.lit("</properties></repInfo></jhove>"))
+
+
+def packet(values: dict[str, Column]) -> Column:
+    inside = [tag(r.XMP[k] if isinstance(r.XMP[k], str) else r.XMP[k][0], v) for k, v in values.items()]
+    return F.concat(F.lit('<?xpacket begin="" id="x"?><x:xmpmeta xmlns:x="urn:x" xmlns:rdf="urn:r"><rdf:RDF><rdf:Description>'), *inside, F.lit("</rdf:Description></rdf:RDF></x:xmpmeta>"))
+
+
+def mixed(values: dict[str, Column]) -> Column:
+    inside = F.concat(*(tag(r.MIX[k], v) for k, v in values.items()))
+    return prop("NisoImageMetadata", F.lit("<value><mix:mix>"), inside, F.lit("</mix:mix></value>"))
+
+
+def tiff_reports(t: Tables) -> DataFrame:
+    """Reports whose XMP agrees with the header (volumes of remainder 0 and 1 by 5), has another width (2), can't be parsed (3), is not there (4), or there twice (0 by 45)."""
+    c, k = F.col, F.col("volume") % 5
+    own = {
+        "compression": F.lit("Group 4 Fax"), "colorSpace": F.lit("WhiteIsZero"), "width": c("width"), "length": c("height"), "orientation": F.lit("normal*"), "artist": c("status"), "dateTime": F.lit("2024-01-02T03:04:05"),
+        "xRes_numerator": F.regexp_extract("resolution", "^([0-9]+)", 1), "xRes_denominator": F.nullif(F.regexp_extract("resolution", "/([0-9]+)$", 1), F.lit("")), "yRes_numerator": F.regexp_extract("resolution", "^([0-9]+)", 1), "resUnit": F.lit("in."), "bitsPerSample": c("bits"), "samplesPerPixel": F.lit("1"),
+    }
+    other = F.when(k == 2, F.concat("width", F.lit("9"))).otherwise(c("width"))
+    said = {"width": other, "length": c("height"), "bitsPerSample": c("bits"), "compression": F.lit("4"), "colorSpace": F.lit("0"), "orientation": F.lit("1"), "samplesPerPixel": F.lit("1"), "xRes": F.lit("600/1"), "yRes": F.lit("600/1"), "resUnit": F.lit("2"), "dateTime": F.lit("2024-01-02T03:04:05+01:00"), "artist": c("status"), "make": F.lit("M"), "model": F.when(k == 0, "X"), "documentName": c("file")}
+    text = F.when(k == 3, F.substring(packet(said), 1, 200)).otherwise(packet(said))
+    shown = F.concat(F.lit("<value>"), F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</value>"))
+    xmp = F.when(k == 4, "").otherwise(prop("XMP", shown, F.when(c("volume") % 45 == 0, shown).otherwise("")))
+    ifd = prop("TIFFMetadata", prop("IFDs", prop("IFD", prop("DocumentName", F.lit("<value>"), c("file"), F.lit("</value>")), xmp, mixed(own))))
+    head = {"format": c("format"), "status": c("status"), "module": F.lit("TIFF-hul"), "mimeType": F.lit("image/tiff")}
+    return spread(t.tech_metadata).select(*KEY, report(head, ifd).alias("xml"))
+
+
+@query("tiff_report_rules", """
+  with x as (select *, volume % 5 as k, volume % 45 = 0 as twice, try_cast(regexp_extract(resolution, '^([0-9]+)', 1) as int) = 600 and resolution is not null as dense from tech_metadata),
+  packet as (select *, case when k = 4 then 'none' when twice then 'twice' when k = 3 then 'broken' else 'read' end as xmp from x)
+  select volume, file, r.rule, case r.rule
+      when 'format' then format = 'TIFF' when 'status' then status = 'Well-Formed and valid' when 'resolution' then dense when 'bits_per_sample' then bits = '1'
+      when 'dimensions' then cast(height as int) > 0 and cast(width as int) > 0 when 'xmp' then xmp = 'none' or (xmp = 'read' and k <> 2 and dense) when 'camera' then xmp = 'none' or (xmp = 'read' and k = 0) else true end as ok
+  from packet cross join (select unnest(['format', 'status', 'module', 'mime_type', 'compression', 'colorspace', 'orientation', 'resolution', 'resolution_unit', 'bits_per_sample', 'samples_per_pixel', 'dimensions', 'extract_info', 'xmp', 'camera']) as rule) r""", "tech_metadata")
+def tiff_report_rules(t: Tables) -> DataFrame:
+    """All rules for TIFF images, those on the XMP packet within the report included."""
+    return r.verdicts(r.check(tiff_reports(t), "xml", r.TIFF_REPORT, r.tiff_report_rules()), KEY)
+
+
+@query("xmp_agreement", """
+  with x as (select *, case when volume % 45 = 0 then 'twice' when volume % 5 = 2 then 'other' when volume % 5 = 3 then 'broken' when volume % 5 = 4 then 'absent' else 'agree' end as k from tech_metadata)
+  select volume, file, case when k in ('absent', 'agree') then k else 'differ' end as status, case k when 'other' then 'NotEqualValues' when 'twice' then 'BadField' when 'broken' then 'BadField' end as code,
+    case k when 'other' then 'width' when 'twice' then 'xmp' when 'broken' then 'xmp' end as field, case k when 'other' then width when 'twice' then '2' when 'broken' then '0' end as actual from x""", "tech_metadata")
+def xmp_agreement(t: Tables) -> DataFrame:
+    """Whether the width outside and inside the packet is the same, and if not, why."""
+    rule = r.v_if_packet("xmp", r.v_same("mix", "width", "xmp", "width"))
+    read = r.TIFF_REPORT.read(tiff_reports(t), "xml").select(*KEY, (F.col("`p:xmp`") == 0).alias("absent"), rule.alias("errors"))
+    first = F.try_element_at("errors", F.lit(1))
+    status = F.when(F.col("absent"), "absent").when(F.size("errors") == 0, "agree").otherwise("differ")
+    return read.select(*KEY, status.alias("status"), first["code"].alias("code"), first["field"].alias("field"), first["actual"].alias("actual"))
+
+
+def jp2_reports(t: Tables) -> DataFrame:
+    """Reports on grey and colour images of parts, with no XMP box (p_size of remainder 0 by 7), two (1), one with other sizes (2), or one that agrees."""
+    c, k = F.col, F.col("p_size") % 7
+    colour = c("p_partkey") % 2 == 1
+    n, depth = F.when(colour, "3").otherwise("1"), F.when(colour, F.lit("8</li><li>8</li><li>8")).otherwise("8")
+    size = c("p_size").cast("string")
+    said = {"width": F.when(k == 2, "1").otherwise(size), "length": size, "bitsPerSample": depth, "compression": F.lit("34712"), "colorSpace": F.when(colour, "2").otherwise("1"), "orientation": F.lit("1"), "samplesPerPixel": n, "xRes": F.concat(c("p_size") * 10, F.lit("/1")), "yRes": F.concat(c("p_size") * 10, F.lit("/1")), "resUnit": F.lit("2"), "dateTime": F.lit("2024"), "artist": c("p_brand"), "make": F.lit("M"), "model": F.lit("X"), "documentName": c("p_name")}
+    value = lambda x: F.concat(F.lit("<value>"), x.cast("string"), F.lit("</value>"))
+    data = F.array_join(F.transform(F.split(packet(said), ""), lambda ch: value(F.ascii(ch))), "")
+    box = lambda ids: prop("UUIDBox", prop("UUID", *(F.lit(f"<value>{x}</value>") for x in ids)), prop("Data", data))
+    boxes = prop("UUIDs", F.when(k == 0, "").otherwise(box(r.XMP_BOX)), box([7] * 16), F.when(k == 1, box(r.XMP_BOX)).otherwise(""))
+    one = lambda name, v: prop(name, value(v))
+    own = {"compression": F.lit("JPEG2000 Lossy"), "width": size, "length": size, "bitsPerSample": F.when(colour, F.lit("8</bitsPerSampleValue><bitsPerSampleValue>8</bitsPerSampleValue><bitsPerSampleValue>8")).otherwise("8"), "samplesPerPixel": n}
+    coding = prop("CodingStyleDefault", one("NumberOfLayers", F.lit("1")), one("NumberDecompositionLevels", c("p_partkey") % 9), one("Transformation", F.lit("0")))
+    spec = prop("ColorSpecs", prop("ColorSpec", one("EnumCS", F.when(colour, "sRGB").otherwise("Greyscale"))))
+    meta = prop("JPEG2000Metadata", one("Brand", F.lit("jp2 ")), one("MinorVersion", F.lit("0")), one("Compatibility", F.lit("jp2 ")), spec, boxes, prop("Codestreams", prop("Codestream", coding, mixed(own))))
+    head = {"format": F.lit("JPEG 2000"), "status": F.lit("Well-Formed and valid"), "module": F.lit("JPEG2000-hul"), "mimeType": F.lit("image/jp2")}
+    return spread(t.part).select("p_partkey", report(head, meta).alias("xml"))
+
+
+@query("jp2_report_rules", """
+  with x as (select *, p_size % 7 as k, p_size % 7 > 1 as one from part)
+  select p_partkey, r.rule, case r.rule when 'decomposition_levels' then p_partkey % 9 between 5 and 32 when 'resolution' then one and p_size * 10 >= 300 when 'dimensions' then one and k <> 2 and p_size > 0
+      when 'compression' then one when 'orientation' then one when 'resolution_unit' then one when 'colorspace' then one when 'extract_info' then one when 'camera' then one else true end as ok
+  from x cross join (select unnest(['format', 'status', 'module', 'mime_type', 'brand', 'minor_version', 'compatibility', 'compression', 'orientation', 'resolution_unit', 'resolution', 'layers', 'decomposition_levels', 'transformation', 'colorspace', 'dimensions', 'extract_info', 'camera']) as rule) r""")
+def jp2_report_rules(t: Tables) -> DataFrame:
+    """All rules for JP2 images; the packet is put together from the bytes that the report lists."""
+    return r.verdicts(r.check(jp2_reports(t), "xml", r.JP2_REPORT, r.jp2_report_rules()), ["p_partkey"])
+
+
 def volume_mets(t: Tables) -> DataFrame:
     use = F.when(F.col("ext").isin("jp2", "tif"), "image").when(F.col("ext") == "txt", "ocr").otherwise("coordOCR")
     return d.mets(d.with_ids(t.volume_files.withColumn("use", use)))
