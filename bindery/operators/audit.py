@@ -56,9 +56,17 @@ def recent(modified: Column, now: Column, days: int = 2) -> Column:
     return modified >= now - F.make_dt_interval(F.lit(days))
 
 
-def sample(objects_: DataFrame, seed: int) -> DataFrame:
-    """One undeleted object with a checksum and no restore under way, at random."""
-    return objects_.filter("deleted is null and saved_md5sum is not null").orderBy(F.rand(seed)).limit(1)
+def sample(objects_: DataFrame, seed: int, keys: list[str], n: int = 1) -> DataFrame:
+    """n undeleted objects with a checksum and no restore under way (restore_request, if there is such a column), at random.
+
+    The least md5 of seed and key wins, so that the pick depends on nothing but the
+    objects: not on files, partitions or retries. Each task keeps n rows.
+    """
+    eligible = objects_.filter("deleted is null and saved_md5sum is not null")
+    if "restore_request" in objects_.columns:
+        eligible = eligible.filter("restore_request is null")
+    ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys)).cast("binary"))
+    return eligible.orderBy(ticket, *keys).limit(n)
 
 
 def symlink_status(path: Column, partition: Column, target: Column, expected: Column) -> Column:

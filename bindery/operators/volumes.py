@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import event_uuid
@@ -69,6 +69,7 @@ def zip_members(zips: DataFrame) -> DataFrame:
         import hashlib
         import io
         import zipfile
+        import zlib
 
         for pdf in pdfs:
             rows = []
@@ -76,7 +77,7 @@ def zip_members(zips: DataFrame) -> DataFrame:
                 try:
                     with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
                         rows += [(volume, n.rpartition("/")[2].lower(), hashlib.md5(z.read(n)).hexdigest()) for n in z.namelist() if not n.endswith("/")]
-                except (zipfile.BadZipFile, RuntimeError):  # no zip, cut short, or encrypted
+                except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):  # no zip, cut short, damaged inside, or encrypted
                     rows.append((volume, None, None))
             yield pd.DataFrame(rows, columns=["volume", "file", "md5sum"])
 
@@ -102,6 +103,35 @@ def report_blocks(streams: DataFrame, tag: str = "repInfo") -> DataFrame:
     return streams.select("volume", block).select("volume", F.regexp_extract("xml", r'uri="([^"]*)"', 1).alias("file"), "xml")
 
 
+REPORT = """_uri string, status string, messages array<struct<message array<struct<_VALUE string, _severity string>>>>, broken string"""
+
+
+def read_reports(spark: SparkSession, path: str, tag: str = "repInfo") -> DataFrame:
+    """One row per report of a tool's output files, however large: uri, status, errors (its messages of severity error) and xml.
+
+    Files are read by byte ranges that end at a report's end tag, so that one output is
+    shared by many tasks and no row holds more than one report. What stands before the
+    first report and behind the last is left out.
+    """
+    ended = spark.read.option("lineSep", f"</{tag}>").text(path)
+    begin = F.locate(f"<{tag}", F.col("value"))
+    xml = ended.filter(begin > 0).select(F.concat(F.substring("value", begin, F.length("value")), F.lit(f"</{tag}>")).alias("xml"))
+    read = xml.select("xml", F.from_xml("xml", REPORT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken", "ignoreNamespace": "true"}).alias("r"))
+    messages = F.flatten(F.coalesce("r.messages.message", F.array().cast("array<array<struct<_VALUE:string,_severity:string>>>")))
+    wrong = F.transform(F.filter(messages, lambda m: m["_severity"] == "error"), lambda m: m["_VALUE"])
+    # a report that can't be parsed still says which file it is about
+    uri = F.coalesce("r._uri", F.regexp_extract("xml", r'uri="([^"]*)"', 1))
+    return read.select(uri.alias("uri"), F.when(F.col("r.broken").isNull(), F.col("r.status")).alias("status"), F.when(F.col("r.broken").isNull(), wrong).alias("errors"), "xml")
+
+
+def report_outcomes(requested: DataFrame, reports: DataFrame) -> DataFrame:
+    """Each file (uri) that was asked for or reported: ok, or MissingFile without a report, BadField with several, BadFile with one that can't be read, Unexpected if nobody asked."""
+    counted = reports.groupBy("uri").agg(F.count("*").alias("n"), F.max("status").alias("status"))
+    joined = requested.select("uri").distinct().withColumn("asked", F.lit(True)).join(counted, "uri", "full_outer")
+    outcome = F.when(F.col("asked").isNull(), "Unexpected").when(F.col("n").isNull(), "MissingFile").when(F.col("n") > 1, "BadField").when(F.col("status").isNull(), "BadFile").otherwise("ok")
+    return joined.select("uri", F.coalesce("n", F.lit(0)).alias("n"), "status", outcome.alias("outcome"))
+
+
 def unreported(requested: DataFrame, reports: DataFrame) -> DataFrame:
     """Requested files (volume, file) that no report is about."""
     return requested.join(reports.select("volume", "file"), ["volume", "file"], "left_anti")

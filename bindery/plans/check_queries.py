@@ -125,10 +125,18 @@ def recency_skips(t: Tables) -> DataFrame:
 @query("random_object", "select 1 as n, true as eligible")
 def random_object(t: Tables) -> DataFrame:
     """One object at random, and whether it may be taken."""
-    picked = audit.sample(t.feed_backups, 7)
+    picked = audit.sample(t.feed_backups, 7, ["object_no", "object_part"])
     return picked.agg(F.count("*").cast("int").alias("n"), F.bool_and(F.col("deleted").isNull() & F.col("saved_md5sum").isNotNull()).alias("eligible"))
 
 
+@query("sampled_objects", """
+  select object_no, object_part, saved_md5sum from feed_backups where deleted is null and saved_md5sum is not null
+  order by md5(concat('11:', cast(object_no as varchar), ':', cast(object_part as varchar), ':', saved_md5sum)), object_no, object_part, saved_md5sum limit 50""", "feed_backups")
+def sampled_objects(t: Tables) -> DataFrame:
+    """Fifty objects at random, the same in every run."""
+    return audit.sample(t.feed_backups, 11, ["object_no", "object_part", "saved_md5sum"], 50).select("object_no", "object_part", "saved_md5sum")
+
+
 @query("clean_texts", "select conv_id, turn, length(text) + 2 as size, replace(text, chr(10), '') as flat from conversations")
 def clean_texts(t: Tables) -> DataFrame:
     """Line ends of two characters, one line before a form feed, and one at the end."""

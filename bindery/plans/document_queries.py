@@ -193,6 +193,53 @@ def mets_facts(t: Tables) -> DataFrame:
     return d.facts(volume_mets(t))
 
 
+def audited_mets(t: Tables) -> DataFrame:
+    """A METS of each volume with its files, pages, events and records; every 97th is cut short."""
+    c, v = F.col, F.col("volume")
+    files = t.volume_files.withColumn("use", F.when(c("ext").isin("jp2", "tif"), "image").otherwise("ocr"))
+    file = F.concat(F.lit("<M:file"), d.attribute("SIZE", c("size")), F.lit("><M:FLocat"), d.attribute("x:href", c("file")), F.lit("/></M:file>"))
+    of = lambda use: F.array_join(F.array_sort(F.collect_list(F.when(c("use") == use, file))), "")
+    page = F.concat(F.lit('<M:div TYPE="page"'), F.when(c("page") % 4 == 0, ' LABEL="tag"').otherwise(""), d.attribute("ORDER", c("page")), F.lit("/>"))
+    parts = files.groupBy("volume").agg(of("image").alias("image"), of("ocr").alias("ocr"), F.array_join(F.array_sort(F.collect_set(page)), "").alias("pages"))
+    agent = lambda kind, value, role: F.concat(F.lit(f"<linkingAgentIdentifier><linkingAgentIdentifierType>{kind}</linkingAgentIdentifierType><linkingAgentIdentifierValue>"), value, F.lit(f"</linkingAgentIdentifierValue><linkingAgentRole>{role}</linkingAgentRole></linkingAgentIdentifier>"))
+    tool = F.when(c("origin") == 0, agent("tool", F.lit("t"), "software")).otherwise("")
+    event = F.concat(F.lit("<event><eventIdentifier><eventIdentifierType>"), F.when(c("origin") < 2, "UUID").otherwise("old"), F.lit("</eventIdentifierType></eventIdentifier>"), tag("eventType", c("eventtype")), tag("eventDateTime", c("event_id").cast("string")), tool, agent("code", F.concat(F.lit("agent"), c("origin")), "Executor"), F.lit("</event>"))
+    events = t.premis_events.filter("volume % 4 <> 1").groupBy("volume").agg(F.array_join(F.array_sort(F.collect_list(event)), "").alias("events"))
+    joined = parts.join(events, "volume", "left")
+    inside = F.when(v % 4 == 0, c("events")).otherwise(F.concat(F.lit("<premis>"), "events", F.lit("</premis>")))
+    premis = F.coalesce(F.concat(F.lit('<M:amdSec><M:digiprovMD><M:mdWrap MDTYPE="PREMIS"><M:xmlData>'), inside, F.lit("</M:xmlData></M:mdWrap></M:digiprovMD></M:amdSec>")), F.lit(""))
+    marc = F.when(v % 3 == 0, '<M:dmdSec><M:mdWrap LABEL="bib" MDTYPE="MARC"><M:xmlData><record><leader>x</leader></record></M:xmlData></M:mdWrap></M:dmdSec>').when(v % 3 == 1, '<M:dmdSec><M:mdRef MDTYPE="OTHER" OTHERMDTYPE="Item" LABEL=""/></M:dmdSec>').otherwise("")
+    sum_ = F.when(v % 5 > 0, d.attribute("CHECKSUM", F.md5(v.cast("string").cast("binary")))).otherwise("")
+    zipped = F.concat(F.lit('<M:fileGrp USE="zip archive"><M:file'), sum_, F.lit('><M:FLocat x:href="'), v, F.lit('.zip"/></M:file></M:fileGrp>'))
+    xml = F.concat(F.lit('<M:mets xmlns:M="urn:m" xmlns:x="urn:x">'), marc, premis, F.lit("<M:fileSec>"), zipped, F.lit('<M:fileGrp USE="image">'), "image", F.lit('</M:fileGrp><M:fileGrp USE="ocr">'), "ocr", F.lit('</M:fileGrp></M:fileSec><M:structMap><M:div TYPE="volume">'), "pages", F.lit("</M:div></M:structMap>"), F.when(v % 97 == 0, "").otherwise("</M:mets>"))
+    return joined.select("volume", xml.alias("xml"))
+
+
+@query("repository_facts", """
+  with v as (select distinct volume, volume % 97 > 0 as whole from volume_files), f as (select * from volume_files where volume % 97 > 0),
+  e as (select p.* from premis_events p join v on v.volume = p.volume where v.whole and p.volume % 4 <> 1),
+  w as (select v.volume, count(e.event_id) > 0 as has from v left join e on e.volume = v.volume where whole group by v.volume)
+  select volume, 'METS_VALID' as kind, cast(null as varchar) as name, case when whole then 1 else 0 end as n, cast(null as varchar) as date from v
+  union all select volume, 'FILETYPE', ext, count(*), null from f group by volume, ext
+  union all select volume, 'FILETYPE', 'zip', 1, null from w
+  union all select volume, case when volume % 5 > 0 then 'ZIP_CHECKSUM' else 'MISSING_METS_CHECKSUM' end, case when volume % 5 > 0 then md5(cast(volume as varchar)) end, null, null from w
+  union all select volume, 'PREMIS_VERSION', case when not has then 'none' when volume % 4 = 0 then 'unknown' else 'premis2' end, null, null from w
+  union all select volume, 'PREMIS_EVENT_TYPE', case when origin < 2 then 'UUID' else 'old' end, count(*), null from e group by 1, 2, 3
+  union all select volume, 'PREMIS_AGENT_TYPE', 'code', count(*), null from e group by volume
+  union all select volume, 'PREMIS_AGENT_TYPE', 'tool', count(*), null from e where origin = 0 group by volume
+  union all select volume, case eventtype when 'capture' then 'CAPTURE' else 'MD5SUM' end, concat('agent', cast(origin as varchar)), null, cast(event_id as varchar) from e where eventtype in ('capture', 'message digest calculation')
+  union all select volume, 'INGEST', null, null, cast(event_id as varchar) from e where eventtype = 'ingestion'
+  union all select volume, 'MARC', null, case when volume % 3 = 0 then 1 else 0 end, null from w
+  union all select volume, 'METS_MDSEC', case when volume % 3 = 0 then 'mdWrap; LABEL=bib; MDTYPE=MARC' else 'mdRef; MDTYPE=OTHER; OTHERMDTYPE=Item' end, null, null from w where volume % 3 < 2
+  union all select volume, 'METS_MDSEC', 'mdWrap; MDTYPE=PREMIS', null, null from w where has
+  union all select volume, 'PAGETAGS', null, count(distinct case when page % 4 = 0 then page end), null from f group by volume
+  union all select volume, 'PAGES', null, count(distinct page), null from f group by volume
+  union all select volume, 'IMAGE_SIZE', null, cast(coalesce(sum(case when ext in ('jp2', 'tif') then size end), 0) as bigint), null from f group by volume""", "volume_files", "premis_events")
+def repository_facts(t: Tables) -> DataFrame:
+    """Every fact that a repository audit takes from a METS."""
+    return d.repository_facts(audited_mets(t))
+
+
 @query("structmap_order", """
   with f as (select volume, page, concat(case when ext in ('jp2', 'tif') then 'IMA' when ext = 'txt' then 'OCR' else 'COO' end, lpad(cast(row_number() over (partition by volume, case when ext in ('jp2', 'tif') then 1 when ext = 'txt' then 2 else 3 end order by file) as string), 8, '0')) as file_id from volume_files),
   p as (select volume, page, row_number() over (partition by volume order by page) as position from (select distinct volume, page from volume_files))
