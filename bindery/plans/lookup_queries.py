@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import lookups as lk
 from ..operators import machine, telemetry
 from ..sources.sinks import detail_text, log_rows
-from ..streaming import jobs
+from ..streaming import jobs, ledger
 from .registry import Tables, query
 
 
@@ -193,3 +193,26 @@ IA = ", ".join(f"('{a}', '{c}', '{d}')" for a, _, c, d in machine.STAGES["ia"])
 def stream_machine(t: Tables) -> DataFrame:
     stream = jobs.table_stream(t.spark, t.sf_dir, "events")
     return jobs.final_states(stream.select(F.col("user_id").alias("volume"), "event_id", (F.col("event_type") != "error").alias("success")))
+
+
+@query("stream_outcomes", """
+  select 'outcome' as sink, cast(user_id as varchar) as key, case when count(*) filter (event_type = 'error') > 0 then 'failed' else 'done' end as state, count(*) as n from events group by user_id
+  union all select 'metric', concat('ingest_', event_type, '_seconds_total'), null, cast(sum(cast(floor(coalesce(value, 0)) as bigint)) as bigint) from events group by event_type
+  union all select 'bucket', event_type, case when floor(coalesce(value, 0)) <= 10 then '10' when floor(coalesce(value, 0)) <= 100 then '100' else 'inf' end, count(*) from events group by 2, 3""")
+def stream_outcomes(t: Tables) -> DataFrame:
+    """A stream of events to three sinks, each exactly once: every volume's outcome, counters, and a histogram of seconds."""
+    amount = F.floor(F.coalesce("value", F.lit(0))).cast("long")
+    bucket = F.when(amount <= 10, "10").when(amount <= 100, "100").otherwise("inf")
+    sinks = {
+        "outcome": lambda b: b.groupBy(F.col("user_id").cast("string").alias("key")).agg(F.bool_or(F.col("event_type") == "error").alias("failed"), F.count("*").alias("n")),
+        "metric": lambda b: b.groupBy(F.concat(F.lit("ingest_"), "event_type", F.lit("_seconds_total")).alias("key")).agg(F.sum(amount).alias("n")),
+        "bucket": lambda b: b.groupBy(F.col("event_type").alias("key"), bucket.alias("state")).agg(F.count("*").alias("n")),
+    }
+    folder = jobs.shared_folder(t.spark)
+    ledger.run(jobs.table_stream(t.spark, t.sf_dir, "events"), folder, sinks)
+    rows = {k: ledger.taken(t.spark, folder, k) for k in sinks}
+    outcome = rows["outcome"].groupBy("key").agg(F.when(F.bool_or("failed"), "failed").otherwise("done").alias("state"), F.sum("n").alias("n"))
+    metric = rows["metric"].groupBy("key").agg(F.sum("n").alias("n")).select("key", F.lit(None).cast("string").alias("state"), "n")
+    buckets = rows["bucket"].groupBy("key", "state").agg(F.sum("n").alias("n"))
+    named = [df.select(F.lit(k).alias("sink"), "key", "state", "n") for k, df in {"outcome": outcome, "metric": metric, "bucket": buckets}.items()]
+    return named[0].union(named[1]).union(named[2])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import storage as s
 from ..sources import readers, sinks
 from ..streaming.jobs import shared_folder
+from ..sources.snapshots import Snapshots
 from .registry import Tables, query
 
 VERSION = [*s.STORAGE_KEY, "version"]
@@ -200,3 +201,27 @@ def zip_sources(t: Tables) -> DataFrame:
             yield pd.DataFrame(out, columns=["volume", "content"])
 
     return readers.zip_source(t.supplier.select("s_suppkey").mapInPandas(packed, "volume string, content binary"))
+
+
+@query("snapshot_versions", """
+  with a as (select namespace, id, zip_size, mets_size, page_count, md5check_ok, cast(id as bigint) as n from feed_audit)
+  select 'before' as version, namespace, id, zip_size, mets_size, page_count, md5check_ok from a
+  union all select 'after', namespace, id, case when n % 40 = 0 then null else zip_size end, case when n % 40 = 0 then mets_size + 1 else mets_size end, page_count, case when n % 40 = 0 then 1 else md5check_ok end from a
+  union all select 'after', concat('new', cast(n as varchar)), id, zip_size, mets_size, null, 1 from a where n % 40 = 1
+  union all select 'cut', namespace, id, zip_size, mets_size, page_count, md5check_ok from a where n % 40 > 1
+  union all select 'back', namespace, id, zip_size, mets_size, page_count, md5check_ok from a""", "feed_audit")
+def snapshot_versions(t: Tables) -> DataFrame:
+    """A table's versions: made, changed by an upsert of known and new keys, put back, cut by a delete, and put back again."""
+    columns = ["namespace", "id", "zip_size", "mets_size", "page_count", "md5check_ok"]
+    rows, n = t.feed_audit.select(*columns), F.col("id").cast("long")
+    kept = Snapshots(t.spark, f"{shared_folder(t.spark)}/feed_audit", ["namespace", "id"])
+    first = kept.create(rows)
+    known = rows.filter(n % 40 == 0).select("namespace", "id", F.lit(None).cast("long").alias("zip_size"), (F.col("mets_size") + 1).alias("mets_size"))
+    new = rows.filter(n % 40 == 1).select(F.concat(F.lit("new"), n).alias("namespace"), "id", "zip_size", "mets_size")
+    second = kept.upsert(known.union(new), {"md5check_ok": F.lit(1)})
+    kept.put_back(first)
+    third = kept.delete(rows.filter(n % 40 < 2))
+    kept.put_back(first)
+    named = {"before": first, "after": second, "cut": third, "back": None}
+    parts = [kept.read(v).select(F.lit(k).alias("version"), *columns) for k, v in named.items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
