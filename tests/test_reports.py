@@ -66,3 +66,11 @@ def test_facts_take_one_parse_and_no_python(spark, sf_dir):
 
     plan = QUERIES["repository_facts"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml") == 1 and "Python" not in plan
+
+
+def test_times_have_at_most_one_offset(spark):
+    from bindery.functions.checks import time_of
+
+    forms = ["2024-01-02T03:04:05", "2024-01-02T03:04:05Z", " 2024-01-02T03:04:05-05:00 ", "2024-01-02T03:04:05+01:00Z", "2024-01-02T03:04:05+01:00+01:00", "2024-01-02T03:04", "2024-01-02 03:04:05", None]
+    rows = spark.createDataFrame(list(enumerate(forms)), "i int, x string").select("i", time_of(F.col("x")).alias("t")).orderBy("i").collect()
+    assert [r["t"] for r in rows] == ["2024-01-02T03:04:05"] * 3 + [None] * 5
