@@ -68,35 +68,57 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), same / some.cast("double"))
 
 
-def slices(docs: DataFrame, n_docs: int, rows_each: int = 500, most: int = 65536) -> DataFrame:
+#: Ranges of doc_id at each of two levels, a power of two: bounds what a plan holds in literals and what is broadcast, 16 MB.
+RANGES_LOG = 10
+
+
+def _found(cuts: Column, value: Column, levels: int) -> Column:
+    """How many of 2^levels - 1 ascending cuts are at most value, by halving; 0 for null."""
+
+    def further(at: Column, level: Column) -> Column:
+        ahead = at + F.call_function("shiftleft", F.lit(1), level)
+        return F.when(value >= F.get(cuts, ahead - 1), ahead).otherwise(at)
+
+    return F.aggregate(F.sequence(F.lit(levels - 1), F.lit(0)), F.lit(0), further) if levels else F.lit(0)
+
+
+def _quantiles(levels: int) -> list[float]:
+    return [i / (1 << levels) for i in range(1, 1 << levels)]
+
+
+def slices(docs: DataFrame, n_docs: int, rows_each: int = 500) -> DataFrame:
     """docs with imatch_slice, a range of doc_id, and a copy of each slice's first document in the slice before it.
 
-    So every document stands beside the next one without a global sort. The
-    cuts are quantiles, at most `most` numbers in one literal; a binary search
-    places a row. Beyond `most` slices these grow with the table, and their sort
-    spills: at 100 TB a slice of 65,536 holds about 1.5 GB.
+    So every document stands beside the next one without a global sort. Ranges
+    are quantiles at two levels: at most 1,023 cuts stand in the plan, and the
+    ranges between them are cut again by a table of one row a range, at most 1,024
+    rows of 1,023 numbers, which is broadcast. That makes up to a million slices, of
+    100 MB each at 100 TB.
     imatch_ghost marks the copies; the first slice's goes to the last slice.
     """
-    levels = max(0, min(most, n_docs // rows_each).bit_length() - 1)
-    parts = 1 << levels
-    cuts = [0] * (parts - 1)
-    if parts > 1:
-        quantiles = [(i + 1) / parts for i in range(parts - 1)]
-        cuts = docs.agg(F.percentile_approx("doc_id", quantiles, 20 * parts).alias("q")).first()["q"]
-    table = F.array(F.lit(None).cast("long"), *(F.lit(int(c)) for c in cuts))
-    place = F.lit(0)
-    for level in reversed(range(levels)):
-        further = place + F.lit(1 << level)
-        place = F.when(F.col("doc_id") >= F.element_at(table, further + 1), further).otherwise(place)
-        docs = docs.withColumn("imatch_slice", place)
-        place = F.col("imatch_slice")
-    docs = docs.withColumn("imatch_slice", F.coalesce(place, F.lit(0)))
-    firsts = sorted((r["imatch_slice"], r["first"]) for r in docs.groupBy("imatch_slice").agg(F.min("doc_id").alias("first")).collect())
-    before = {s: firsts[i - 1][0] for i, (s, _) in enumerate(firsts)}
-    pairs = [F.lit(x) for s, first in firsts if first is not None for x in (first, before[s])]
-    back = F.element_at(F.create_map(*pairs), F.col("doc_id")) if pairs else F.lit(None).cast("int")
-    homes = F.array_compact(F.array(F.struct(F.col("imatch_slice").alias("s"), F.lit(False).alias("g")), F.when(back.isNotNull(), F.struct(back.alias("s"), F.lit(True).alias("g")))))
-    return docs.withColumn("imatch_home", F.explode(homes)).withColumn("imatch_slice", F.col("imatch_home.s")).withColumn("imatch_ghost", F.col("imatch_home.g")).drop("imatch_home")
+    levels = max(0, min(2 * RANGES_LOG, (n_docs // rows_each).bit_length() - 1))
+    upper, lower = min(levels, RANGES_LOG), max(0, levels - RANGES_LOG)
+    cuts, least = docs.agg(F.percentile_approx("doc_id", _quantiles(upper), 20 << upper), F.min("doc_id")).first() if upper else (None, None)
+    value, fine = F.coalesce("doc_id", F.lit(least).cast("long")), 1 << lower  # rows without doc_id stand beside the first that has one
+    ranged = docs.withColumn("imatch_range", _found(F.lit(cuts or []), value, upper if cuts else 0))
+    ids = ranged.select("imatch_range", "doc_id")
+    inner = ids.groupBy("imatch_range").agg((F.percentile_approx("doc_id", _quantiles(lower), 20 << lower) if lower else F.array().cast("array<bigint>")).alias("imatch_cuts"))
+    inner = written(inner, "imatch-cuts", rows=1 << upper)
+    placed = ranged.join(F.broadcast(inner), "imatch_range").withColumn("imatch_slice", F.col("imatch_range") * fine + _found(F.col("imatch_cuts"), value, lower))
+    firsts = placed.groupBy("imatch_range", "imatch_slice").agg(F.min("doc_id").alias("first"))
+    firsts = firsts.groupBy("imatch_range").agg(F.array_sort(F.collect_list(F.struct("imatch_slice", "first"))).alias("imatch_firsts"))
+    # one row a range, at most 1,024: the last slice of the range before, for the very first range the last one of all
+    every = Window.orderBy("imatch_range")
+    last = F.element_at("imatch_firsts", -1)["imatch_slice"]
+    around = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = firsts.withColumn("imatch_before", F.coalesce(F.lag(last).over(every), F.max(last).over(around)))
+    firsts = written(firsts, "imatch-firsts", rows=1 << upper)
+    at = F.array_position(F.transform("imatch_firsts", lambda f: f["imatch_slice"]), F.col("imatch_slice")).cast("int")
+    first = F.get(F.col("imatch_firsts"), F.col("imatch_at") - 1)["first"]
+    back = F.when(first == F.col("doc_id"), F.coalesce(F.get(F.col("imatch_firsts"), F.col("imatch_at") - 2)["imatch_slice"], F.col("imatch_before")))
+    placed = placed.join(F.broadcast(firsts), "imatch_range").withColumn("imatch_at", at).withColumn("imatch_back", back)
+    homes = F.array_compact(F.array(F.struct(F.col("imatch_slice").alias("s"), F.lit(False).alias("g")), F.when(F.col("imatch_back").isNotNull(), F.struct(F.col("imatch_back").alias("s"), F.lit(True).alias("g")))))
+    return placed.select(*docs.columns, F.explode(homes).alias("imatch_home")).select(*docs.columns, F.col("imatch_home.s").alias("imatch_slice"), F.col("imatch_home.g").alias("imatch_ghost"))
 
 
 def neighbour_fingerprints(docs: DataFrame, most_broadcast: int = 400_000) -> DataFrame:
@@ -109,7 +131,6 @@ def neighbour_fingerprints(docs: DataFrame, most_broadcast: int = 400_000) -> Da
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     n_docs = docs.count()
     lex = written(lexicon(docs, max(n_docs, 1)), "imatch-lexicon")
-    lex = lex.union(lex.sparkSession.range(1).select(F.lit(-1).cast("long").alias("term")))  # every document has the term -1 once
     lex_size = lex.count()
 
     beside = Window.partitionBy("imatch_slice").orderBy("imatch_ghost", "doc_id", "text")
@@ -126,7 +147,11 @@ def neighbour_fingerprints(docs: DataFrame, most_broadcast: int = 400_000) -> Da
     # a select of its own: what stands beside an explode is computed again for every row that it makes
     rows = meta.select(*(c for c in meta.columns if c != "codes"), F.explode("codes").alias("code"))
     rows = rows.withColumn("term", F.when(F.col("code") == -1, F.lit(-1).cast("long")).otherwise(F.shiftrightunsigned("code", 1)))
-    found = rows.join(F.broadcast(lex) if lex_size <= most_broadcast else lex, "term")
+    # every document has the term -1 once; where terms are shuffled, those rows stay out of it
+    if lex_size <= most_broadcast:
+        found = rows.join(F.broadcast(lex.union(lex.sparkSession.range(1).select(F.lit(-1).cast("long").alias("term")))), "term")
+    else:
+        found = rows.filter("term <> -1").join(lex, "term").unionByName(rows.filter("term = -1"))
     once, of = F.col("code") == -1, lambda part: F.array_sort(F.collect_set(F.when((F.col("code") != -1) & (F.col("code").bitwiseAND(F.lit(1)) == part), F.col("term"))))
     grouped = found.groupBy("imatch_slice", "at").agg(
         *(F.max(F.when(once, F.col(c))).alias(c) for c in ("imatch_ghost", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole")), of(0).alias("terms"), of(1).alias("edited_terms"),

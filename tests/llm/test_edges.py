@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -83,13 +84,20 @@ def test_imatch(docs, empty):
     assert imatch.op3_imatch(empty).count() == 0
 
 
-def test_imatch_slices_cover_every_neighbour(spark):
-    ids = [1, 5, 5, 9, 100, 101, 102, 10**12, 7, 3] * 3
-    docs = spark.createDataFrame([(i, f"text {i} {n}") for n, i in enumerate(ids)], "doc_id long, text string")
-    placed = imatch.slices(docs, len(ids), rows_each=3)
-    assert placed.filter("not imatch_ghost").count() == len(ids)
-    rows = imatch.neighbour_fingerprints(docs).collect()
-    assert len(rows) == len(ids)
+@pytest.mark.parametrize("log", [1, 2, 10])
+@pytest.mark.parametrize("ids", [[1, 5, 5, 9, 100, 101, 102, 10**12, 7, 3, 2**60 + 1, 2**60], [None, None, 4, 4, 4, 4, 4, 8], [None, 2], [7], [-3, -2**60, 2**62, 0]])
+def test_imatch_slices_cover_every_neighbour(spark, monkeypatch, log, ids):
+    monkeypatch.setattr(imatch, "RANGES_LOG", log)
+    every = [(i, f"text {i} {n:02}") for n, i in enumerate(ids * 3)]
+    docs = spark.createDataFrame(every, "doc_id long, text string")
+    placed = imatch.slices(docs, len(every), rows_each=2)
+    ahead = Window.partitionBy("imatch_slice").orderBy("imatch_ghost", "doc_id", "text")
+    found = placed.withColumn("next", F.lead("text").over(ahead)).filter("not imatch_ghost")
+    order = sorted(every, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    first = next(r for r in order if r[0] is not None)
+    assert {(r["text"], r["next"]) for r in found.collect()} == {(a[1], b[1]) for a, b in zip(order, [*order[1:], first])}
+    if log > 2:
+        assert imatch.neighbour_fingerprints(docs).count() == imatch.neighbour_fingerprints(docs, most_broadcast=0).count() == len(every)
 
 
 def test_langid(docs, empty, spark):
