@@ -93,9 +93,13 @@ def read_events(documents: DataFrame) -> DataFrame:
 
 
 def mets_header(created: Column, status: Column, agents: Column, number: Column) -> Column:
-    """The METS header: when and how the record was made, the agents (role, type, name) in order, and the volume's other number."""
-    agent = F.transform(agents, lambda a: F.concat(F.lit("<METS:agent"), attribute("ROLE", a["role"]), attribute("TYPE", a["type"]), F.lit("><METS:name>"), a["name"], F.lit("</METS:name></METS:agent>")))
-    other = F.coalesce(F.concat(F.lit("<METS:altRecordID>"), number, F.lit("</METS:altRecordID>")), F.lit(""))
+    """The METS header: when and how the record was made, the agents (role, type, name, which may be null) in order, and the volume's other number."""
+    def tag(name: str, value: Column) -> Column:
+        safe = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.coalesce(F.concat(F.lit(f"<METS:{name}>"), safe, F.lit(f"</METS:{name}>")), F.lit(""))
+
+    agent = F.transform(agents, lambda a: F.concat(F.lit("<METS:agent"), attribute("ROLE", a["role"]), attribute("TYPE", a["type"]), F.lit(">"), tag("name", a["name"]), F.lit("</METS:agent>")))
+    other = tag("altRecordID", number)
     return F.concat(F.lit("<METS:metsHdr"), attribute("CREATEDATE", F.date_format(created, "yyyy-MM-dd'T'HH:mm:ss'Z'")), attribute("RECORDSTATUS", status), F.lit(">"), F.array_join(agent, ""), other, F.lit("</METS:metsHdr>"))
 
 
