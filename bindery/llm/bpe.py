@@ -2,7 +2,8 @@
 
 A text is split by the tokenizer's pattern; each distinct match is encoded and
 decoded once per partition, or again if it was not met for long; a match that decodes
-to its own bytes, as all should, is remembered by its ids alone. A recursive query holds one row per token position: each step joins
+to its own bytes, as all should, is remembered by its ids alone. The first COMMON_MATCHES short
+ones that a worker meets stay known to its later partitions. A recursive query holds one row per token position: each step joins
 neighbouring positions with the merge table and contracts the leftmost pair of
 the lowest rank of each match, until no pair merges. Decoding joins the ids with
 the vocabulary and aggregates the bytes in order.
@@ -40,6 +41,9 @@ from .vectext import with_fields
 LONGEST = 400
 #: Distinct matches that an encoder remembers: when half of them are new since the last time, those not met since then go.
 REMEMBERED = 480_000
+#: Matches, of at most COMMON_LENGTH characters, that a worker keeps from one partition to the next: about 25 MB.
+COMMON_MATCHES, COMMON_LENGTH = 100_000, 24
+_common: dict[tuple[str, str], dict[str, bytes]] = {}
 
 #: A key packs the rank of a pair and its position, below 512, so that the least key is the leftmost pair of the lowest rank.
 MERGE_STEPS = """
@@ -70,13 +74,14 @@ def ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """One per partition: the merge table in DuckDB and the matches seen so far; closed, it leaves nothing in the worker."""
+    """One per partition: the merge table in DuckDB and the matches seen so far; closed, it leaves only the common matches in the worker."""
 
     def __init__(self, path: str, pattern: str) -> None:
         import duckdb
         import regex
 
         self.ranks, self.split = ranks(path), regex.compile(pattern).findall
+        self.common = _common.setdefault((path, pattern), {})
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.unlike: dict[str, bytes] = {}  # decoded bytes of matches that don't come back as they were
@@ -125,6 +130,8 @@ class Encoder:
                 self.known[order[i]] = flat[4 * a : 4 * b]
                 if (decoded := bytes.fromhex(digits)) != raw[i]:
                     self.unlike[order[i]] = decoded
+                elif len(order[i]) <= COMMON_LENGTH and len(self.common) < COMMON_MATCHES:
+                    self.common[order[i]] = self.known[order[i]]
 
     def _merged(self, raw: bytes) -> list[int]:
         """The same rule for a long match: merge the pair of the lowest rank, the leftmost first."""
@@ -154,6 +161,8 @@ class Encoder:
         for m in set().union(*split).difference(self.known):
             if m in self.before:
                 self.known[m] = self.before[m]
+            elif m in self.common:
+                self.known[m] = self.common[m]
             else:
                 new.append(m)
         if new:
