@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import lookups as lk
-from ..operators import machine, telemetry
+from ..operators import machine, queueing, telemetry
 from ..sources.sinks import detail_text, log_rows
-from ..streaming import jobs, ledger
+from ..streaming import delivery, jobs, ledger
 from .registry import Tables, query
 
 
@@ -216,3 +216,24 @@ def stream_outcomes(t: Tables) -> DataFrame:
     buckets = rows["bucket"].groupBy("key", "state").agg(F.sum("n").alias("n"))
     named = [df.select(F.lit(k).alias("sink"), "key", "state", "n") for k, df in {"outcome": outcome, "metric": metric, "bucket": buckets}.items()]
     return named[0].union(named[1]).union(named[2])
+
+
+PATIENCE, LATE = 6 * 3600, 3600  # seconds
+
+
+@query("stream_deliveries", f"""
+  with e as (select user_id as m, user_id % 3 + 1 as priority, epoch_us(ts) as us, case when event_type in ('click', 'view') then 0 when event_type = 'signup' then 1 else 2 end as k from events),
+  n as (select *, coalesce(sum(case when k = 2 then 1 else 0 end) over (partition by m order by us, k rows between unbounded preceding and 1 preceding), 0) as turn from e),
+  turns as (select m, turn, min(us) filter (k = 0) as opened, min(us) filter (k = 2) as closed from n group by m, turn),
+  hands as (select m, turn, opened as us, closed from turns where opened is not null union all select n.m, n.turn, n.us, t.closed from n join turns t on t.m = n.m and t.turn = n.turn where n.k = 1 and n.us >= t.opened),
+  seen as (select m, priority, greatest(max(us), (select max(us) // 1000 * 1000 - {LATE}000000 from e)) as us from e group by m, priority),
+  spans as (select h.m, seen.priority, h.turn, h.us, coalesce(lead(h.us) over (partition by h.m, h.turn order by h.us), h.closed, seen.us) as until from hands h join seen on seen.m = h.m),
+  handed as (select m, priority, turn, us + unnest(generate_series(0, greatest(0, (until - us - 1) // {PATIENCE}000000))) * {PATIENCE}000000 as micros from spans)
+  select m as message, cast(priority as bigint) as priority, row_number() over (partition by m, turn order by micros) as attempt, cast(micros as bigint) as micros,
+    row_number() over (partition by micros // 3600000000 order by priority desc, micros, m) as place from handed""")
+def stream_deliveries(t: Tables) -> DataFrame:
+    """Every user's message over a stream of events: handed out by click or view, lost by signup, finished by purchase, rejected by error; its place in its hour by priority."""
+    kind = F.when(F.col("event_type").isin("click", "view"), "queued").when(F.col("event_type") == "signup", "lost").when(F.col("event_type") == "purchase", "finished").otherwise("rejected")
+    stream = jobs.table_stream(t.spark, t.sf_dir, "events").select(F.col("user_id").alias("message"), kind.alias("kind"), (F.col("user_id") % 3 + 1).alias("priority"), F.col("ts").cast("timestamp").alias("at"))
+    handed = delivery.handed_out(stream, PATIENCE, f"{LATE} seconds").withColumn("hour", F.expr("micros div 3600000000")).withColumn("arrival", F.struct("micros", "message"))
+    return queueing.delivery_places(handed, "hour").select("message", F.col("priority").cast("long").alias("priority"), F.col("attempt").cast("long").alias("attempt"), "micros", F.col("place").cast("long").alias("place"))
