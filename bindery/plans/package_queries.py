@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import package as p
-from ..sources import readers
+from ..sources import paged, readers
+from ..streaming.jobs import shared_folder
 from .registry import Tables, query
 
 
@@ -178,6 +179,16 @@ def store_listing(t: Tables) -> DataFrame:
     return readers.store_objects(keys).withColumn("files", F.array_join("files", ","))
 
 
+@query("paged_store_listing", "select namespace, id, version, string_agg(distinct ext, ',' order by ext) as files from storage_listing group by namespace, id, version", "storage_listing")
+def paged_store_listing(t: Tables) -> DataFrame:
+    """The listing of a store that gives its keys in pages, read over ranges of keys."""
+    keys = t.storage_listing.select(F.concat_ws(".", "namespace", "id", "version", "ext").alias("key"), F.col("object_no").alias("size"))
+    t.spark.dataSource.register(paged.PagedListing)
+    store = paged.inventory(keys, shared_folder(t.spark))
+    found = t.spark.read.format("paged_listing").options(client="bindery.sources.paged:Inventory", store=store).load()
+    return readers.store_objects(found).withColumn("files", F.array_join("files", ","))
+
+
 @query("repository_walk", "select sdr_partition, namespace, id, concat(id, '.mets.xml,', id, '.zip') as files from feed_audit", "feed_audit")
 def repository_walk(t: Tables) -> DataFrame:
     from ..functions.scalars import pairtree_path

@@ -1,8 +1,17 @@
+import json
+
 KEYS = [f"{p}/{i:03d}.zip" for p in ("a", "b") for i in range(25)]
 
 
-def page(prefix, token, size):
-    found = [k for k in KEYS if k.startswith(prefix)]
-    start = int(token or 0)
-    rows = [(k, len(k)) for k in found[start : start + size]]
-    return rows, str(start + size) if start + size < len(found) else None
+def store(name):
+    """A store of KEYS, or of the keys of a JSON file, that says how it was asked."""
+    keys = sorted(json.load(open(name))) if name else KEYS
+    calls = []
+
+    def page(prefix, after, size):
+        calls.append((prefix, after, size))
+        found = [k for k in keys if k.startswith(prefix) and k > after]
+        return [(k, len(k)) for k in found[:size]], len(found) > size
+
+    page.calls = calls
+    return page

@@ -112,16 +112,6 @@ def test_admin_handle_is_big_endian(spark):
     assert bytes(value(spark, sinks.admin_handle(F.lit(300), F.lit(4095), F.lit("0.na/x")))) == b"\x0f\xff\x00\x00\x00\x060.NA/X\x00\x00\x01\x2c\x00\x00"
 
 
-def test_paged_listing_reads_every_page_of_every_prefix(spark):
-    from bindery.sources.paged import PagedListing
-    from tests.paged_client import KEYS
-
-    spark.dataSource.register(PagedListing)
-    df = spark.read.format("paged_listing").option("client", "tests.paged_client:page").option("prefixes", "a,b").option("page_size", "10").load()
-    assert sorted(r["key"] for r in df.collect()) == sorted(KEYS)
-    assert df.rdd.getNumPartitions() == 2
-
-
 def test_dead_letters_and_accepted_messages_part_the_stream(spark):
     from bindery.streaming.jobs import accepted, dead_letters
 
