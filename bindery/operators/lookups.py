@@ -50,3 +50,16 @@ def page_features(pages: DataFrame, features: DataFrame, keys: list[str]) -> Dat
 def skipped(rule: Column, *exceptions: Column) -> Column:
     """Whether any of the volume's exception lists names the rule."""
     return F.array_contains(F.flatten(F.array(*exceptions)), rule)
+
+
+def typed(volumes: DataFrame, common: dict[str, Column], own: dict[str, dict[str, Column]]) -> DataFrame:
+    """volumes (pkg_type) with derived columns: those of a type's own, and what is common to all where it has none; a null type has the common ones."""
+    names = dict.fromkeys([*common, *(name for columns in own.values() for name in columns)])
+    chosen = {}
+    for name in names:
+        column = common.get(name, F.lit(None))
+        for pkg_type, columns in own.items():
+            if name in columns:
+                column = F.when(F.col("pkg_type") == pkg_type, columns[name]).otherwise(column)
+        chosen[name] = column
+    return volumes.withColumns(chosen)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +31,18 @@ STAGES = {
 }
 
 
-def transitions(spark: SparkSession) -> DataFrame:
-    """The table of all stages: a few dozen rows, always."""
-    rows = [(pkg, *stage) for pkg, stages in STAGES.items() for stage in stages]
-    return spark.createDataFrame(rows, "pkg_type string, status string, stage string, success_state string, failure_state string")
+Stage = tuple[str, str, str, str, str]
+
+
+def stage_rows(own: Iterable[Stage] = ()) -> list[Stage]:
+    """All stages as (pkg_type, status, stage, status after success, status after failure); own ones add to the table or take the place of its rows."""
+    rows = {(pkg, stage[0]): (pkg, *stage) for pkg, stages in STAGES.items() for stage in stages}
+    return list((rows | {(row[0], row[1]): row for row in own}).values())
+
+
+def transitions(spark: SparkSession, own: Iterable[Stage] = ()) -> DataFrame:
+    """The table of stage_rows(): a few dozen rows, always."""
+    return spark.createDataFrame(stage_rows(own), "pkg_type string, status string, stage string, success_state string, failure_state string")
 
 
 def new_status(success: Column, success_state: Column, failure_state: Column, failure_count: Column, limit: int = RETRIES) -> Column:
@@ -43,12 +51,24 @@ def new_status(success: Column, success_state: Column, failure_state: Column, fa
     return F.coalesce(F.nullif(F.when(F.coalesce(success, F.lit(False)), success_state).otherwise(failed), F.lit("")), F.lit("punted"))
 
 
-def step(jobs: DataFrame, stages: DataFrame) -> DataFrame:
+def outcome(stages: dict[str, Column], forced: Column | None = None) -> Column:
+    """The success of a job's next stage by the stage's own column; a stage without one did nothing, which is a failure.
+
+    Where `forced` is not null a stage is taken to have ended as it says.
+    """
+    own = [F.when(F.col("stage") == name, done) for name, done in stages.items()]
+    return F.coalesce(*([] if forced is None else [forced]), *own, F.lit(False))
+
+
+def step(jobs: DataFrame, stages: DataFrame, success: Column | None = None) -> DataFrame:
     """jobs (pkg_type, status, failure_count, success) after their next stage; a status without stage is punted.
 
-    Adds stage, new_status, release and the successor's new_failure_count.
+    Adds stage, new_status, release and the successor's new_failure_count. `success`
+    may be given as a column that knows the stage, see outcome().
     """
     joined = jobs.join(F.broadcast(stages), ["pkg_type", "status"], "left")  # a few dozen rows
+    if success is not None:
+        joined = joined.withColumn("success", success)
     after = F.when(F.col("stage").isNull(), "punted").otherwise(new_status(F.col("success"), F.col("success_state"), F.col("failure_state"), F.col("failure_count")))
     fail = F.col("stage").isNull() | ~F.coalesce("success", F.lit(False))
     return joined.withColumns({"new_status": after, "release": after.isin(*RELEASE_STATES), "new_failure_count": F.col("failure_count") + fail.cast("long")}).drop("success_state", "failure_state")
@@ -98,10 +118,25 @@ def trace(jobs: DataFrame, succeeds: Callable[[Column, Column], Column]) -> Data
     return each.select("pkg_type", "namespace", "id", "turn", F.coalesce(F.get(names, "at"), "first").alias("status"), F.get(stage_of, "at").alias("stage"), F.get(names, "to").alias("new_status"), "failures")
 
 
-def chain(spark: SparkSession, pkg_type: str, start: str = "ready") -> DataFrame:
-    """(at, stage): the stages from a status on, following success."""
-    stages = transitions(spark).filter(F.col("pkg_type") == pkg_type).select("status", "stage", "success_state")
-    return spark.sql("with recursive c(at, stage, nxt) as (select 1, stage, success_state from {s} where status = {start} union all select at + 1, s.stage, s.success_state from c join {s} s on s.status = c.nxt) select at, stage from c", s=stages, start=start)
+def ahead(jobs: DataFrame, own: Iterable[Stage] = ()) -> DataFrame:
+    """jobs (pkg_type, status) with one row for each stage that lies before them, numbered `at` from 1, were all to succeed.
+
+    A status without stage has none, and its job no row. The chains are a table of
+    the size of all stages; one that leads back into itself ends before its first stage comes again.
+    """
+    rows = stage_rows(own)
+    by_status = {(pkg, status): (stage, good) for pkg, status, stage, good, _ in rows}
+    chains = []
+    for pkg, first, *_ in rows:
+        names, seen, status = [], set(), first
+        while (pkg, status) in by_status and status not in seen:
+            seen.add(status)
+            stage, status = by_status[pkg, status]
+            names.append(stage)
+        chains.append((pkg, first, names))
+    table = jobs.sparkSession.createDataFrame(chains, "pkg_type string, status string, _stages array<string>")
+    met = jobs.join(F.broadcast(table), ["pkg_type", "status"])  # a few dozen rows
+    return met.select(*jobs.columns, F.posexplode("_stages").alias("at", "stage")).withColumn("at", F.col("at") + 1)
 
 
 def first_failure(*steps: tuple[str, Column]) -> Column:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import version_path
 from ..sources import sinks
+from ..sources.readers import pairtree_encode
 
 VOLUME = ["namespace", "id"]
 #: What each site's row of feed_storage is told apart by.
@@ -22,6 +24,23 @@ def stored(storage: DataFrame, deposits: DataFrame, now: Column) -> DataFrame:
     return sinks.upsert(storage, deposits, STORAGE_KEY, {"deposit_time": now})
 
 
+def new_versions(backups: DataFrame, deposits: DataFrame, storage_name: str, base: Column, at: Column) -> DataFrame:
+    """The rows that record deposits (namespace, id, zip_size, mets_size, saved_md5sum) as backup versions.
+
+    A version is called by its time to the second, under which its zip lies; it counts
+    as checked then. One that is recorded already, as after a job that ran again, adds
+    no row, and deposits of one version are one. A null time or key is not recorded.
+    """
+    version = F.date_format(at, "yyyyMMddHHmmss")
+    rows = deposits.select(
+        *VOLUME, version_path(base, F.col("namespace"), pairtree_encode(F.col("id")), version).alias("path"), version.alias("version"), F.lit(storage_name).alias("storage_name"),
+        "zip_size", "mets_size", "saved_md5sum", at.alias("lastchecked"), at.alias("lastmd5check"), F.lit(1).alias("md5check_ok"),
+    )
+    keys = [*STORAGE_KEY, "version"]
+    once = rows.dropna(subset=keys).groupBy(*keys).agg(F.max(F.struct(*(c for c in rows.columns if c not in keys))).alias("r")).select(*keys, "r.*").select(*rows.columns)
+    return once.join(backups.select(*keys), keys, "left_anti").select(*rows.columns)
+
+
 def with_versions(backups: DataFrame, deposits: DataFrame) -> DataFrame:
     """feed_backups with one more row for each deposit; earlier versions stay as they are."""
     return backups.unionByName(deposits, allowMissingColumns=True)

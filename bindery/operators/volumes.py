@@ -84,6 +84,56 @@ def zip_members(zips: DataFrame) -> DataFrame:
     return zips.select("volume", "content").mapInPandas(scan, "volume string, file string, md5sum string")
 
 
+def unpacked(zips: DataFrame, keep_case: bool = False) -> DataFrame:
+    """(volume, file, size, md5sum, status) of what zips (volume, content) give.
+
+    `ok` is a member that was read; `warning` one that is skipped because it is
+    encrypted or of an unknown method, which the volume survives; `error` one that is
+    damaged, or with a null file a volume that is no zip. Names come without folders,
+    in lower case unless keep_case. A task holds one zip, and of a member one block.
+    """
+    def scan(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+        import io
+        import zipfile
+        import zlib
+
+        def member(z: zipfile.ZipFile, name: zipfile.ZipInfo) -> tuple[int | None, str | None, str]:
+            digest, size = hashlib.md5(), 0
+            try:
+                with z.open(name) as held:
+                    while block := held.read(1 << 20):
+                        digest.update(block)
+                        size += len(block)
+            except (NotImplementedError, RuntimeError):  # unknown method; encrypted
+                return None, None, "warning"
+            except (zipfile.BadZipFile, zlib.error, EOFError):
+                return None, None, "error"
+            return size, digest.hexdigest(), "ok"
+
+        for pdf in pdfs:
+            rows = []
+            for volume, content in zip(pdf["volume"], pdf["content"]):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
+                        for info in z.infolist():
+                            if not info.is_dir():
+                                name = info.filename.rpartition("/")[2]
+                                rows.append((volume, name if keep_case else name.lower(), *member(z, info)))
+                except zipfile.BadZipFile:
+                    rows.append((volume, None, None, None, "error"))
+            yield pd.DataFrame(rows, columns=["volume", "file", "size", "md5sum", "status"]).astype({"size": "Int64"})
+
+    return zips.select("volume", "content").mapInPandas(scan, "volume string, file string, size long, md5sum string, status string")
+
+
+def unpack_outcomes(zips: DataFrame, members: DataFrame) -> DataFrame:
+    """(volume, status, n) for every volume: the worst status of its members and how many were read; a zip without any is `ok`."""
+    worst = F.when(F.max(F.col("status") == "error"), "error").when(F.max(F.col("status") == "warning"), "warning").otherwise("ok")
+    found = members.groupBy("volume").agg(worst.alias("status"), F.count_if(F.col("status") == "ok").alias("n"))
+    return zips.select("volume").distinct().join(found, "volume", "left").select("volume", F.coalesce("status", F.lit("ok")).alias("status"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def source_record(names: Column) -> Column:
     """The first XML file, by name, that is not a page's."""
     return F.get(F.array_sort(F.filter(names, lambda n: n.endswith(".xml") & ~n.rlike(r"^\d{8}\."))), F.lit(0))

@@ -108,11 +108,44 @@ def job_trace(t: Tables) -> DataFrame:
 
 
 @query("stage_chain", f"""
-  with recursive {STAGE_TABLE}, c(n, stage, nxt) as (select 1, stage, success_state from stages where pkg_type = 'ia' and status = 'ready'
-    union all select c.n + 1, s.stage, s.success_state from c join stages s on s.pkg_type = 'ia' and s.status = c.nxt)
-  select cast(n as bigint) as n, stage from c""")
+  with recursive {STAGE_TABLE}, c(pkg_type, first, n, stage, nxt) as (select pkg_type, status, 1, stage, success_state from stages
+    union all select c.pkg_type, c.first, c.n + 1, s.stage, s.success_state from c join stages s on s.pkg_type = c.pkg_type and s.status = c.nxt)
+  select namespace, id, cast(n as bigint) as n, stage from feed_queue q join c on c.pkg_type = q.pkg_type and c.first = q.status""", "feed_queue")
 def stage_chain(t: Tables) -> DataFrame:
-    return machine.chain(t.spark, "ia").select(F.col("at").cast("long").alias("n"), "stage")
+    """The stages that lie before each job of the queue."""
+    return machine.ahead(t.feed_queue).select("namespace", "id", F.col("at").cast("long").alias("n"), "stage")
+
+
+OWN = (("simple", "ready", "Inspect", "inspected", "held"), ("simple", "inspected", "Download", "downloaded", "ready"))
+
+
+@query("custom_stages", f"""
+  with {STAGE_TABLE}, own(pkg_type, status, stage, success_state, failure_state) as (select * from (values {', '.join(map(str, OWN))}) v(pkg_type, status, stage, success_state, failure_state)),
+  s as (select * from own union all select * from stages x where not exists (select 1 from own o where o.pkg_type = x.pkg_type and o.status = x.status)),
+  j as (select q.namespace, q.id, q.failure_count, s.stage, s.success_state, s.failure_state, case when q.namespace = 'ns0' then true when q.namespace = 'ns1' then false
+      else coalesce(case s.stage when 'Inspect' then coalesce(q.priority, 9) < 4 when 'Unpack' then q.update_stamp >= q.date_added + interval 30 day when 'Pack' then q.failure_count < 2 end, false) end as ok
+    from feed_queue q left join s on s.pkg_type = q.pkg_type and s.status = q.status)
+  select namespace, id, stage, case when stage is not null then ok end as success, {AFTER.replace('s.', '').format(ok='ok', failures='failure_count')} as new_status, failure_count + case when stage is null or not ok then 1 else 0 end as new_failure_count from j""", "feed_queue")
+def custom_stages(t: Tables) -> DataFrame:
+    """A stage of one's own before the others of its type, outcomes by columns of the job, and two namespaces that are made to pass and to fail."""
+    outcomes = {"Inspect": F.coalesce("priority", F.lit(9)) < 4, "Unpack": F.col("update_stamp") >= F.col("date_added") + F.expr("interval 30 days"), "Pack": F.col("failure_count") < 2}
+    forced = F.when(F.col("namespace") == "ns0", True).when(F.col("namespace") == "ns1", False)
+    done = machine.step(t.feed_queue, machine.transitions(t.spark, OWN), machine.outcome(outcomes, forced))
+    return done.select("namespace", "id", "stage", F.when(F.col("stage").isNotNull(), F.col("success")).alias("success"), "new_status", "new_failure_count")
+
+
+@query("typed_columns", """
+  select namespace, id, case pkg_type when 'ia' then concat('IA_', id, '.xml') when 'epub' then concat(namespace, '.', id, '.epub') else concat(id, '.zip') end as package,
+    case pkg_type when 'emma' then date_added when 'ia' then coalesce(update_stamp, date_added) else update_stamp end as captured from feed_queue""", "feed_queue")
+def typed_columns(t: Tables) -> DataFrame:
+    """What a package type derives in its own way, beside what all types have in common."""
+    common = {"package": F.concat("id", F.lit(".zip")), "captured": F.col("update_stamp")}
+    own = {
+        "ia": {"package": F.concat(F.lit("IA_"), "id", F.lit(".xml")), "captured": F.coalesce("update_stamp", "date_added")},
+        "epub": {"package": F.concat("namespace", F.lit("."), "id", F.lit(".epub"))},
+        "emma": {"captured": F.col("date_added")},
+    }
+    return lk.typed(t.feed_queue, common, own).select("namespace", "id", "package", "captured")
 
 
 @query("collate_first_failure", """

@@ -45,6 +45,22 @@ def backup_versions(t: Tables) -> DataFrame:
     return s.with_versions(t.feed_backups, deposits).groupBy(*s.STORAGE_KEY).agg(F.count("*").alias("versions"), F.max("version").alias("newest"))
 
 
+@query("recorded_backups", """
+  with d as (select namespace, id, zip_size, mets_size, md5(concat(namespace, '.', id)) as saved_md5sum, coalesce(cast(lastmd5check as timestamp), timestamp '2024-06-01') as moment from feed_audit
+    union all select namespace, id, zip_size, mets_size, saved_md5sum, lastchecked from feed_backups where storage_name = 'versioned' and object_part < 3),
+  n as (select namespace, id, strftime(moment, '%Y%m%d%H%M%S') as version, moment, zip_size, mets_size, saved_md5sum from d),
+  one as (select namespace, id, version, max({'z': zip_size, 'm': mets_size, 's': saved_md5sum}) as r, max(moment) as moment from n group by namespace, id, version)
+  select namespace, id, concat_ws('/', '/backup', namespace, substr(id, 1, greatest(length(id) - 4, 3)), concat(id, '.', version, '.zip')) as path, version, r.z as zip_size, r.m as mets_size, r.s as saved_md5sum, moment as lastchecked
+  from one where not exists (select 1 from feed_backups b where b.namespace = one.namespace and b.id = one.id and b.version = one.version and b.storage_name = 'versioned')""", "feed_audit", "feed_backups")
+def recorded_backups(t: Tables) -> DataFrame:
+    """New versions of all audited volumes, some of them recorded before, and a run over old ones again."""
+    sizes = ["namespace", "id", "zip_size", "mets_size"]
+    new = t.feed_audit.select(*sizes, F.md5(F.concat_ws(".", "namespace", "id")).alias("saved_md5sum"), F.coalesce(F.col("lastmd5check").cast("timestamp"), F.lit(NOW).cast("timestamp")).alias("at"))
+    again = t.feed_backups.filter("storage_name = 'versioned' and object_part < 3").select(*sizes, "saved_md5sum", F.col("lastchecked").cast("timestamp").alias("at"))
+    rows = s.new_versions(t.feed_backups, new.union(again), "versioned", F.lit("/backup"), F.col("at"))
+    return rows.select("namespace", "id", "path", "version", "zip_size", "mets_size", "saved_md5sum", "lastchecked")
+
+
 @query("restore_requests", """
   with asked as (select distinct namespace, id, storage_name, version from feed_backups where object_part = 3 and storage_name = 'versioned')
   select namespace, id, storage_name, version, object_part, case when a.version is not null then null when object_no % 2 = 0 then timestamp '2024-06-01' end as restore_request

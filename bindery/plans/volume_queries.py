@@ -109,6 +109,50 @@ def zip_completeness(t: Tables) -> DataFrame:
     return package.checksum_compare(members, record, ["volume", "file"]).select("volume", "file", "status")
 
 
+PAGES_ZIPPED = """
+  m as (select volume, file, text, case when volume % 7 = 3 then 'none' when volume % 5 = 2 and second then 'locked' else 'whole' end as held from (
+    select doc_id as volume, 'Text.TXT' as file, coalesce(text, '') as text, false as second from documents union all select doc_id, 'Source.xml', coalesce(source, ''), true from documents)),
+  u as (select volume, case when held = 'none' then null else file end as file, case when held = 'whole' then cast(octet_length(encode(text)) as bigint) end as size, case when held = 'whole' then md5(text) end as md5sum,
+    case held when 'whole' then 'ok' when 'locked' then 'warning' else 'error' end as status from m)"""
+
+
+def zipped_texts(t: Tables) -> DataFrame:
+    """(volume, content): a zip of each document's text and source; of some the second member is encrypted, some are cut short."""
+    def packed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+        import zipfile
+
+        for pdf in pdfs:
+            out = []
+            for n, text, source in zip(pdf["n"].tolist(), pdf["text"], pdf["source"]):
+                held = io.BytesIO()
+                with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(f"{n}/Text.TXT", text)
+                    z.writestr(f"{n}/Source.xml", source)
+                    second = z.infolist()[1].header_offset
+                raw = bytearray(held.getvalue())
+                if n % 5 == 2:  # the bit for encryption, in the member's header and in the directory's entry
+                    raw[second + 6] |= 1
+                    raw[raw.rindex(b"PK\x01\x02") + 8] |= 1
+                out.append((str(n), bytes(raw[: len(raw) // 2] if n % 7 == 3 else raw)))
+            yield pd.DataFrame(out, columns=["volume", "content"])
+
+    texts = t.documents.filter("doc_id is not null").select(F.col("doc_id").alias("n"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("source", F.lit("")).alias("source"))
+    return texts.mapInPandas(packed, "volume string, content binary")
+
+
+@query("unpacked_members", f"with {PAGES_ZIPPED} select distinct cast(volume as varchar) as volume, lower(file) as file, size, md5sum, status from u")
+def unpacked_members(t: Tables) -> DataFrame:
+    return v.unpacked(zipped_texts(t)).distinct()
+
+
+@query("unpack_outcomes", f"with {PAGES_ZIPPED} select cast(volume as varchar) as volume, case when max(status = 'error') then 'error' when max(status = 'warning') then 'warning' else 'ok' end as status, count(*) filter (status = 'ok') as n from u group by volume")
+def unpack_outcomes(t: Tables) -> DataFrame:
+    """Zips that are whole, that lack a member which could not be opened, and that can't be read."""
+    zips = zipped_texts(t)
+    return v.unpack_outcomes(zips, v.unpacked(zips, keep_case=True))
+
+
 @query("unpacked_from", "select p_partkey, case when p_partkey % 3 = 0 then 'sip' when p_partkey % 3 = 1 then 'failed' end as source from part")
 def unpacked_from(t: Tables) -> DataFrame:
     """A package waits where it succeeded, or where it failed the last time."""

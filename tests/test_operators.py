@@ -175,3 +175,25 @@ def test_queries_over_all_rows_leave_none_out(spark, sf_dir, name, table):
     else:
         rules = 1 if name == "cardinality_errors" else found.select("rule").distinct().count()
         assert found.count() == n * rules
+
+
+def test_stages_of_ones_own_forced_outcomes_and_types(spark):
+    from bindery.operators import lookups, machine, storage
+
+    jobs = spark.createDataFrame([("simple", "a", "ready", 0), ("simple", "b", "inspected", 9), ("ia", "c", "ready", 0), ("none", "d", "ready", 0), (None, "e", None, 0)], "pkg_type string, id string, status string, failure_count long")
+    own = [("simple", "ready", "Inspect", "inspected", "held"), ("simple", "inspected", "Again", "ready", "")]
+    success = machine.outcome({"Inspect": F.lit(True), "Download": F.lit(None).cast("boolean")}, F.when(F.col("id") == "b", True))
+    done = {r["id"]: (r["stage"], r["new_status"], r["new_failure_count"]) for r in machine.step(jobs, machine.transitions(spark, own), success).collect()}
+    assert done == {"a": ("Inspect", "inspected", 0), "b": ("Again", "ready", 9), "c": ("Download", "ready", 1), "d": (None, "punted", 1), "e": (None, "punted", 1)}
+    chains = {}
+    for r in machine.ahead(jobs, own).orderBy("at").collect():
+        chains.setdefault(r["id"], []).append(r["stage"])
+    assert chains["a"] == ["Inspect", "Again"] and chains["b"] == ["Again", "Inspect"] and len(chains["c"]) == 12 and set(chains) == {"a", "b", "c"}
+    typed = lookups.typed(jobs, {"x": F.lit("common")}, {"ia": {"x": F.lit("own"), "y": F.lit(1)}})
+    assert {r["id"]: (r["x"], r["y"]) for r in typed.collect()} == {"a": ("common", None), "b": ("common", None), "c": ("own", 1), "d": ("common", None), "e": ("common", None)}
+    backups = spark.createDataFrame([("n", "a", "v", "20240601000000")], "namespace string, id string, storage_name string, version string")
+    deposits = spark.createDataFrame([("n", "a", 1), ("n", "a", 1), ("n", "b/123456", 2), ("n", "b/123456", 3), (None, "c", 4), ("n", None, 5)], "namespace string, id string, zip_size long").selectExpr("*", "1L as mets_size", "'m' as saved_md5sum")
+    at = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    rows = storage.new_versions(backups, deposits, "v", F.lit("/b"), at).collect()
+    assert [(r["id"], r["path"], r["zip_size"], r["md5check_ok"]) for r in rows] == [("b/123456", "/b/n/b=12/b=123456.20240601000000.zip", 3, 1)]
+    assert storage.new_versions(backups, deposits, "v", F.lit("/b"), F.lit(None).cast("timestamp")).isEmpty()

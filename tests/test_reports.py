@@ -74,3 +74,26 @@ def test_times_have_at_most_one_offset(spark):
     forms = ["2024-01-02T03:04:05", "2024-01-02T03:04:05Z", " 2024-01-02T03:04:05-05:00 ", "2024-01-02T03:04:05+01:00Z", "2024-01-02T03:04:05+01:00+01:00", "2024-01-02T03:04", "2024-01-02 03:04:05", None]
     rows = spark.createDataFrame(list(enumerate(forms)), "i int, x string").select("i", time_of(F.col("x")).alias("t")).orderBy("i").collect()
     assert [r["t"] for r in rows] == ["2024-01-02T03:04:05"] * 3 + [None] * 5
+
+
+def test_unpacking_skips_what_it_can_not_open_and_tells_what_is_damaged(spark):
+    def packed(*members, method=zipfile.ZIP_STORED):
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", method) as z:
+            for name, data in members:
+                z.writestr(name, data)
+        return bytearray(held.getvalue())
+
+    whole = packed(("in/A.TXT", "a"), ("in/", ""), ("é.XML", ""))
+    method, damaged = packed(("a", "a"), ("B", "b")), packed(("a", "text" * 500), ("b", "b"))
+    last = method.rindex(b"PK\x01\x02")
+    method[last + 10 : last + 12] = b"\x63\x00"  # a method that nobody knows
+    damaged[200] ^= 255
+    rows = [("whole", bytes(whole)), ("twice", bytes(packed(("x/a", "1"), ("y/a", "2")))), ("method", bytes(method)), ("damaged", bytes(damaged)), ("none", None), ("text", b"no zip"), ("empty", bytes(packed()))]
+    zips = spark.createDataFrame(rows, "volume string, content binary")
+    found = sorted((r["volume"], r["file"] or "", r["size"], r["status"]) for r in volumes.unpacked(zips).collect())
+    assert found == [("damaged", "a", None, "error"), ("damaged", "b", 1, "ok"), ("method", "a", 1, "ok"), ("method", "b", None, "warning"), ("none", "", None, "error"), ("text", "", None, "error"), ("twice", "a", 1, "ok"), ("twice", "a", 1, "ok"), ("whole", "a.txt", 1, "ok"), ("whole", "é.xml", 0, "ok")]
+    kept = {r["file"] for r in volumes.unpacked(zips, keep_case=True).filter("volume = 'whole'").collect()}
+    assert kept == {"A.TXT", "é.XML"}
+    outcome = {r["volume"]: (r["status"], r["n"]) for r in volumes.unpack_outcomes(zips, volumes.unpacked(zips)).collect()}
+    assert outcome == {"whole": ("ok", 2), "twice": ("ok", 2), "method": ("warning", 1), "damaged": ("error", 1), "none": ("error", 0), "text": ("error", 0), "empty": ("ok", 0)}
