@@ -75,6 +75,22 @@ def placed(configured: Column, link_target: Column, has_zip: Column, has_mets: C
     return F.struct(F.coalesce(link_target, configured).alias("path"), (F.coalesce(has_zip, F.lit(False)) & F.coalesce(has_mets, F.lit(False))).alias("is_repeat"))
 
 
+def placements(deposits: DataFrame, links: DataFrame, files: DataFrame) -> DataFrame:
+    """Where deposits (namespace, id, path) go, with is_repeat, by the links (namespace, id, target) and the files (path) that there are.
+
+    A volume with links to several places goes to the first by name. A zip and a METS
+    of the volume at its place make it a repeat.
+    """
+    target = links.groupBy(*VOLUME).agg(F.min("target").alias("_target"))
+    parts = F.regexp_extract("path", r"^(.*)/([^/]*)$", 1), F.regexp_extract("path", r"^(.*)/([^/]*)$", 2)
+    there = files.select(parts[0].alias("_at"), parts[1].alias("_name")).groupBy("_at").agg(F.collect_set("_name").alias("_names"))
+    where = deposits.join(target, VOLUME, "left").withColumn("_at", F.coalesce("_target", "path")).join(there, "_at", "left")
+    name = pairtree_encode(F.col("id"))
+    has = lambda ending: F.array_contains("_names", F.concat(name, F.lit(ending)))
+    found = placed(F.col("path"), F.col("_target"), has(".zip"), has(".mets.xml"))
+    return where.withColumn("_w", found).select(*VOLUME, F.col("_w.path").alias("path"), F.col("_w.is_repeat").alias("is_repeat"))
+
+
 def site_facts(rows: DataFrame, sites: list[str]) -> DataFrame:
     """One row per object and site of (namespace, id, site, zip, mets): what each lacks, and BAD_FILE for files beyond the two."""
     wanted = rows.select(*VOLUME).distinct().withColumn("site", F.explode(F.array(*map(F.lit, sites))))

@@ -107,6 +107,19 @@ def link_targets(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", where.alias("w")).select("p_partkey", "w.path", "w.is_repeat")
 
 
+@query("link_placements", """
+  with l as (select namespace, id, min(concat('/', storage_name, '/', version, '/', id)) as target from feed_backups where deleted = 1 group by namespace, id),
+  f as (select concat('/', storage_name, '/', version, '/', id) as place, bool_or(ext = 'zip') and bool_or(ext = 'mets.xml') as both from storage_listing group by 1)
+  select a.namespace, a.id, coalesce(l.target, concat('/new/', a.id)) as path, coalesce(f.both, false) as is_repeat
+  from feed_audit a left join l on l.namespace = a.namespace and l.id = a.id left join f on f.place = coalesce(l.target, concat('/new/', a.id))""", "feed_audit", "feed_backups", "storage_listing")
+def link_placements(t: Tables) -> DataFrame:
+    """Volumes with a link to one of their backups go there, the others to a new place; the files are those of the listing."""
+    place = F.concat_ws("/", F.lit(""), "storage_name", "version", "id")
+    links = t.feed_backups.filter("deleted = 1").select("namespace", "id", place.alias("target"))
+    files = t.storage_listing.select(F.concat_ws("/", place, F.concat_ws(".", "id", "ext")).alias("path"))
+    return s.placements(t.feed_audit.select("namespace", "id", F.concat(F.lit("/new/"), "id").alias("path")), links, files)
+
+
 @query("site_audit", """
   with f as (select p_partkey, site from part cross join (select 'east' as site union all select 'west') x)
   select concat('ns', cast(p_partkey % 5 as varchar)) as namespace, cast(p_partkey as varchar) as id, site,

@@ -197,3 +197,13 @@ def test_stages_of_ones_own_forced_outcomes_and_types(spark):
     rows = storage.new_versions(backups, deposits, "v", F.lit("/b"), at).collect()
     assert [(r["id"], r["path"], r["zip_size"], r["md5check_ok"]) for r in rows] == [("b/123456", "/b/n/b=12/b=123456.20240601000000.zip", 3, 1)]
     assert storage.new_versions(backups, deposits, "v", F.lit("/b"), F.lit(None).cast("timestamp")).isEmpty()
+
+
+def test_a_link_goes_before_the_configured_place(spark):
+    from bindery.operators import storage
+
+    deposits = spark.createDataFrame([("n", "a", "/new/a"), ("n", "b/c", "/new/b=c"), ("n", "d", "/new/d"), ("n", None, "/new/x")], "namespace string, id string, path string")
+    links = spark.createDataFrame([("n", "a", "/old/2/a"), ("n", "a", "/old/1/a"), ("m", "d", "/old/d")], "namespace string, id string, target string")
+    files = spark.createDataFrame([("/old/1/a/a.zip",), ("/old/1/a/a.mets.xml",), ("/new/b=c/b=c.zip",), ("/new/b=c/b=c.mets.xml",), ("/new/d/d.zip",), ("/new/d/other.mets.xml",), (None,)], "path string")
+    found = {r["id"]: (r["path"], r["is_repeat"]) for r in storage.placements(deposits, links, files).collect()}
+    assert found == {"a": ("/old/1/a", True), "b/c": ("/new/b=c", True), "d": ("/new/d", False), None: ("/new/x", False)}
