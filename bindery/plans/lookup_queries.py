@@ -152,10 +152,10 @@ def typed_columns(t: Tables) -> DataFrame:
   select b.namespace, b.id, s.storage, case when cast(b.id as bigint) % 5 = s.n then 'stage' when cast(b.id as bigint) % 7 = 0 then 'validate_zip' when cast(b.id as bigint) % 11 = s.n then 'move' end as failed
   from feed_audit b cross join (select 'pairtree' as storage, 1 as n union all select 'objectstore' as storage, 2 as n) s""", "feed_audit")
 def collate_first_failure(t: Tables) -> DataFrame:
-    storages = t.spark.createDataFrame([("pairtree", 1), ("objectstore", 2)], "storage string, n int")
+    storages = F.array(*(F.struct(F.lit(name).alias("storage"), F.lit(n).alias("n")) for name, n in (("pairtree", 1), ("objectstore", 2))))
     number = F.col("id").cast("long")
     steps = (("stage", number % 5 != F.col("n")), ("validate_zip", number % 7 != 0), ("move", number % 11 != F.col("n")))
-    placed = t.feed_audit.withColumn("s", F.explode(F.array(*(F.struct(F.lit(r["storage"]).alias("storage"), F.lit(r["n"]).alias("n")) for r in storages.collect()))))
+    placed = t.feed_audit.withColumn("s", F.explode(storages))
     return placed.select("namespace", "id", "s.storage", "s.n").select("namespace", "id", "storage", machine.first_failure(*steps).alias("failed"))
 
 

@@ -197,8 +197,8 @@ def id_file_lines(t: Tables) -> DataFrame:
     """Every volume of the queue written to a file of ids, listed and read again."""
     path = f"{shared_folder(t.spark)}-ids/{uuid.uuid4().hex}"
     sinks.id_file(t.feed_queue, path)
-    files = [r["path"] for r in readers.listing(t.spark, path, "*.txt").select("path").collect()]  # a file a task
-    return readers.id_list(t.spark.read.text(files).withColumnRenamed("value", "line"), dotted=True).select("namespace", "id")
+    lines = t.spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(path)
+    return readers.id_list(lines.withColumnRenamed("value", "line"), dotted=True).select("namespace", "id")
 
 
 @query("yaml_fields", """
