@@ -73,3 +73,16 @@ def test_columns_named_as_facts_are_kept_out(spark):
     rows = spark.createDataFrame([(1, "<rep><width>5</width></rep>", "mine")], "i int, x string, results string")
     done = r.check(rows, "x", LIBRARY, {"w": r.v_eq("top", "width", "5")})
     assert done.columns == ["i", "x", "results"] and done.select(F.size("results")).first()[0] == 1
+
+
+def test_a_library_of_some_names_opens_no_other_element():
+    asked = r.TIFF_REPORT.only(("tiffMeta", "xmp"), ("mix", "width"), ("xmp", "width"))
+    assert list(asked.contexts) == ["repInfo", "tiffMeta", "mix", "xmp"] and list(asked.inner) == ["xmp"]
+    ddl = asked.documents[""].ddl()
+    assert "imageWidth" in ddl and "imageHeight" not in ddl and "Compression" not in ddl and ddl.count("_VALUE") == 1  # of value, which has the packet
+    assert "ImageWidth" in asked.documents["xmp"].ddl() and "Artist" not in asked.documents["xmp"].ddl()
+
+
+def test_texts_between_elements_that_nobody_asks_for_change_nothing(spark):
+    a, b = read(spark, "﻿ \n<?xml version='1.0'?>\n<rep>loose<width>5</width>text<part kind='a' size='3'>more<note>n</note></part></rep>\n ", "<rep><width>5</width><part kind='a' size='3'><note>n</note></part></rep>")
+    assert a.asDict() | {"i": 0, "x": ""} == b.asDict() | {"i": 0, "x": ""} and a["read:"] and a["n:part.note"] == 1
