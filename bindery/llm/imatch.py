@@ -34,7 +34,7 @@ SUBSETS = 64
 
 def term_ids(text: Column) -> Column:
     """Distinct terms (runs of letters and digits, lower case) as non-negative 63-bit hashes."""
-    terms = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    terms = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
     return F.array_distinct(F.transform(terms, lambda t: F.shiftrightunsigned(F.xxhash64(t), 1)))
 
 
@@ -45,14 +45,28 @@ def lexicon(docs: DataFrame, n_docs: int, min_df: float = 0.005, max_df: float =
 
 
 def subset_hashes(terms: Column, whole: Column, min_terms: int = 3) -> Column:
-    """32 bits of hash for each lexicon subset, null for one without terms. A few bits of a term's hash give its subset."""
+    """32 bits of hash for each lexicon subset, null for one without terms. A few bits of a term's hash give its subset.
 
-    def subset(k: Column) -> Column:
-        mine = F.filter(terms, lambda t: F.shiftright(t, 3).bitwiseAND(F.lit(SUBSETS - 1)) == k)
-        return F.when(F.size(mine) > 0, F.xxhash64(k, mine).bitwiseAND(F.lit(0xFFFFFFFF)))
+    Terms are dealt to groups of subsets first and then to the subsets of each
+    group, so that each is looked at twice times the square root of SUBSETS, not SUBSETS times.
+    """
+    fine = 1 << (SUBSETS.bit_length() - 1) // 2
+
+    def mine(t: Column) -> Column:
+        return F.shiftright(t, 3).bitwiseAND(F.lit(SUBSETS - 1))
+
+    def group(g: Column) -> Column:
+        return F.filter(terms, lambda t: F.shiftright(mine(t), fine.bit_length() - 1) == g)
+
+    def subset(own: Column, k: Column) -> Column:
+        own = F.filter(own, lambda t: mine(t) == k)
+        return F.when(F.size(own) > 0, F.xxhash64(k, own).bitwiseAND(F.lit(0xFFFFFFFF)))
 
     every = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
-    return F.when(F.size(terms) >= min_terms, F.transform(every, subset)).otherwise(F.transform(every, lambda k: F.xxhash64(k, whole).bitwiseAND(F.lit(0xFFFFFFFF))))
+    groups = F.transform(F.sequence(F.lit(0), F.lit(SUBSETS // fine - 1)), group)
+    # each group is the argument of a lambda, so that it is computed once and not for each of its subsets
+    dealt = F.flatten(F.transform(groups, lambda own, g: F.transform(F.sequence(g * fine, g * fine + (fine - 1)), lambda k: subset(own, k))))
+    return F.when(F.size(terms) >= min_terms, dealt).otherwise(F.transform(every, lambda k: F.xxhash64(k, whole).bitwiseAND(F.lit(0xFFFFFFFF))))
 
 
 def printed(hashes: Column) -> Column:
@@ -152,7 +166,7 @@ def neighbour_fingerprints(docs: DataFrame, most_broadcast: int = 400_000) -> Da
         found = rows.join(F.broadcast(lex.union(lex.sparkSession.range(1).select(F.lit(-1).cast("long").alias("term")))), "term")
     else:
         found = rows.filter("term <> -1").join(lex, "term").unionByName(rows.filter("term = -1"))
-    once, of = F.col("code") == -1, lambda part: F.array_sort(F.collect_set(F.when((F.col("code") != -1) & (F.col("code").bitwiseAND(F.lit(1)) == part), F.col("term"))))
+    once, of = F.col("code") == -1, lambda part: F.sort_array(F.collect_set(F.when((F.col("code") != -1) & (F.col("code").bitwiseAND(F.lit(1)) == part), F.col("term"))))
     grouped = found.groupBy("imatch_slice", "at").agg(
         *(F.max(F.when(once, F.col(c))).alias(c) for c in ("imatch_ghost", "doc_id", "n_chars", "edited_sha256", "whole", "edited_whole")), of(0).alias("terms"), of(1).alias("edited_terms"),
     )

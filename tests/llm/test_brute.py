@@ -4,11 +4,13 @@ import collections
 import itertools
 import math
 import os
+import time
 
 import numpy as np
 import pytest
 import regex
 import xxhash
+from pyspark.sql import functions as F
 
 from bindery.llm import bpe, imatch, langid, pii, tokencount, toxicity
 from bindery.llm.common import table
@@ -55,6 +57,26 @@ def test_imatch_by_brute_force(spark, sf_dir):
     assert edits > 0.05 and edits > 10 * nexts
 
 
+def test_imatch_subsets_cost_less_than_a_pass_over_all_terms_each(spark):
+    terms = F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.shiftrightunsigned(F.xxhash64("id", i), 1))
+    rows = spark.range(0, 3000, 1, 1).select(terms.alias("terms"), F.xxhash64("id").alias("whole")).persist()
+    rows.count()
+
+    def one(k):
+        mine = F.filter("terms", lambda t: F.shiftright(t, 3).bitwiseAND(F.lit(imatch.SUBSETS - 1)) == k)
+        return F.when(F.size(mine) > 0, F.xxhash64(k, mine).bitwiseAND(F.lit(0xFFFFFFFF)))
+
+    def timed(column):
+        begin = time.monotonic()
+        return rows.agg(F.sum(F.xxhash64(column).cast("decimal(20,0)"))).first()[0], time.monotonic() - begin
+
+    plain, dealt = F.transform(F.sequence(F.lit(0), F.lit(imatch.SUBSETS - 1)), one), imatch.subset_hashes(F.col("terms"), F.col("whole"))
+    timed(plain), timed(dealt)
+    (a, slow), (b, fast) = timed(plain), timed(dealt)
+    assert a == b and fast < 0.7 * slow
+    rows.unpersist()
+
+
 def test_viterbi_by_enumeration():
     rng = np.random.default_rng(4)
     labels, features = len(pii.LABELS), 5
