@@ -9,6 +9,10 @@ ceil(0.75 n), so a prefix in that order is indexed.
 
 Leaders come first: each set is compared with one leader of the keys of its
 prefix, so that groups of near copies become components without meeting in pairs.
+Sets of one size with the same shareable shingles share these and nothing else, and
+share as many with any third set: where that is enough for a link, they are linked
+with one of them, which stands for all from then on. So near copies that differ from
+a text in one place each are as many sets as there are places, not as copies.
 Then only shingles count that sets of several components have, and sets that
 still have enough of them; after at most three such turns all pairs that are left
 are compared. Their index has rare tokens alone and frequent ones, of which the
@@ -302,6 +306,18 @@ def still_open(sets: DataFrame, labels: DataFrame | None) -> DataFrame:
     return kept
 
 
+def without_twins(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sets, links (a, b)): of sets that are equal in n and tokens, where these are enough for a link, the smallest node, and the others' links with it."""
+    alike = F.size("tokens") * (OF + SHARE) >= 2 * SHARE * F.col("n")
+    twins = F.xxhash64("n", "tokens").alias("twins")
+    rows = sets.select("node", twins, alike.alias("alike"))
+    # the least node of each group comes from a map-side minimum
+    first = written(rows.filter("alike").groupBy("twins").agg(F.min("node").alias("a"), F.count("*").alias("several")).filter("several > 1").select("twins", "a"), "ngram-twins")
+    links = written(rows.filter("alike").join(first, "twins").filter("node <> a").select("a", F.col("node").alias("b")), "ngram-twin-links")
+    discard(first)
+    return sets.join(links.select(F.col("b").alias("node")), "node", "left_anti"), links
+
+
 def led_pairs(sets: DataFrame) -> DataFrame:
     """Each set with one leader of another component, the one that leads most of the keys they share.
 
@@ -368,12 +384,15 @@ def link_components(sets: DataFrame, given: DataFrame, frequent: int | None = No
         now = still_open(sets, labels)
         if now.isEmpty():
             break
-        pairs = led_pairs(now) if turn < led else open_pairs(now, frequent)
-        fresh = written(verified(pairs, now), "ngram-links")
-        discard(pairs)
+        one_each, twins = without_twins(now)
+        one_each = written(one_each, "ngram-sets")
+        pairs = led_pairs(one_each) if turn < led else open_pairs(one_each, frequent)
+        fresh = written(verified(pairs, one_each).union(twins), "ngram-links")
+        for done in (pairs, now, twins):
+            discard(done)
         if turn:
             discard(sets)
-        sets = now
+        sets = one_each
         if fresh.isEmpty():
             turn = turn + 1 if turn == led else led
             continue

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -252,6 +253,41 @@ def brute_removed(rows, length=400):
     return out
 
 
+@pytest.mark.parametrize("words", [60, 34])
+def test_ngram_join_of_near_copies_grows_with_their_places_not_with_their_number(spark, monkeypatch, words):
+    lists, write = [], ngram_join.written
+
+    def counted(df, label, rows=None):
+        out = write(df, label, rows)
+        if label == "ngram-lists":
+            lists.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counted)
+
+    def copies(n):
+        out = []
+        for i in range(n):  # one word in each differs, at one of 12 places; and two differ in some
+            text = [f"w{k}" for k in range(words)]
+            text[5 + 2 * (i % 12)] = f"x{i}"
+            if i % 40 == 7:
+                text[(3 * i) % words] = f"y{i}"
+            out.append((i, " ".join(text)))
+        return out
+
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(words - 4)} for i, t in copies(240)}
+    root = {i: i for i in sets}
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    found = ngram_join.near_duplicates(spark.createDataFrame(copies(240), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == root
+    if words == 60:
+        assert sum(lists) < 60 * 40  # 18 sets or so with a prefix of 15; a set for each copy would have over 3,000
+
+
 def test_suffix_dedup_by_brute_force(spark, empty):
     rows = [(1, ""), (2, "short"), (3, PASSAGE + prose(3, 60)), (4, prose(4, 70) + PASSAGE), (5, prose(5, 20) + PASSAGE[3:] + prose(6, 5)), (6, "é" * 600), (7, "ab" * 700), (8, prose(7, 200)), (8, prose(7, 200)), (9, prose(8, 300)), (10, prose(8, 300)[:700] + "x" + prose(8, 300)[701:]), (11, "a" * 399), (12, "b" * 400)]
     df = spark.createDataFrame([(i, t if t else None, 1) for i, t in rows], "doc_id long, text string, row int")
