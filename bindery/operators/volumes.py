@@ -111,6 +111,9 @@ def unpacked(zips: DataFrame, keep_case: bool = False) -> DataFrame:
                 return None, None, "error"
             return size, digest.hexdigest(), "ok"
 
+        def framed(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=["volume", "file", "size", "md5sum", "status"]).astype({"size": "Int64"})
+
         for pdf in pdfs:
             rows = []
             for volume, content in zip(pdf["volume"], pdf["content"]):
@@ -122,7 +125,10 @@ def unpacked(zips: DataFrame, keep_case: bool = False) -> DataFrame:
                                 rows.append((volume, name if keep_case else name.lower(), *member(z, info)))
                 except zipfile.BadZipFile:
                     rows.append((volume, None, None, None, "error"))
-            yield pd.DataFrame(rows, columns=["volume", "file", "size", "md5sum", "status"]).astype({"size": "Int64"})
+                if len(rows) >= 1000:  # members go on before the batch's last zip is read
+                    yield framed(rows)
+                    rows = []
+            yield framed(rows)
 
     return zips.select("volume", "content").mapInPandas(scan, "volume string, file string, size long, md5sum string, status string")
 

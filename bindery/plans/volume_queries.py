@@ -123,7 +123,7 @@ def zipped_texts(t: Tables) -> DataFrame:
         import zipfile
 
         for pdf in pdfs:
-            out = []
+            out, size = [], 0
             for n, text, source in zip(pdf["n"].tolist(), pdf["text"], pdf["source"]):
                 held = io.BytesIO()
                 with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
@@ -135,6 +135,10 @@ def zipped_texts(t: Tables) -> DataFrame:
                     raw[second + 6] |= 1
                     raw[raw.rindex(b"PK\x01\x02") + 8] |= 1
                 out.append((str(n), bytes(raw[: len(raw) // 2] if n % 7 == 3 else raw)))
+                size += len(raw)
+                if size > 4_000_000:  # a task holds the zips of a part of its batch only
+                    yield pd.DataFrame(out, columns=["volume", "content"])
+                    out, size = [], 0
             yield pd.DataFrame(out, columns=["volume", "content"])
 
     texts = t.documents.filter("doc_id is not null").select(F.col("doc_id").alias("n"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("source", F.lit("")).alias("source"))

@@ -3,6 +3,7 @@
 import io
 import zipfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from bindery.operators import audit, documents, volumes
@@ -97,3 +98,16 @@ def test_unpacking_skips_what_it_can_not_open_and_tells_what_is_damaged(spark):
     assert kept == {"A.TXT", "é.XML"}
     outcome = {r["volume"]: (r["status"], r["n"]) for r in volumes.unpack_outcomes(zips, volumes.unpacked(zips)).collect()}
     assert outcome == {"whole": ("ok", 2), "twice": ("ok", 2), "method": ("warning", 1), "damaged": ("error", 1), "none": ("error", 0), "text": ("error", 0), "empty": ("ok", 0)}
+
+
+def test_members_go_on_before_the_batch_is_read():
+    class Taken:
+        select = lambda self, *columns: self
+        mapInPandas = lambda self, f, schema: f
+
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        z.writestr("A.txt", "a")
+    batch = pd.DataFrame({"volume": [str(i) for i in range(2500)], "content": [held.getvalue()] * 2500})
+    frames = list(volumes.unpacked(Taken())(iter([batch])))
+    assert sum(map(len, frames)) == 2500 and max(map(len, frames)) <= 1000
