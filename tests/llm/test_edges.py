@@ -6,13 +6,14 @@ import itertools
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bindery.llm import bpe, imatch, langid, mixing, ngram_join, pii, suffix_dedup, tokencount, topk, toxicity
-from bindery.llm.anchors import LENGTH, WINDOW, anchors
+from bindery.llm.anchors import LENGTH, WINDOW, Hashes, anchors
 from bindery.llm.common import table
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row long, key string, score int, bucket string, imatch_slice int, mix_size int, pii_n int, toxic_p string"
@@ -318,6 +319,22 @@ def test_suffix_dedup_of_mixed_passages(spark):
     assert collections.Counter(tuple(r) for r in found.collect()) == brute_removed(rows)
 
 
+def test_suffix_dedup_hashes_pieces_of_a_batch(monkeypatch):
+    sizes = []
+
+    def hashes(data):
+        sizes.append(len(data))
+        return Hashes(data)
+
+    monkeypatch.setattr(suffix_dedup, "Hashes", hashes)
+    raw = [prose(i, 120)[:500].encode() for i in range(1500)]
+    pdf = pd.DataFrame({"around": range(1500), "offset": 60, "spare": 50, "rows": 1, "bytes": raw, "opened": [[0, 64]] * 1500})
+    asked = suffix_dedup._asked(16, 64)
+    whole = pd.concat(asked(iter([pdf])), ignore_index=True)
+    assert len(sizes) > 1 and max(sizes) <= 250_000 < sum(sizes)
+    assert whole.equals(pd.concat(asked(pdf.iloc[i : i + 1] for i in range(1500)), ignore_index=True))
+
+
 def test_suffix_dedup_of_the_tables_by_brute_force(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
