@@ -3,8 +3,9 @@
 A store gives its keys in order, a page at a time, from after a given key. One walk
 over a prefix that holds most of the keys would be one task, so ranges with more than
 a page are cut at the characters that follow what their keys have in common, until
-there are enough of them or none holds more than a page. Every key lies in one range,
-whatever the cuts.
+there are enough of them or none holds more than a page. A store that knows how its
+keys lie, as an inventory does, names keys to cut at instead. Every key lies in one
+range, whatever the cuts. A page goes to Spark as one Arrow batch.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections import deque
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, Filter, InputPartition, IsNotNull, StringStartsWith
@@ -46,22 +48,44 @@ def disjoint(prefixes: Iterable[str]) -> list[str]:
     return kept
 
 
-def walk(client: Client, part: Range, size: int) -> Iterator[Row]:
+def pages(client: Client, part: Range, size: int) -> Iterator[list[Row]]:
     after, more = part.after, True
     while more:
         rows, more = client(part.prefix, after, size)
-        for row in rows:
-            if part.last is not None and row[0] > part.last:
-                return
-            yield row
         if rows:
             after = rows[-1][0]
         elif more:
             raise ValueError(f"an empty page of {part.prefix!r} after {after!r} that says there are more")
+        if part.last is not None and after >= part.last:
+            rows, more = rows[: bisect_right(rows, part.last, key=lambda row: row[0])], False
+        if rows:
+            yield rows
+
+
+def walk(client: Client, part: Range, size: int) -> Iterator[Row]:
+    for rows in pages(client, part, size):
+        yield from rows
+
+
+def cut_at_bounds(client: Client, prefixes: list[str], most: int) -> list[Range]:
+    """Ranges over the prefixes, about `most` of them, that end at keys which the client names."""
+    bounds = [(p, key) for p in prefixes for key in client.bounds(p)]
+    step = 1 + len(bounds) // max(1, most)
+    done: list[Range] = []
+    chosen = bounds[step - 1 :: step]
+    for prefix in prefixes:
+        after = ""
+        for key in (key for p, key in chosen if p == prefix):
+            done.append(Range(prefix, after, key))
+            after = key
+        done.append(Range(prefix, after, None))
+    return done
 
 
 def cut(client: Client, prefixes: list[str], size: int, most: int) -> list[Range]:
     """Ranges over the prefixes, about `most` of them; one or two requests for each, whatever it holds."""
+    if hasattr(client, "bounds"):
+        return cut_at_bounds(client, prefixes, most)
     done: list[Range] = []
     waiting = deque(prefixes)
     while waiting:
@@ -100,8 +124,10 @@ class PagedReader(DataSourceReader):
     def partitions(self) -> list[Range]:
         return cut(load(self.client, self.store), self.prefixes, self.size, self.ranges) or [Range(HIGHEST, "", "")]
 
-    def read(self, partition: Range) -> Iterator[Row]:
-        return walk(load(self.client, self.store), partition, self.size)
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        for rows in pages(load(self.client, self.store), partition, self.size):
+            keys, sizes = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(sizes, pa.int64())], names=["key", "size"])
 
 
 class PushedReader(PagedReader):
@@ -118,7 +144,8 @@ class PagedListing(DataSource):
 
     The client is made on the driver and in each task as function(store), and called as
     client(prefix, start_after, page_size); it returns ([(key, size), ...], whether
-    there are more). Options: store; prefixes, comma-separated; page_size, by default
+    there are more). It may have a method bounds(prefix): keys of the prefix in order,
+    with about as many keys between any two. Options: store; prefixes, comma-separated; page_size, by default
     1000; ranges, by default 64. A limit ends a walk early.
     """
 
@@ -159,20 +186,28 @@ class Inventory:
                 stats = [(about.row_group(i).column(0).statistics, i) for i in range(about.num_row_groups)]
                 self.groups += [(s.min, s.max, f.path, i) for s, i in stats]
         self.groups.sort()
-        self.group = lru_cache(2)(lambda path, i: [c.to_pylist() for c in parquet.ParquetFile(path, filesystem=system).read_row_group(i, columns=["key", "size"]).columns])
+        self.highs = [high for _, high, _, _ in self.groups]
+        opened = lru_cache(2)(lambda path: parquet.ParquetFile(path, filesystem=system))
+        self.group = lru_cache(2)(lambda path, i: [c.combine_chunks() for c in opened(path).read_row_group(i, columns=["key", "size"]).columns])
+
+    def bounds(self, prefix: str) -> list[str]:
+        """The highest keys of the row groups that end in the prefix."""
+        begin = bisect_left(self.highs, prefix)
+        return self.highs[begin : bisect_left(self.highs, True, begin, key=lambda k: not k.startswith(prefix))]
 
     def __call__(self, prefix: str, after: str, size: int) -> tuple[list[Row], bool]:
         rows: list[Row] = []
-        for low, high, path, i in self.groups:
-            if high <= after or high < prefix:
-                continue
-            keys, sizes = self.group(path, i)
-            for at in range(max(bisect_right(keys, after), bisect_left(keys, prefix)), len(keys)):
-                if not keys[at].startswith(prefix):
-                    return rows, False
-                if len(rows) == size:
-                    return rows, True
-                rows.append((keys[at], sizes[at]))
+        text = pa.StringScalar.as_py
+        for g in range(max(bisect_right(self.highs, after), bisect_left(self.highs, prefix)), len(self.groups)):
+            keys, sizes = self.group(*self.groups[g][2:])
+            begin = max(bisect_right(keys, after, key=text), bisect_left(keys, prefix, key=text))
+            end = bisect_left(keys, True, begin, key=lambda k: not text(k).startswith(prefix))
+            n = min(end - begin, size - len(rows))
+            rows += zip(keys.slice(begin, n).to_pylist(), sizes.slice(begin, n).to_pylist())
+            if begin + n < end:
+                return rows, True
+            if end < len(keys):
+                return rows, False
         return rows, False
 
 

@@ -77,3 +77,44 @@ def test_an_inventory_gives_the_same_in_pages(spark, tmp_path):
     where = paged.inventory(rows.repartition(6), f"file://{tmp_path}/inventory")
     found, _ = listed(paged.Inventory(where), ["ns1", "é"], 50, 16)
     assert sorted(found) == sorted(k for k in keys if not k.startswith("ns2"))
+
+
+def test_an_inventory_is_cut_evenly_and_a_page_reads_only_its_groups(tmp_path):
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    keys = [f"ns.{'1' if i % 10 else '2'}{i:05d}" for i in range(20000)] + [f"é{i:04d}" for i in range(500)]
+    keys.sort()
+    (tmp_path / "inventory").mkdir()
+    parquet.write_table(pa.table({"key": keys[:12000], "size": range(12000)}), tmp_path / "inventory" / "a.parquet", row_group_size=250)
+    parquet.write_table(pa.table({"key": keys[12000:], "size": range(8500)}), tmp_path / "inventory" / "b.parquet", row_group_size=250)
+    client = paged.Inventory(f"file://{tmp_path}/inventory")
+    read, group = [], client.group
+    client.group = lambda path, i: read.append((path, i)) or group(path, i)
+    parts = paged.cut(client, [""], 100, 16)
+    assert not read and 8 <= len(parts) <= 17
+    held = [[k for k, _ in paged.walk(client, p, 100)] for p in parts]
+    assert [k for part in held for k in part] == keys and max(map(len, held)) <= 2 * len(keys) / 16
+    for prefixes in (["ns.1", "é"], ["ns.10000", "ns.2"], ["", "ns"], ["zz"], ["a"]):
+        for size, most in ((1000, 1), (250, 5), (7, 1000)):
+            found, parts = listed(client, prefixes, size, most)
+            assert sorted(found) == sorted(k for k in keys if k.startswith(tuple(prefixes)))
+            assert len(parts) <= most + len(prefixes)
+    client.groups = Counted(client.groups)
+    assert client("", keys[15000], 10) == ([(k, i) for i, k in enumerate(keys[15001:15011], 3001)], True)
+    assert client.groups.asked <= 2
+
+
+class Counted(list):
+    """A list that counts what is taken from it one by one."""
+
+    asked = 0
+
+    def __iter__(self):
+        for x in super().__iter__():
+            self.asked += 1
+            yield x
+
+    def __getitem__(self, i):
+        self.asked += 1
+        return super().__getitem__(i)
