@@ -110,6 +110,7 @@ class Library:
     contexts: dict[str, tuple[str | None, Paths]] = field(default_factory=dict)  # name: (parent, paths from it)
     queries: dict[tuple[str, str], Paths] = field(default_factory=dict)  # (context, name): paths from the context
     inner: dict[str, Callable[[Reader], Column]] = field(default_factory=dict)  # context without parent: the texts that may hold its document
+    listed: str | None = None  # an element without children, by which no step is narrowed, that may hold one number of a long list
 
     def __post_init__(self) -> None:
         self.documents = {name: Node() for name in ("", *self.inner)}
@@ -128,12 +129,15 @@ class Library:
         for name in reversed(self.contexts):  # parents come first
             if name in contexts and self.contexts[name][0]:
                 contexts.add(self.contexts[name][0])
-        return Library({k: v for k, v in self.contexts.items() if k in contexts}, {k: v for k, v in self.queries.items() if k in names}, {k: v for k, v in self.inner.items() if k in contexts})
+        return Library({k: v for k, v in self.contexts.items() if k in contexts}, {k: v for k, v in self.queries.items() if k in names}, {k: v for k, v in self.inner.items() if k in contexts}, self.listed)
 
     def read(self, documents: DataFrame, xml: str) -> DataFrame:
         """documents with a column `n:name` for each name, how many nodes it has, and `v:name`, the text of the first, and `m:name`, the errors if it is not found once; `read:` is false for malformed XML, `p:name` how many inner documents there are."""
         names = documents.columns
-        found = _parsed(documents, F.col(xml), self.documents[""], "")
+        text = F.col(xml)
+        if self.listed:
+            documents, text = _joined(documents, text, self.listed), F.col("text ")
+        found = _parsed(documents, text, self.documents[""], "")
         for context, (parent, paths) in self.contexts.items():
             if context in self.inner:
                 found = found.withColumn(f"packets {context}", self.inner[context](Reader(self)))
@@ -168,15 +172,21 @@ class Reader:
 
     def values(self, context: str, name: str) -> Column:
         """All texts of a name."""
-        node = self.library.nodes[context][0]
-        parts = [node.values(F.col(f"node {context}"), steps(p)) for p in several(self.library.queries[context, name])]
+        parts = [self._texts(context, F.col(f"node {context}"), p) for p in several(self.library.queries[context, name])]
         return parts[0] if len(parts) == 1 else F.concat(*parts)
 
-    def each(self, context: str, *names: str) -> Column:
-        """For each node of a context the texts of several names, as an array of structs of arrays."""
-        node = self.library.nodes[context][0]
-        one = lambda x: F.struct(*(node.values(x, steps(several(self.library.queries[context, n])[0])).alias(n) for n in names))
-        return F.transform(F.col(f"context {context}"), one)
+    def each(self, context: str, name: str, key: str, wanted: Column) -> Column:
+        """The texts of a name in each of a context's nodes where those of another name are the wanted ones, as an array of arrays."""
+        texts = lambda x, n: self._texts(context, x, several(self.library.queries[context, n])[0])
+        mine = F.filter(F.col(f"context {context}"), lambda x: texts(x, key) == wanted)
+        return F.transform(mine, lambda x: texts(x, name))
+
+    def _texts(self, context: str, node: Column, path: str) -> Column:
+        found = self.library.nodes[context][0].values(node, steps(path))
+        # a document of an inner context is read as it is
+        if context in self.library.inner or steps(path)[-1][0] != self.library.listed:
+            return found
+        return F.when(F.col("joined "), F.flatten(F.transform(found, lambda v: F.split(v, JOINT)))).otherwise(found)
 
 
 XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken", "ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
@@ -198,6 +208,19 @@ def _parsed(documents: DataFrame, xml: Column, root: Node, name: str) -> DataFra
     return documents.withColumn(f"document {name}", F.from_xml(whole, _schema(root), XML)).drop(f"bare {name}")
 
 
+#: What stands for the tags between two numbers of a list.
+JOINT = "\x7f"
+
+
+def _joined(documents: DataFrame, xml: Column, element: str) -> DataFrame:
+    """documents with `text `, where neighbouring numbers of an element are one node, as the parser copies the nodes before at each; with anything else between such tags a document stays as it is."""
+    between = f"</{element}><{element}>"
+    tried = documents.withColumn("tried ", F.when(xml.contains(between) & ~xml.contains(JOINT) & ~xml.contains("<![CDATA[") & ~xml.contains("&#"), F.replace(xml, F.lit(between), F.lit(JOINT))))
+    others = F.regexp_replace("tried ", f"<{element}>[-0-9]++(?:{JOINT}[-0-9]++)++</{element}>", "")
+    told = tried.withColumn("joined ", F.coalesce(~others.contains(JOINT), F.lit(False)))
+    return told.withColumn("text ", F.when(F.col("joined "), F.col("tried ")).otherwise(xml)).drop("tried ")
+
+
 def _well_formed(name: str) -> Column:
     parsed = F.col(f"document {name}")
     return parsed.isNotNull() & parsed["_broken"].isNull()
@@ -386,9 +409,10 @@ def _named(**queries: dict[str, Paths]) -> dict[tuple[str, str], Paths]:
 
 def _boxes(read: Reader) -> Column:
     """The data of the boxes with XMP's id, whose bytes are listed as signed numbers."""
-    mine = F.filter(read.each("uuidBox", "uuid", "data"), lambda b: b["uuid"] == F.array(*(F.lit(str(x)) for x in XMP_BOX)))
-    byte = lambda v: F.lpad(F.hex(v.try_cast("int").bitwiseAND(F.lit(255))), 2, "0")
-    return F.transform(mine, lambda b: F.decode(F.unhex(F.array_join(F.transform(b["data"], byte), "")), "UTF-8"))
+    mine = read.each("uuidBox", "data", "uuid", F.array(*(F.lit(str(x)) for x in XMP_BOX)))
+    digits = F.array(*(F.lit(f"{n:02X}") for n in range(256)))
+    byte = lambda v: F.get(digits, v.try_cast("int").bitwiseAND(F.lit(255)))
+    return F.transform(mine, lambda data: F.decode(F.unhex(F.array_join(F.transform(data, byte), "")), "UTF-8"))
 
 
 #: A whole report on a TIFF image, with the XMP packet that it may hold as text.
@@ -414,7 +438,7 @@ JP2_REPORT = Library(
         codingStyleDefault={"layers": "property[name=NumberOfLayers]/values/value", "decompositionLevels": "property[name=NumberDecompositionLevels]/values/value", "transformation": "property[name=Transformation]/values/value"},
         mix=MIX, xmp=XMP, uuidBox={"uuid": "property[name=UUID]/values/value", "data": "property[name=Data]/values/value"},
     ),
-    inner={"xmp": _boxes},
+    inner={"xmp": _boxes}, listed="value",
 )
 
 

@@ -149,7 +149,7 @@ def jp2_reports(t: Tables) -> DataFrame:
     said = {"width": F.when(k == 2, "1").otherwise(size), "length": size, "bitsPerSample": depth, "compression": F.lit("34712"), "colorSpace": F.when(colour, "2").otherwise("1"), "orientation": F.lit("1"), "samplesPerPixel": n, "xRes": F.concat(c("p_size") * 10, F.lit("/1")), "yRes": F.concat(c("p_size") * 10, F.lit("/1")), "resUnit": F.lit("2"), "dateTime": F.lit("2024"), "artist": c("p_brand"), "make": F.lit("M"), "model": F.lit("X"), "documentName": c("p_name")}
     value = lambda x: F.concat(F.lit("<value>"), x.cast("string"), F.lit("</value>"))
     data = F.array_join(F.transform(F.split(packet(said), ""), lambda ch: value(F.ascii(ch))), "")
-    box = lambda ids: prop("UUIDBox", prop("UUID", *(F.lit(f"<value>{x}</value>") for x in ids)), prop("Data", data))
+    box = lambda ids: prop("UUIDBox", prop("UUID", *(F.lit(f"<value>{x}</value>") for x in ids)), prop("Data", c("data")))
     boxes = prop("UUIDs", F.when(k == 0, "").otherwise(box(r.XMP_BOX)), box([7] * 16), F.when(k == 1, box(r.XMP_BOX)).otherwise(""))
     one = lambda name, v: prop(name, value(v))
     own = {"compression": F.lit("JPEG2000 Lossy"), "width": size, "length": size, "bitsPerSample": F.when(colour, F.lit("8</bitsPerSampleValue><bitsPerSampleValue>8</bitsPerSampleValue><bitsPerSampleValue>8")).otherwise("8"), "samplesPerPixel": n}
@@ -157,7 +157,8 @@ def jp2_reports(t: Tables) -> DataFrame:
     spec = prop("ColorSpecs", prop("ColorSpec", one("EnumCS", F.when(colour, "sRGB").otherwise("Greyscale"))))
     meta = prop("JPEG2000Metadata", one("Brand", F.lit("jp2 ")), one("MinorVersion", F.lit("0")), one("Compatibility", F.lit("jp2 ")), spec, boxes, prop("Codestreams", prop("Codestream", coding, mixed(own))))
     head = {"format": F.lit("JPEG 2000"), "status": F.lit("Well-Formed and valid"), "module": F.lit("JPEG2000-hul"), "mimeType": F.lit("image/jp2")}
-    return spread(t.part).select("p_partkey", report(head, meta).alias("xml"))
+    # the bytes are a column of their own, so that they are made once for all boxes
+    return spread(t.part).withColumn("data", data).select("p_partkey", report(head, meta).alias("xml"))
 
 
 @query("jp2_report_rules", """

@@ -86,3 +86,38 @@ def test_a_library_of_some_names_opens_no_other_element():
 def test_texts_between_elements_that_nobody_asks_for_change_nothing(spark):
     a, b = read(spark, "﻿ \n<?xml version='1.0'?>\n<rep>loose<width>5</width>text<part kind='a' size='3'>more<note>n</note></part></rep>\n ", "<rep><width>5</width><part kind='a' size='3'><note>n</note></part></rep>")
     assert a.asDict() | {"i": 0, "x": ""} == b.asDict() | {"i": 0, "x": ""} and a["read:"] and a["n:part.note"] == 1
+
+
+LISTED = r.Library(
+    contexts={"top": (None, "rep"), "box": ("top", "box"), "in": (None, "x")},
+    queries={("top", "version"): "version/value", ("top", "note"): "note", ("box", "id"): "id/value", ("box", "data"): "data/value", ("in", "y"): "y"},
+    inner={"in": lambda read: F.transform(read.each("box", "data", "id", F.array(F.lit("1"), F.lit("-2"))), lambda v: F.array_join(F.transform(v, lambda c: F.char(c.cast("bigint"))), ""))},
+    listed="value",
+)
+BYTES = "".join(f"<value>{b}</value>" for b in b"<x><y>" + b"long " * 200 + b"</y></x>")
+
+
+@pytest.mark.parametrize(
+    ("inside", "joined"),
+    [
+        (f"<version><value>0</value></version><box><id><value>1</value><value>-2</value></id><data>{BYTES}</data></box>", True),
+        ("<version><value>0</value><value>1</value></version>", True),  # twice there, however it is read
+        (f"<box><id><value>1</value>\n<value>-2</value></id><data>{BYTES}</data></box><!-- <value>1</value><value>2</value> -->", True),
+        ("<version><value>a</value><value>1</value><value>2</value></version>", False),
+        ("<version><value/>1</value><value>2</value></version>", False),
+        ("<version><value></value><value>2</value></version>", False),
+        ("<version><value><z/>1</value><value>2</value></version>", False),
+        ('<note a="<value>1</value><value>2</value>"/>', True),
+        ("<note><![CDATA[<value>1</value><value>2</value>]]></note>", False),
+        ("<note>\x7f</note><version><value>1\x7f2</value></version>", False),
+        ("<note>&#127;</note><version><value>1</value><value>2</value></version>", False),
+    ],
+)
+def test_numbers_of_a_list_reach_the_parser_as_one_node(spark, inside, joined):
+    rows = spark.createDataFrame([(1, f"<rep>{inside}</rep>")], "i int, x string")
+    plain = r.Library(LISTED.contexts, LISTED.queries, LISTED.inner)
+    assert LISTED.read(rows, "x").collect() == plain.read(rows, "x").collect()
+    told = r._joined(rows, F.col("x"), "value").first()
+    assert told["joined "] == joined and (told["text "] != told["x"]) == joined
+    if joined and "data" in inside:
+        assert told["text "].count("<value>") < 5 and LISTED.read(rows, "x").first()["v:in.y"] == "long " * 200
