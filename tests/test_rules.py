@@ -121,3 +121,17 @@ def test_numbers_of_a_list_reach_the_parser_as_one_node(spark, inside, joined):
     assert told["joined "] == joined and (told["text "] != told["x"]) == joined
     if joined and "data" in inside:
         assert told["text "].count("<value>") < 5 and LISTED.read(rows, "x").first()["v:in.y"] == "long " * 200
+
+
+def test_attributes_are_made_only_where_some_are_asked_for(spark, monkeypatch):
+    assert all(r._options(d).get("excludeAttribute") == "true" for library in (r.TIFF_REPORT, r.JP2_REPORT) for d in library.documents.values())
+    assert "excludeAttribute" not in r._options(LIBRARY.documents[""]) | r._options(r.TIFF.documents[""])
+    packet = escaped('<RDF a="1"><Description b="2"><ImageWidth c="3">7</ImageWidth><Make d="4"/></Description></RDF>')
+    inside = f'<property><name e="5">XMP</name><values f="6"><value g="7">{packet}</value></values></property>'
+    for name in ("IFD", "IFDs", "TIFFMetadata"):
+        inside = f'<property h="8"><name>{name}</name><values i="9">{inside}</values></property>'
+    rows = spark.createDataFrame([(1, f'<jhove><repInfo uri="x"><status j="1">ok</status><status k="2"/><format l="3"/><properties>{inside}</properties></repInfo></jhove>')], "i int, x string")
+    found = r.TIFF_REPORT.read(rows, "x").first()
+    assert (found["v:xmp.width"], found["n:xmp.make"], found["n:repInfo.status"], found["v:repInfo.status"]) == ("7", 1, 2, "ok")
+    monkeypatch.setattr(r, "_options", lambda _: r.XML)
+    assert r.TIFF_REPORT.read(rows, "x").first() == found
